@@ -44,9 +44,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
 
 
+def round6(c) -> F.Column:
+    """Round to ``ROUND`` decimals as ``round(c * 10^d) / 10^d`` (half away
+    from zero on the scaled double), the same arithmetic as the SQL oracle's
+    ``round(x, 6)``; decimal HALF_UP on the unscaled value differs on ties."""
+    scale = float(10 ** ROUND)
+    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Round every floating-point column to ``ROUND`` decimals."""
-    return df.select(*[F.round(F.col(f.name), ROUND).alias(f.name)
+    return df.select(*[round6(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
