@@ -12,3 +12,11 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     ``max_rows + 1`` rows, so the check stays cheap even if the answer is no.
     """
     return df.limit(int(max_rows) + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
+    rows, else ``df`` unchanged (the join then shuffles both sides and AQE
+    may still convert it at runtime from measured sizes)."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if rows_at_most(df, max_rows) else df

@@ -57,7 +57,7 @@ def explode_list(df: DataFrame, col: str, separator: str, alias: str,
 
 
 def unpack_payload(df: DataFrame, schema_col: str, payload_col: str,
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), on_error: str = "raise") -> DataFrame:
     """Decode base64 CSV payloads held in a column into one row per data line.
 
     Per row: schema = schema text with spaces removed; text = base64-decoded
@@ -65,24 +65,42 @@ def unpack_payload(df: DataFrame, schema_col: str, payload_col: str,
     when (spaces removed) it equals the schema; each line is split on ``,``
     and every value stripped. Output: ``keep`` columns, ``schema``, ``line_no``
     (0-based position in the payload), ``values`` array<string>,
-    ``n_fields``, ``ragged`` (field count differs from schema width).
-    Everything is a column expression, so payloads are unpacked in parallel on
-    the executors; the driver never sees them.
+    ``n_fields``, ``ragged`` (field count differs from schema width) and
+    ``decode_error``.
+
+    ``on_error="raise"`` fails the job on malformed base64 or UTF-8, like the
+    original parser; ``on_error="null"`` keeps such a payload as one row with
+    ``decode_error = true`` and NULL line fields, so one bad file cannot stop a
+    large run and is still visible. Everything is a column expression:
+    payloads are unpacked in parallel on the executors, never on the driver.
     """
+    payload = F.col(payload_col)
+    if on_error == "raise":
+        decoded = F.decode(F.unbase64(payload), "UTF-8")
+    elif on_error == "null":
+        as_text = F.try_to_binary(payload, F.lit("base64")).cast("string")
+        decoded = F.when(F.is_valid_utf8(as_text), as_text)
+    else:
+        raise ValueError("on_error must be 'raise' or 'null'")
     schema = F.replace(F.col(schema_col), F.lit(" "), F.lit(""))
-    text = F.btrim(F.decode(F.unbase64(F.col(payload_col)), "UTF-8"), F.lit(_WS))
+    text = F.btrim(decoded, F.lit(_WS))
     staged = df.select(*keep, schema.alias("schema"),
+                       (payload.isNotNull() & decoded.isNull()).alias("decode_error"),
                        F.split(text, "\n").alias("__lines"))
     header = F.replace(F.get(F.col("__lines"), 0), F.lit(" "), F.lit("")) == F.col("schema")
-    lines = staged.select(*keep, "schema", F.coalesce(header, F.lit(False)).alias("__hdr"),
-                          F.posexplode("__lines").alias("line_no", "__line"))
+    explode = F.posexplode_outer if on_error == "null" else F.posexplode
+    lines = staged.select(*keep, "schema", "decode_error",
+                          F.coalesce(header, F.lit(False)).alias("__hdr"),
+                          explode("__lines").alias("line_no", "__line"))
     values = F.transform(F.split(F.col("__line"), ","), lambda v: F.btrim(v, F.lit(_WS)))
     width = F.size(F.split(F.col("schema"), ","))
-    return (lines.filter(~(F.col("__hdr") & (F.col("line_no") == 0)))
+    keep_line = ~(F.col("__hdr") & (F.col("line_no") == 0)) | F.col("decode_error")
+    return (lines.filter(keep_line)
             .select(*keep, "schema", F.col("line_no").cast("int").alias("line_no"),
-                    values.alias("values"))
+                    values.alias("values"), "decode_error")
             .withColumn("n_fields", F.size("values"))
-            .withColumn("ragged", F.col("n_fields") != width))
+            .withColumn("ragged", F.col("n_fields") != width)
+            .select(*keep, "schema", "line_no", "values", "n_fields", "ragged", "decode_error"))
 
 
 def project_schema(long_df: DataFrame, schema: str, types: Mapping[str, str] | None = None,

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shiftwise.operators._checks import rows_at_most
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_ROWS = 500_000  # ~8 narrow columns: tens of MB per executor
 _BIN = "__vbin"
 
 

@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from shiftwise.functions.aggregates import half_hour_mean_sum, weighted_average
 from shiftwise.functions.predicates import in_range, positive
 from shiftwise.functions.temporal import half_hour_floor
-from shiftwise.operators._checks import rows_at_most
+from shiftwise.operators._checks import broadcast_if_small, rows_at_most
 from shiftwise.operators.combine import full_outer_chain
 from shiftwise.operators.validity import DEFAULT_BROADCAST_MAX_ROWS, validity_join
 
+LOOKUP_MAX_ROWS = 100_000  # view lookups above this are joined by shuffle
+
 # Fixed values of the report contract.
 REPORT_KEYS = ["DateTime", "ViewName", "Partner", "Site", "LineOfBusiness", "ServiceModel"]
 MAP_ATTRS = ["Partner", "Site", "LineOfBusiness", "ServiceModel"]
@@ -93,6 +95,8 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
     ``zero_fill`` replaces missing metrics with 0. ``cutoff`` adds
     ``DateTime < cutoff`` to the contract stage only.
     """
+    # The view lookup feeds two joins; it is broadcast once its size is proven.
+    view_map = broadcast_if_small(view_map.select("ViewName", *MAP_ATTRS), LOOKUP_MAX_ROWS)
     fmap = queue_filter_map(history, view_map, filter_names)
     strat = _choose_strategy(fmap, strategy, broadcast_max_rows)
 

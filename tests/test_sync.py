@@ -1,0 +1,139 @@
+"""Sync policies on the fixture cases of every key class."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from shiftwise.operators.sync import sync
+
+NOW = "2025-01-01 00:00:00"
+NOW_TS = dt.datetime(2025, 1, 1)
+T0, T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
+
+DIM_COLS = ("CampaignID int, ParentCampaignID int, CampaignName string, "
+            "RecordCreatedDateTime timestamp_ntz, RecordLastModifiedDateTime timestamp_ntz, "
+            "RecordRemovedDateTime timestamp_ntz")
+
+
+def _dim(spark):
+    target = spark.createDataFrame([
+        (1, 10, "gone", T0, T1, None),        # missing in stage, no stamp
+        (2, 20, "gone2", T0, T1, T2),         # missing in stage, already stamped
+        (3, 30, "same", T0, T1, T2),          # equal, stamped -> kept as is
+        (4, 40, "old", T0, T1, T2),           # differing name -> updated, stamp cleared
+        (5, 50, None, T0, T1, T2),            # NULL vs value: not a change -> kept
+        (6, 60, "back", T0, T1, None),        # equal, active -> updated (removed IS NULL)
+    ], DIM_COLS)
+    stage = spark.createDataFrame([
+        (3, 30, "same"), (4, 40, "new"), (5, 50, "now-set"), (6, 60, "back"), (7, 70, "ins"),
+    ], "CampaignID int, ParentCampaignID int, CampaignName string")
+    return target, stage
+
+
+def test_dimension_policy(spark):
+    target, stage = _dim(spark)
+    out = sync(target, stage, ["CampaignID"], ["ParentCampaignID", "CampaignName"],
+               "dimension", NOW)
+    assert out.columns == target.columns
+    got = {r.CampaignID: tuple(r)[1:] for r in out.collect()}
+    assert got[1] == (10, "gone", T0, T1, NOW_TS)
+    assert got[2] == (20, "gone2", T0, T1, NOW_TS)             # re-stamped every run
+    assert got[3] == (30, "same", T0, T1, T2)
+    assert got[4] == (40, "new", T0, NOW_TS, None)
+    assert got[5] == (50, None, T0, T1, T2)
+    assert got[6] == (60, "back", T0, NOW_TS, None)
+    assert got[7] == (70, "ins", NOW_TS, NOW_TS, None)
+    assert len(got) == 7 and out.count() == 7                    # one row per key
+
+
+def test_dimension_revive_only(spark):
+    target, stage = _dim(spark)
+    out = sync(target, stage, ["CampaignID"], ["ParentCampaignID", "CampaignName"],
+               "dimension", NOW, revive_only=True)
+    got = {r.CampaignID: tuple(r)[1:] for r in out.collect()}
+    assert got[3] == (30, "same", T0, NOW_TS, None)   # stamped and back in stage: revived
+    assert got[6] == (60, "back", T0, T1, None)       # active and equal: untouched
+
+
+FACT_COLS = ("DateTime timestamp_ntz, CampaignID int, QueueID int, AHT double, "
+             "CALLVOLUME double, RecordCreatedDateTime timestamp_ntz, "
+             "RecordLastModifiedDateTime timestamp_ntz")
+
+
+def _fact(spark):
+    target = spark.createDataFrame([
+        (T0, 1, 1, 100.0, 5.0, T0, T0),     # no stage match -> deleted
+        (T0, 1, 2, 100.0, 5.0, T0, T0),     # stage AHT NULL
+        (T0, 1, 3, None, 5.0, T0, T0),      # target AHT NULL
+        (T0, 1, 4, 100.0, 5.0, T0, T0),     # equal
+        (T0, 1, 5, 100.0, 5.0, T0, T0),     # value differs, nullness same
+    ], FACT_COLS)
+    stage = spark.createDataFrame([
+        (T0, 1, 2, None, 6.0), (T0, 1, 3, 120.0, 5.0), (T0, 1, 4, 100.0, 5.0),
+        (T0, 1, 5, 200.0, 9.0), (T0, 1, 6, 1.0, 2.0),   # new
+    ], "ForecastInterval timestamp_ntz, CampaignID int, QueueID int, AHT double, CALLVOLUME double")
+    return target, stage
+
+
+def _fact_sync(target, stage, policy, **kw):
+    return sync(target, stage, ["DateTime", "CampaignID", "QueueID"], ["AHT", "CALLVOLUME"],
+                policy, NOW, stage_names={"DateTime": "ForecastInterval"}, removed=None, **kw)
+
+
+def test_fact_always(spark):
+    target, stage = _fact(spark)
+    got = {r.QueueID: (r.AHT, r.CALLVOLUME, r.RecordCreatedDateTime, r.RecordLastModifiedDateTime)
+           for r in _fact_sync(target, stage, "fact").collect()}
+    assert set(got) == {2, 3, 4, 5, 6}
+    assert got[2] == (100.0, 6.0, T0, NOW_TS)     # coalesce(stage, target)
+    assert got[3] == (120.0, 5.0, T0, NOW_TS)
+    assert got[4] == (100.0, 5.0, T0, NOW_TS)     # restamped even when equal
+    assert got[5] == (200.0, 9.0, T0, NOW_TS)
+    assert got[6] == (1.0, 2.0, NOW_TS, NOW_TS)
+
+
+def test_fact_on_change(spark):
+    target, stage = _fact(spark)
+    got = {r.QueueID: (r.AHT, r.CALLVOLUME, r.RecordLastModifiedDateTime)
+           for r in _fact_sync(target, stage, "fact_on_change").collect()}
+    assert set(got) == {2, 3, 4, 5, 6}
+    assert got[2] == (100.0, 6.0, NOW_TS)   # nullness differs -> coalesce(stage, target)
+    assert got[3] == (120.0, 5.0, NOW_TS)
+    assert got[4] == (100.0, 5.0, T0)       # untouched
+    assert got[5] == (100.0, 5.0, T0)       # values differ but nullness same: untouched
+    assert got[6] == (1.0, 2.0, NOW_TS)
+
+
+def test_empty_stage(spark):
+    target, stage = _fact(spark)
+    empty = stage.filter(F.lit(False))
+    assert _fact_sync(target, empty, "fact").count() == 0      # as written: all deleted
+    kept = _fact_sync(target, empty, "fact", keep_target_if_stage_empty=True)
+    assert kept.count() == target.count()
+    # non-empty stage: the guard changes nothing
+    assert rows(_fact_sync(target, stage, "fact", keep_target_if_stage_empty=True)) == \
+        rows(_fact_sync(target, stage, "fact"))
+
+
+@pytest.mark.parametrize("policy", ["fact", "fact_on_change"])
+def test_sync_twice_equals_once(spark, policy):
+    target, stage = _fact(spark)
+    once = _fact_sync(target, stage, policy)
+    twice = _fact_sync(once, stage, policy)
+    drop = ["RecordLastModifiedDateTime", "RecordCreatedDateTime"]
+    assert rows(twice.drop(*drop)) == rows(once.drop(*drop))
+
+
+def test_sync_is_one_full_outer_join(spark):
+    target, stage = _fact(spark)
+    plan = _fact_sync(target, stage, "fact")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1
+    assert "Except" not in plan and "LeftAnti" not in plan
+
+
+def test_unknown_policy(spark):
+    target, stage = _fact(spark)
+    with pytest.raises(ValueError):
+        _fact_sync(target, stage, "merge")
