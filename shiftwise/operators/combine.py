@@ -39,8 +39,13 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
 
     Frames flagged in ``unique`` promise at most one row per key (e.g. they are
     the output of a ``groupBy(keys)``). Those are merged with one
-    ``unionByName`` + ``groupBy`` (a single shuffle) instead of a join per
-    frame; the remaining frames are then joined in. Results are identical.
+    ``unionByName`` + ``groupBy`` instead of a join per frame (when they are
+    already hash-partitioned on the keys, the merge adds no shuffle). The
+    other frames are full-outer-joined among themselves into N, and N meets
+    the merged frame U as ``(N LEFT JOIN U) UNION ALL (U LEFT ANTI JOIN
+    distinct keys of N)`` - the same rows as ``N FULL JOIN U``, but a key that
+    holds a large share of N's rows sits in a left join, whose skewed
+    partitions adaptive execution can split (it cannot split full outer joins).
     """
     frames = list(frames)
     keys = list(keys)
@@ -63,8 +68,16 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
         own = [c for _, f in uniq for c in f.columns if c not in keys]
         parts.append(merged.groupBy(*keys, "__nullkey_src")
                      .agg(*[F.max(c).alias(c) for c in own]).drop("__nullkey_src"))
-    parts.extend(rest)
-    out = reduce(lambda a, b: a.join(b, on=keys, how="full_outer"), parts)
+    if rest:
+        dup = reduce(lambda a, b: a.join(b, on=keys, how="full_outer"), rest)
+        if parts:
+            merged = parts[0]
+            matched = dup.join(merged, on=keys, how="left")
+            only_merged = merged.join(dup.select(*keys).distinct(), on=keys, how="left_anti")
+            parts = [matched.unionByName(only_merged, allowMissingColumns=True)]
+        else:
+            parts = [dup]
+    out = parts[0]
     if zero_fill is True:
         zero_fill = metrics
     fill = set(zero_fill or ())

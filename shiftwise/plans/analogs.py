@@ -248,16 +248,20 @@ def fact_stage(spark, d) -> DataFrame:
 
 def wide_slots(spark, d, n_slots: int = 96) -> DataFrame:
     """events per (user, day): CALLVOLUMEi = sum of values in quarter-hour i,
-    AHTi = max handle time in it (NULL where the slot has no event)."""
+    AHTi = max handle time in it (NULL where the slot has no event).
+
+    ``pivot`` with the slot list given: Spark aggregates per (user, day, slot)
+    first, then spreads the slots into columns."""
     f = fact15(spark, d).withColumn(
         "__slot", (F.hour("ts") * 4 + F.floor(F.minute("ts") / 15) + 1).cast("int"))
-    aggs = []
-    for i in range(1, n_slots + 1):
-        aggs.append(F.max(F.when(F.col("__slot") == i, F.col("aht"))).alias(f"AHT{i}"))
-    for i in range(1, n_slots + 1):
-        aggs.append(F.sum(F.when(F.col("__slot") == i, F.col("value"))).alias(f"CALLVOLUME{i}"))
-    return f.groupBy(F.col("QueueID"),
-                     F.date_trunc("day", "ts").cast("timestamp_ntz").alias("BaseDateTime")).agg(*aggs)
+    wide = (f.groupBy(F.col("QueueID"),
+                      F.date_trunc("day", "ts").cast("timestamp_ntz").alias("BaseDateTime"))
+            .pivot("__slot", list(range(1, n_slots + 1)))
+            .agg(F.max("aht").alias("AHT"), F.sum("value").alias("CALLVOLUME")))
+    return wide.select(
+        "QueueID", "BaseDateTime",
+        *[F.col(f"{i}_AHT").alias(f"AHT{i}") for i in range(1, n_slots + 1)],
+        *[F.col(f"{i}_CALLVOLUME").alias(f"CALLVOLUME{i}") for i in range(1, n_slots + 1)])
 
 
 LOG_BLOCK = 1000  # events per payload block: bounds every payload's size

@@ -504,8 +504,12 @@ SELECT user_id, CAST(event_id // 1000 AS BIGINT) AS block,
 FROM events"""
 
 PAYLOAD_BY_SCHEMA = """
-SELECT user_id, CAST(event_id // 1000 AS BIGINT) AS block, event_id, event_type
-FROM events WHERE user_id % 2 = 0"""
+SELECT user_id, block, event_id, event_type
+FROM (SELECT user_id, CAST(event_id // 1000 AS BIGINT) AS block, event_id, event_type,
+             CASE WHEN user_id % 2 = 0 THEN 'event_id,event_type' ELSE 'event_id,user_id' END
+                 AS schema
+      FROM events) logged
+WHERE schema = 'event_id,event_type'"""
 
 # --- sinks ------------------------------------------------------------------------------
 

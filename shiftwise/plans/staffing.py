@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ from shiftwise.functions.temporal import half_hour_floor
 from shiftwise.operators._checks import broadcast_if_small, rows_at_most
 from shiftwise.operators.combine import full_outer_chain
 from shiftwise.operators.validity import DEFAULT_BROADCAST_MAX_ROWS, validity_join
+from shiftwise.sources.sinks import write_clustered
 
 LOOKUP_MAX_ROWS = 100_000  # view lookups above this are joined by shuffle
 
@@ -87,17 +89,20 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
                      volume: DataFrame, requirement: DataFrame, model: DataFrame,
                      start, end, filter_names: Sequence[str], cutoff=None,
                      zero_fill: bool = False, now=None, strategy: str = "auto",
-                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                     queue_map: DataFrame | None = None) -> DataFrame:
     """The half-hour staffing outlook report.
 
     Output columns: ``REPORT_KEYS``, the six ``METRICS`` as double, and
     ``DateCreated`` (``now``; defaults to the query's current timestamp).
     ``zero_fill`` replaces missing metrics with 0. ``cutoff`` adds
-    ``DateTime < cutoff`` to the contract stage only.
+    ``DateTime < cutoff`` to the contract stage only. ``queue_map`` passes a
+    prebuilt (e.g. persisted) ``queue_filter_map`` result.
     """
     # The view lookup feeds two joins; it is broadcast once its size is proven.
     view_map = broadcast_if_small(view_map.select("ViewName", *MAP_ATTRS), LOOKUP_MAX_ROWS)
-    fmap = queue_filter_map(history, view_map, filter_names)
+    fmap = queue_map if queue_map is not None else \
+        queue_filter_map(history, view_map, filter_names)
     strat = _choose_strategy(fmap, strategy, broadcast_max_rows)
 
     fr = fact_stage(fte, fmap, start, end, "FTE",
@@ -124,3 +129,25 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
         *[F.col(c) for c in REPORT_KEYS[1:]],
         *[F.col(m).cast("double").alias(m) for m in METRICS],
         now_c.cast("timestamp_ntz").alias("DateCreated"))
+
+
+def run_staffing_outlook(target: str, history: DataFrame, view_map: DataFrame, fte: DataFrame,
+                         queue: DataFrame, volume: DataFrame, requirement: DataFrame,
+                         model: DataFrame, start, end, filter_names: Sequence[str],
+                         mode: str = "overwrite",
+                         cluster_by: Sequence[str] = ("DateTime", "ViewName"),
+                         **options) -> None:
+    """Build the report and replace ``target`` with it, clustered by
+    ``cluster_by`` (truncate-and-insert plus the layout the unique index gave).
+
+    The queue map feeds four stages; it is persisted (memory, spilling to
+    disk; lost blocks are recomputed from lineage) for the one write action
+    and released afterwards.
+    """
+    fmap = queue_filter_map(history, view_map, filter_names).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        report = staffing_outlook(history, view_map, fte, queue, volume, requirement, model,
+                                  start, end, filter_names, queue_map=fmap, **options)
+        write_clustered(report, target, list(cluster_by), mode=mode)
+    finally:
+        fmap.unpersist()

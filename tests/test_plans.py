@@ -149,3 +149,15 @@ def test_payload_job_roundtrip(spark):
     frames = schema_frames(long, {"id, kind": {"id": "int"}, "x": None}, keep=["log_id"])
     assert rows(frames["id, kind"]) == [(1, 1, "a"), (1, 2, "b")]
     assert rows(frames["x"]) == []           # header-only payload: no data lines
+
+
+def test_run_staffing_outlook_writes_clustered(spark):
+    inputs = _outlook_inputs(spark)
+    path = scratch_path(spark, "outlook")
+    S.run_staffing_outlook(path, *inputs, "2025-07-13", "2025-08-31", ["Staffing Outlook"],
+                           now="2025-09-01 00:00:00")
+    back = spark.read.parquet(path)
+    expected = S.staffing_outlook(*inputs, "2025-07-13", "2025-08-31", ["Staffing Outlook"],
+                                  now="2025-09-01 00:00:00")
+    assert rows(back) == rows(expected)
+    assert not spark.sparkContext._jsc.getPersistentRDDs().values()   # map released
