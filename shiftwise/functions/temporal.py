@@ -22,14 +22,13 @@ def half_hour_floor(ts) -> Column:
 def floor_minutes(ts, minutes: int = 15) -> Column:
     """Floor a timestamp to a ``minutes`` grid inside its hour, type-preserving.
 
-    Built from the hour truncation plus a whole-minute offset and cast back to
-    the input type (``date_trunc`` alone returns a zoned timestamp).
+    Subtracts the minutes past the grid line and the (fractional) seconds, so
+    a timestamp_ntz column never passes through the session time zone.
     """
     c = as_col(ts)
-    offset = F.make_dt_interval(F.lit(0), F.lit(0),
-                                (F.floor(F.minute(c) / minutes) * minutes).cast("int"),
-                                F.lit(0))
-    return (F.date_trunc("hour", c) + offset).cast("timestamp_ntz")
+    past = F.make_dt_interval(F.lit(0), F.lit(0), (F.minute(c) % minutes).cast("int"),
+                              F.extract(F.lit("SECOND"), c))
+    return c - past
 
 
 def to_date_key(ts) -> Column:

@@ -228,7 +228,7 @@ def fact_target(spark, d) -> DataFrame:
         F.when(F.col("event_type") == "signup", F.lit(None).cast("double"))
         .otherwise(F.col("aht")).alias("AHT"),
         F.col("value").alias("CALLVOLUME"),
-        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("RecordCreatedDateTime"),
+        F.to_date("ts").cast("timestamp_ntz").alias("RecordCreatedDateTime"),
         F.col("DateTime").alias("RecordLastModifiedDateTime"))
 
 
@@ -255,7 +255,7 @@ def wide_slots(spark, d, n_slots: int = 96) -> DataFrame:
     f = fact15(spark, d).withColumn(
         "__slot", (F.hour("ts") * 4 + F.floor(F.minute("ts") / 15) + 1).cast("int"))
     wide = (f.groupBy(F.col("QueueID"),
-                      F.date_trunc("day", "ts").cast("timestamp_ntz").alias("BaseDateTime"))
+                      F.to_date("ts").cast("timestamp_ntz").alias("BaseDateTime"))
             .pivot("__slot", list(range(1, n_slots + 1)))
             .agg(F.max("aht").alias("AHT"), F.sum("value").alias("CALLVOLUME")))
     return wide.select(

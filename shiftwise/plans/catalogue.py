@@ -37,6 +37,7 @@ from shiftwise.plans import domain_counts as DC
 from shiftwise.plans import staffing as S
 from shiftwise.plans import utilisation as U
 from shiftwise.plans.slots import slot_rows
+from shiftwise.plans.synchronise import sync_table
 from shiftwise.session import scratch_path
 from shiftwise.sources.sinks import write_clustered, write_table
 
@@ -337,6 +338,16 @@ def q_sync_fact_on_change(spark, d):
                         "fact_on_change", A.NOW, stage_names=FACT_STAGE_NAMES, removed=None))
 
 
+def q_sync_write_back(spark, d):
+    # Target written to a path, synchronised in place (staged overwrite), read back.
+    path = scratch_path(spark, "fact_target")
+    write_table(A.fact_target(spark, d), path)
+    back = sync_table(spark, path, A.fact_stage(spark, d), FACT_KEYS, FACT_VALUES,
+                      "fact_on_change", A.NOW, kind="parquet", stage_names=FACT_STAGE_NAMES,
+                      removed=None)
+    return rounded(back)
+
+
 def q_except_distinct(spark, d):
     o, c = A.table(spark, d, "orders"), A.table(spark, d, "customer")
     return o.select(F.col("o_custkey").alias("custkey")).subtract(
@@ -414,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "sync_dimension": q_sync_dimension,
     "sync_fact_always": q_sync_fact_always,
     "sync_fact_on_change": q_sync_fact_on_change,
+    "sync_write_back": q_sync_write_back,
     "except_distinct": q_except_distinct,
     "payload_unpack": q_payload_unpack,
     "payload_by_schema": q_payload_by_schema,

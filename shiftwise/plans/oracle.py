@@ -554,6 +554,7 @@ ORACLE: dict[str, str] = {
     "sync_dimension": SYNC_DIMENSION,
     "sync_fact_always": SYNC_FACT_ALWAYS,
     "sync_fact_on_change": SYNC_FACT_ON_CHANGE,
+    "sync_write_back": SYNC_FACT_ON_CHANGE,
     "except_distinct": EXCEPT_DISTINCT,
     "payload_unpack": PAYLOAD_UNPACK,
     "payload_by_schema": PAYLOAD_BY_SCHEMA,

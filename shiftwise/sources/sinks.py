@@ -19,7 +19,8 @@ def _is_path(target: str) -> bool:
 
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "parquet",
                 source_system: str | None = None, partition_by: Sequence[str] | None = None,
-                staged: bool = False, options: dict | None = None) -> None:
+                staged: bool = False, options: dict | None = None,
+                bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Write ``df`` to a catalog table or a path with the job's load type.
 
     ``source_system`` tags every row with a ``source_system`` column.
@@ -27,6 +28,9 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     result is first checkpointed to the shared checkpoint folder (lineage to
     ``target`` cut, survives executor loss), so overwriting ``target`` can no
     longer truncate the input it is still reading.
+    ``bucket_by=(n, keys)`` (catalog tables only) stores the table hashed and
+    sorted on ``keys`` in ``n`` buckets: later joins and aggregations on those
+    keys read it without shuffling it (e.g. every sync run against it).
     """
     mode = (mode or "overwrite").lower()
     if mode not in LOAD_MODES:
@@ -39,6 +43,11 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     w = df.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        if _is_path(target):
+            raise ValueError("bucketing needs a catalog table, not a path")
+        n, keys = bucket_by
+        w = w.bucketBy(int(n), *keys).sortBy(*keys)
     if _is_path(target):
         w.save(target)
     else:

@@ -11,8 +11,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from shiftwise.session import get_session
-    s = get_session("local[4]", app_name="shiftwise-tests", shuffle_partitions=4)
+    # Local test run: catalog tables go to a fresh folder (a cluster names its own).
+    s = get_session("local[4]", app_name="shiftwise-tests", shuffle_partitions=4,
+                    extra_conf={"spark.sql.warehouse.dir":
+                                tempfile.mkdtemp(prefix="shiftwise-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 

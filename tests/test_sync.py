@@ -137,3 +137,23 @@ def test_unknown_policy(spark):
     target, stage = _fact(spark)
     with pytest.raises(ValueError):
         _fact_sync(target, stage, "merge")
+
+
+def test_sync_table_bucketed_write_back(spark):
+    import uuid
+
+    from shiftwise.plans.synchronise import sync_table
+    from shiftwise.sources.sinks import write_table
+
+    target, stage = _fact(spark)
+    keys = ["DateTime", "CampaignID", "QueueID"]
+    name = f"fact_target_{uuid.uuid4().hex[:8]}"
+    write_table(target, name, bucket_by=(4, keys))
+    expected = rows(_fact_sync(spark.table(name), stage, "fact"))
+    back = sync_table(spark, name, stage, keys, ["AHT", "CALLVOLUME"], "fact", NOW,
+                      buckets=4, stage_names={"DateTime": "ForecastInterval"}, removed=None)
+    assert rows(back) == expected
+    # next run: the bucketed target is read in place, only the stage is shuffled
+    plan = _fact_sync(spark.table(name), stage, "fact")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
