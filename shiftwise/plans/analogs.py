@@ -27,8 +27,16 @@ BANNED_DOMAIN = "PROMO"
 WINDOW = ("1995-01-01", "2001-12-31")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A fresh read of one test table. The schema is taken from the file once
+    and then passed explicitly, so repeated reads skip schema inference."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _ntz(s: str) -> Column:

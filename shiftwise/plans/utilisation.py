@@ -108,20 +108,32 @@ def view_counts(clicks, clicks_alt, p: UtilisationParams, start, end) -> DataFra
 
 def link_activity(articles, links, p: UtilisationParams, start, end) -> DataFrame:
     """Per link day and article key: use / reference link counts and the
-    article's attributes (max over the group); ``quality_score`` starts at 0."""
-    art_link = articles.join(links, articles["id"] == links["article_id"], "inner")
+    article's attributes (max over the group); ``quality_score`` starts at 0.
+
+    Links are first counted per (day, article id) with a hash aggregate, and
+    only those counts are joined to the articles and rolled up to the six
+    keys. Sums of per-article counts equal counts over link rows, and maxima of
+    article attributes are unchanged, but the string maxima (which Spark can
+    only aggregate by sorting) now see one row per article-day instead of one
+    per link - a hot article costs a single row per day.
+    """
+    per_day = (links.filter(F.to_date("link_date").between(start, end))
+               .groupBy(F.to_date("link_date").alias("link_date"), "article_id")
+               .agg(count_where(F.col("link_type") == p.use_type).alias("__use"),
+                    count_where(F.col("link_type") == p.reference_type).alias("__ref")))
     d = F.col("domain")
-    return (art_link
-            .filter(F.to_date("link_date").between(start, end) & d.isNotNull()
-                    & (d != F.lit(p.banned_domain)) & ~d.contains(p.separator))
-            .groupBy(F.to_date("link_date").alias("link_date"), "domain",
+    arts = articles.filter(d.isNotNull() & (d != F.lit(p.banned_domain))
+                           & ~d.contains(p.separator))
+    joined = per_day.join(arts, per_day["article_id"] == arts["id"], "inner")
+    return (joined
+            .groupBy("link_date", "domain",
                      F.col("article_number").cast("string").alias("article_number"),
                      F.col("title").alias("document_title"),
                      label_map("record_type_id", p.record_types).alias("record_type_description"),
                      "governance")
             .agg(F.max(F.to_date("created_date")).alias("article_created_date"),
-                 count_where(F.col("link_type") == p.use_type).alias("Use_Counts"),
-                 count_where(F.col("link_type") == p.reference_type).alias("Reference_Counts"),
+                 F.sum("__use").cast("bigint").alias("Use_Counts"),
+                 F.sum("__ref").cast("bigint").alias("Reference_Counts"),
                  F.max("product_line").alias("product_line"),
                  F.max("shared_with").alias("shared_with"),
                  F.max("validation_status").alias("validation_status"),

@@ -8,12 +8,13 @@ PATH_FORMATS = ("parquet", "orc", "csv", "json", "text", "delta", "avro")
 
 
 def read_source(spark: SparkSession, kind: str, name_or_path: str | None = None,
-                columns=None, **options) -> DataFrame:
+                columns=None, schema=None, **options) -> DataFrame:
     """Read a catalog table (``table``), a path in a file format, or a JDBC
     relation (``jdbc``; pass ``url`` and ``dbtable``/``query`` in ``options``).
 
     ``columns`` projects right after the read so Catalyst prunes the scan to
-    them (parquet ``ReadSchema`` / JDBC column list).
+    them (parquet ``ReadSchema`` / JDBC column list). ``schema`` (a
+    ``StructType`` or DDL string) skips schema inference for path formats.
     """
     kind = kind.lower()
     if kind == "table":
@@ -21,7 +22,10 @@ def read_source(spark: SparkSession, kind: str, name_or_path: str | None = None,
     elif kind == "jdbc":
         df = read_jdbc(spark, **options)
     elif kind in PATH_FORMATS:
-        df = spark.read.format(kind).options(**options).load(name_or_path)
+        reader = spark.read.format(kind).options(**options)
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.load(name_or_path)
     else:
         raise ValueError(f"unknown source kind {kind!r}")
     return df.select(*columns) if columns else df
