@@ -46,7 +46,13 @@ def get_session(master: str | None = None, app_name: str = "shiftwise",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
