@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from shiftwise.functions.aggregates import count_where, ratio_of_sums, weighted_average
+from shiftwise.functions.aggregates import half_hour_mean_sum, ratio_of_sums, weighted_average
 from shiftwise.functions.labels import label_map
 from shiftwise.functions.predicates import in_range, positive, valid_label
 from shiftwise.functions.temporal import half_hour_floor, reporting_week
@@ -74,9 +74,8 @@ def _all_facts(spark, d):
 def q_validity_join(spark, d, strategy="auto"):
     facts = _all_facts(spark, d)
     out = S.fact_stage(facts, _fmap(spark, d), A.REPORT_START, A.REPORT_END, "FTE",
-                       [F.sum("FTE").alias("__s")], strategy=strategy)
-    return rounded(out.select(F.col("DateTime").cast("timestamp_ntz").alias("DateTime"),
-                              *S.REPORT_KEYS[1:], (F.col("__s") / 2.0).alias("ForecastRequired")))
+                       [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strategy)
+    return rounded(out)
 
 
 def q_validity_join_binned(spark, d):

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import rows
 from shiftwise.plans import presets as P
 
@@ -74,4 +72,3 @@ def test_domain_counts_from_tables(spark):
 def test_renamed_is_case_insensitive(spark):
     df = spark.createDataFrame([(1, 2)], "CLICK_ID int, other int")
     assert P.renamed(df, P.CLICK_COLUMNS).columns == ["click_id", "other"]
-    assert F is not None
