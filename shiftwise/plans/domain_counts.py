@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from shiftwise.functions.aggregates import count_unless
 from shiftwise.functions.labels import relabel
 from shiftwise.functions.predicates import valid_label
+from shiftwise.operators._checks import broadcast_if_small
 from shiftwise.operators.reshape import explode_list
 
 
+VERSION_BROADCAST_MAX_ROWS = 1_000_000
+
+
 def _as_of(date_col: str, as_of):
     return F.to_date(F.col(date_col)) <= F.lit(as_of).cast("date")
 
@@ -52,6 +56,9 @@ def bookmark_counts(bookmarks: DataFrame, versions: DataFrame, as_of, bm_date: s
         F.col(bm_article).alias("__article"), F.col(bm_id).alias("__bm"))
     v = versions.filter(F.col(version_domain) != F.lit(banned)).select(
         F.col(version_id).alias("__vid"), F.col(version_domain).alias("__domain"))
+    # Versions are a dimension: shipped to the bookmark scan when proven small,
+    # so a heavily bookmarked article never concentrates in one join task.
+    v = broadcast_if_small(v, VERSION_BROADCAST_MAX_ROWS)
     j = b.join(v, F.col("__article") == F.col("__vid"), "inner")
     return (j.withColumn("domain", relabel("__domain", relabels or {}))
             .withColumn("date", F.lit(as_of).cast("date"))

@@ -14,7 +14,7 @@ Expected inputs (column names):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -24,6 +24,7 @@ from shiftwise.functions.aggregates import count_unless, count_where
 from shiftwise.functions.labels import label_map
 from shiftwise.functions.predicates import valid_label
 from shiftwise.functions.temporal import reporting_week
+from shiftwise.operators._checks import rows_at_most
 from shiftwise.operators.combine import backfill, enrich, union_canonical
 from shiftwise.operators.ranking import latest_per_key
 from shiftwise.operators.rollup import two_level_count
@@ -32,6 +33,7 @@ KEYS = ["date", "domain", "article_number", "document_title", "record_type_descr
         "governance"]
 ATTRS = ["article_created_date", "product_line", "shared_with", "validation_status",
          "last_modified_date"]
+ARTICLE_BROADCAST_MAX_ROWS = 1_000_000  # article dimension shipped to every task below this
 OUTPUT = KEYS + ["article_view_counts", "Use_Counts", "Reference_Counts", "article_created_date",
                  "product_line", "shared_with", "validation_status", "link_date",
                  "last_modified_date", "created_flag_count", "quality_score"]
@@ -48,6 +50,13 @@ class UtilisationParams:
     use_type: str = "Use"
     reference_type: str = "Reference"
     excluded_flag_status: Sequence[str] = field(default_factory=lambda: ["Draft", "Withdrawn"])
+    # Set by utilisation_summary after a bounded count of the article table.
+    articles_small: bool = False
+
+
+def _small(df: DataFrame, p: UtilisationParams) -> DataFrame:
+    """Broadcast an article-sized frame when the article table is proven small."""
+    return F.broadcast(df) if p.articles_small else df
 
 
 def _window(run_date, window):
@@ -77,7 +86,7 @@ def activity_base(clicks, clicks_alt, articles, links, flags, p: UtilisationPara
             F.to_date("datetime").alias("date"), "domain", "article_number", "document_title",
             F.col("article_record_type").alias("record_type_description"), "governance")
 
-    art_link = articles.join(links, articles["id"] == links["article_id"], "inner")
+    art_link = _small(articles, p).join(links, articles["id"] == links["article_id"], "inner")
     kav = art_link.filter(in_window("link_date") & valid("domain")).select(
         F.to_date("link_date").alias("date"), "domain", "article_number",
         F.col("title").alias("document_title"),
@@ -124,7 +133,7 @@ def link_activity(articles, links, p: UtilisationParams, start, end) -> DataFram
     d = F.col("domain")
     arts = articles.filter(d.isNotNull() & (d != F.lit(p.banned_domain))
                            & ~d.contains(p.separator))
-    joined = per_day.join(arts, per_day["article_id"] == arts["id"], "inner")
+    joined = per_day.join(_small(arts, p), per_day["article_id"] == arts["id"], "inner")
     return (joined
             .groupBy("link_date", "domain",
                      F.col("article_number").cast("string").alias("article_number"),
@@ -184,7 +193,9 @@ def utilisation_summary(clicks: DataFrame, clicks_alt: DataFrame, articles: Data
     flag counts (``how`` = inner as written, or left to keep every base row),
     NULL attributes backfilled from the latest link, latest same-day score
     attached, filtered to the wanted governance values."""
-    p = params
+    # One bounded count decides the join strategy for every article-sized side:
+    # the articles themselves and the one-row-per-article latest attributes.
+    p = replace(params, articles_small=rows_at_most(articles, ARTICLE_BROADCAST_MAX_ROWS))
     start, end = _window(run_date, window)
     base = activity_base(clicks, clicks_alt, articles, links, flags, p, start, end)
     step1 = enrich(base, view_counts(clicks, clicks_alt, p, start, end), KEYS, how)
@@ -195,8 +206,8 @@ def utilisation_summary(clicks: DataFrame, clicks_alt: DataFrame, articles: Data
                    fact_keys=["link_date"] + KEYS[1:])
     step3 = enrich(step2, flag_activity(flags, p, start, end), KEYS, how,
                    columns=["created_flag_count"], fact_keys=["submitted_date"] + KEYS[1:])
-    filled = backfill(step3, latest_article_attrs(articles, links, p), ["article_number"],
-                      ATTRS)
+    filled = backfill(step3, _small(latest_article_attrs(articles, links, p), p),
+                      ["article_number"], ATTRS)
     scored = enrich(filled, latest_daily_score(scores), ["article_number", "date"], "left",
                     columns=["quality_score"], fact_keys=["article_number", "score_date"])
     return scored.filter(F.col("governance").isin(list(p.governance))).select(*OUTPUT)
