@@ -272,6 +272,28 @@ def wide_slots(spark, d, n_slots: int = 96) -> DataFrame:
         *[F.col(f"{i}_CALLVOLUME").alias(f"CALLVOLUME{i}") for i in range(1, n_slots + 1)])
 
 
+def slot_tables(spark, d) -> tuple[DataFrame, ...]:
+    """Campaign / plan / instance / series / queue tables for the slot report:
+    region -> nation -> customer (base instance for two segments) -> wide
+    events series (instance = user) -> nation as queue."""
+    campaigns = table(spark, d, "region").select(F.col("r_regionkey").alias("ID"),
+                                                 F.col("r_name").alias("NAME"))
+    plans = table(spark, d, "nation").select(F.col("n_nationkey").alias("ID"),
+                                             F.col("n_regionkey").alias("CAMPAIGNID"))
+    instances = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("ID"), F.col("c_nationkey").alias("SPID"),
+        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit(1))
+        .otherwise(F.lit(0)).alias("ISBASE"))
+    queues = table(spark, d, "nation").select(F.col("n_nationkey").alias("ID"),
+                                              F.col("n_name").alias("NAME"))
+    wide = wide_slots(spark, d)
+    series = wide.select(F.col("QueueID").alias("FORECASTINSTANCEID"),
+                         (F.col("QueueID") % 25).cast("int").alias("SQUEUEID"),
+                         F.col("BaseDateTime").alias("DATETIME"),
+                         *[c for c in wide.columns if c.startswith(("AHT", "CALLVOLUME"))])
+    return campaigns, plans, instances, series, queues
+
+
 LOG_BLOCK = 1000  # events per payload block: bounds every payload's size
 
 

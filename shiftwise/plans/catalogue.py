@@ -36,7 +36,7 @@ from shiftwise.plans import analogs as A
 from shiftwise.plans import domain_counts as DC
 from shiftwise.plans import staffing as S
 from shiftwise.plans import utilisation as U
-from shiftwise.plans.slots import slot_rows
+from shiftwise.plans.slots import slot_report, slot_rows
 from shiftwise.plans.synchronise import sync_table
 from shiftwise.session import scratch_path
 from shiftwise.sources.sinks import write_clustered, write_table
@@ -166,6 +166,12 @@ def q_unpivot_slots(spark, d):
     return rounded(slot_rows(wide, ["QueueID", "BaseDateTime"], 96, volume_prefix="CALLVOLUME"))
 
 
+def q_slot_report(spark, d):
+    out = slot_report(*A.slot_tables(spark, d), "2024-01-02", "2024-01-29",
+                      windows=[("2024-01-10 00:00:00", "2024-01-10 00:45:00")])
+    return rounded(out)
+
+
 def q_chain_join(spark, d):
     r, n, c, o, li = (A.table(spark, d, t) for t in
                       ("region", "nation", "customer", "orders", "lineitem"))
@@ -417,6 +423,7 @@ QUERIES: dict[str, Query] = {
     "asof_domain_counts": q_asof_domain_counts,
     "split_explode_count": q_split_explode_count,
     "chain_join": q_chain_join,
+    "slot_report": q_slot_report,
     "unpivot_slots": q_unpivot_slots,
     "exclude_windows": q_exclude_windows,
     "stage_bounds": q_stage_bounds,

@@ -241,6 +241,24 @@ FROM (SELECT user_id AS QueueID, CAST(date_trunc('day', ts) AS TIMESTAMP) AS Bas
 WHERE BaseDateTime >= TIMESTAMP '2024-01-02' AND BaseDateTime <= TIMESTAMP '2024-01-29'
   AND CallVolume >= 0"""
 
+SLOT_REPORT = f"""
+WITH s AS (SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS BaseDateTime,
+                  CAST(hour(ts) * 4 + floor(minute(ts) / 15) + 1 AS INTEGER) AS slot,
+                  MAX(CAST(event_id % 600 + 60 AS DOUBLE)) AS AHT, SUM(value) AS CallVolume
+           FROM events GROUP BY 1, 2, 3)
+SELECT r.r_regionkey AS CampaignID, r.r_name AS CampaignName, q.n_nationkey AS QueueID,
+       q.n_name AS QueueName, s.BaseDateTime, s.slot,
+       s.BaseDateTime + to_minutes(CAST((s.slot - 1) * 15 AS BIGINT)) AS slot_ts,
+       {r6('s.AHT')} AS AHT, {r6('s.CallVolume')} AS CallVolume
+FROM s JOIN customer c ON s.user_id = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey
+JOIN nation q ON CAST(s.user_id % 25 AS INTEGER) = q.n_nationkey
+WHERE c.c_mktsegment IN ('BUILDING', 'MACHINERY')
+  AND s.BaseDateTime >= TIMESTAMP '2024-01-02' AND s.BaseDateTime <= TIMESTAMP '2024-01-29'
+  AND s.CallVolume >= 0
+  AND NOT (s.BaseDateTime BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 00:45:00')"""
+
 CHAIN_JOIN = f"""
 SELECT r_name, n_name, c_custkey, o_orderkey, l_linenumber, {r6('l_quantity')} AS l_quantity
 FROM region JOIN nation ON r_regionkey = n_regionkey
@@ -547,6 +565,7 @@ ORACLE: dict[str, str] = {
     "asof_domain_counts": ASOF_DOMAIN_COUNTS,
     "split_explode_count": SPLIT_EXPLODE_COUNT,
     "chain_join": CHAIN_JOIN,
+    "slot_report": SLOT_REPORT,
     "unpivot_slots": UNPIVOT_SLOTS,
     "exclude_windows": EXCLUDE_WINDOWS,
     "stage_bounds": STAGE_BOUNDS,
