@@ -161,3 +161,11 @@ def test_run_staffing_outlook_writes_clustered(spark):
                                   now="2025-09-01 00:00:00")
     assert rows(back) == rows(expected)
     assert not spark.sparkContext._jsc.getPersistentRDDs().values()   # map released
+
+
+def test_outlook_keys_unique_when_contract_unique(spark):
+    hist, vmap, fte, queue, volume, req, model = _outlook_inputs(spark)
+    req = req.dropDuplicates(["ViewName", "DateTime"])     # one contract row per key
+    out = S.staffing_outlook(hist, vmap, fte, queue, volume, req, model,
+                             "2025-07-13", "2025-08-31", ["Staffing Outlook"], now="2025-09-01")
+    assert out.count() == out.select(*S.REPORT_KEYS).distinct().count() == 4
