@@ -17,7 +17,8 @@ from shiftwise.plans import staffing as S
 from shiftwise.plans.slots import slot_report
 from shiftwise.plans.utilisation import UtilisationParams, utilisation_summary
 
-# --- fixed values of the original jobs (business constants, as given) ---------
+# --- fixed values of the original jobs: business constants and the original
+# --- table column names, as given (not derived) -----------------------------
 OUTLOOK_FILTER_NAMES = ["Staffing Outlook", "EHS Staffing Outlook", "ESS Staffing Outlook"]
 OUTLOOK_START = "2025-07-13"
 OUTLOOK_END = "2025-08-31"
@@ -44,7 +45,7 @@ SLOT_END = "2023-04-07"
 SLOT_EXCLUDED_WINDOWS = [("2022-11-06 02:00:00", "2022-11-06 02:45:00"),
                          ("2023-03-13 04:00:00", "2023-03-13 04:45:00")]
 
-# Original column name -> input contract name.
+# Original column name -> input contract name (fixed values as well).
 CLICK_COLUMNS = {"click_Id": "click_id"}
 ARTICLE_COLUMNS = {"domain__c": "domain", "articlenumber": "article_number",
                    "RECORDTYPEID": "record_type_id", "GOVERNANCE__C": "governance",

@@ -20,7 +20,8 @@ def _is_path(target: str) -> bool:
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "parquet",
                 source_system: str | None = None, partition_by: Sequence[str] | None = None,
                 staged: bool = False, options: dict | None = None,
-                bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+                bucket_by: tuple[int, Sequence[str]] | None = None,
+                dynamic_partitions: bool = False) -> None:
     """Write ``df`` to a catalog table or a path with the job's load type.
 
     ``source_system`` tags every row with a ``source_system`` column.
@@ -31,6 +32,9 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     ``bucket_by=(n, keys)`` (catalog tables only) stores the table hashed and
     sorted on ``keys`` in ``n`` buckets: later joins and aggregations on those
     keys read it without shuffling it (e.g. every sync run against it).
+    ``dynamic_partitions=True`` with ``partition_by`` makes an overwrite
+    replace only the partitions present in ``df`` (an incremental load of a
+    few days rewrites those days, not the whole table).
     """
     mode = (mode or "overwrite").lower()
     if mode not in LOAD_MODES:
@@ -43,6 +47,10 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     w = df.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
+        if dynamic_partitions:
+            w = w.option("partitionOverwriteMode", "dynamic")
+    elif dynamic_partitions:
+        raise ValueError("dynamic_partitions needs partition_by")
     if bucket_by:
         if _is_path(target):
             raise ValueError("bucketing needs a catalog table, not a path")

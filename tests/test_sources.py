@@ -62,3 +62,14 @@ def test_write_clustered_sorted_ranges(spark):
     assert len(per_file) >= 2
     for a, b in zip(per_file, per_file[1:]):
         assert a.hi < b.lo   # files hold disjoint key ranges
+
+
+def test_write_table_dynamic_partition_overwrite(spark):
+    path = scratch_path(spark, "parts")
+    df = spark.createDataFrame([("d1", 1), ("d2", 2), ("d3", 3)], "day string, v int")
+    write_table(df, path, partition_by=["day"])
+    fresh = spark.createDataFrame([("d2", 20)], "day string, v int")
+    write_table(fresh, path, partition_by=["day"], dynamic_partitions=True)
+    assert rows(spark.read.parquet(path), "day", "v") == [("d1", 1), ("d2", 20), ("d3", 3)]
+    with pytest.raises(ValueError):
+        write_table(fresh, path, dynamic_partitions=True)
