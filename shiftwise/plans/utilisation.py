@@ -50,7 +50,7 @@ class UtilisationParams:
     use_type: str = "Use"
     reference_type: str = "Reference"
     excluded_flag_status: Sequence[str] = field(default_factory=lambda: ["Draft", "Withdrawn"])
-    # Set by utilisation_summary after a bounded count of the article table.
+    # Set by utilisation_summary after an exact count of the article table.
     articles_small: bool = False
 
 
@@ -193,7 +193,7 @@ def utilisation_summary(clicks: DataFrame, clicks_alt: DataFrame, articles: Data
     flag counts (``how`` = inner as written, or left to keep every base row),
     NULL attributes backfilled from the latest link, latest same-day score
     attached, filtered to the wanted governance values."""
-    # One bounded count decides the join strategy for every article-sized side:
+    # One count decides the join strategy for every article-sized side:
     # the articles themselves and the one-row-per-article latest attributes.
     p = replace(params, articles_small=rows_at_most(articles, ARTICLE_BROADCAST_MAX_ROWS))
     start, end = _window(run_date, window)
