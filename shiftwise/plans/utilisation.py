@@ -164,8 +164,16 @@ def flag_activity(flags, p: UtilisationParams, start, end) -> DataFrame:
 
 
 def latest_article_attrs(articles, links, p: UtilisationParams) -> DataFrame:
-    """Article attributes of each article number's most recent link."""
-    joined = articles.join(links, articles["id"] == links["article_id"], "left").filter(
+    """Article attributes of each article number's most recent link.
+
+    Only an article's newest link can rank first for it, so links are first
+    reduced to ``max(link_date)`` per article id (a hash aggregate: a heavily
+    linked article becomes one row before any shuffle). The left join then
+    meets at most one row per article, and the ranking per article number
+    (latest link day, then link time, then article id) is unchanged.
+    """
+    newest = links.groupBy("article_id").agg(F.max("link_date").alias("link_date"))
+    joined = articles.join(newest, articles["id"] == newest["article_id"], "left").filter(
         valid_label("domain", p.banned_domain, p.separator))
     ranked = latest_per_key(
         joined.withColumn("__an", F.col("article_number").cast("string")),
