@@ -68,11 +68,14 @@ def write_clustered(df: DataFrame, target: str, cols: Sequence[str], mode: str =
     within each partition, so every output file covers a narrow, sorted key
     range (min/max statistics let later scans skip files).
 
-    A hash of the whole row is the last range key: rows sharing one hot key
-    value are spread over several partitions instead of one, and the hash is
-    deterministic, so a retried task rebuilds exactly the same partitions."""
+    A hash of the whole row, then the input partition id, are the last range
+    keys: rows sharing one hot key value - even exact copies of one row - are
+    spread over several partitions instead of one. Both are deterministic (a
+    partition's rows do not change on recompute), so a retried task rebuilds
+    exactly the same partitions."""
     cols = list(cols)
-    order = [*cols, F.xxhash64(*df.columns).alias("__row_hash")]
+    order = [*cols, F.xxhash64(*df.columns).alias("__row_hash"),
+             F.spark_partition_id().alias("__input_part")]
     parts = df.repartitionByRange(num_partitions, *order) if num_partitions \
         else df.repartitionByRange(*order)
     w = parts.sortWithinPartitions(*cols).write.format(fmt).mode(mode)

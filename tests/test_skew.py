@@ -82,3 +82,18 @@ def test_latest_per_key_hot_key_is_limited_before_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert dict(rows(out, "k", "v"))[0] == 5997
+
+
+def test_clustered_write_spreads_copies_of_one_row(spark):
+    from shiftwise.session import scratch_path
+    from shiftwise.sources.sinks import write_clustered
+
+    hot = spark.range(3000).select(F.lit(7).alias("k")).repartition(6)   # 3000 copies
+    rest = spark.range(6000).select((F.col("id") % 500).alias("k"))
+    path = scratch_path(spark, "copies")
+    write_clustered(hot.unionByName(rest), path, ["k"], num_partitions=8)
+    back = spark.read.parquet(path)
+    assert back.count() == 9000
+    files_with_hot = back.filter("k = 7").select(F.input_file_name()).distinct().count()
+    assert files_with_hot > 1
+    assert rows(back.groupBy("k").count().filter("k = 7")) == [(7, 3012)]
