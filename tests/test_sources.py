@@ -73,3 +73,15 @@ def test_write_table_dynamic_partition_overwrite(spark):
     assert rows(spark.read.parquet(path), "day", "v") == [("d1", 1), ("d2", 20), ("d3", 3)]
     with pytest.raises(ValueError):
         write_table(fresh, path, dynamic_partitions=True)
+
+
+def test_jdbc_date_predicates():
+    from shiftwise.sources import jdbc_date_predicates
+    preds = jdbc_date_predicates("DateTime", "2025-07-13", "2025-07-20", days_per_slice=3)
+    assert preds == [
+        "DateTime >= '2025-07-13' AND DateTime < '2025-07-16'",
+        "DateTime >= '2025-07-16' AND DateTime < '2025-07-19'",
+        "DateTime >= '2025-07-19' AND DateTime < '2025-07-20'",
+    ]
+    with pytest.raises(ValueError):
+        jdbc_date_predicates("d", "2025-01-02", "2025-01-01")
