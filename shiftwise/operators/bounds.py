@@ -31,3 +31,10 @@ def exclude_windows(df: DataFrame, ts: str, windows: Iterable[Sequence]) -> Data
     """Drop rows whose ``ts`` lies in any inclusive ``(lo, hi)`` window (rows
     with a NULL ``ts`` are dropped too, as ``NOT (NULL)`` is not true)."""
     return df.filter(~within_windows(ts, list(windows)))
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "n_rows") -> DataFrame:
+    """Key values held by more than one row, with their row count - the check
+    a unique index on ``keys`` would enforce. Counting is a partial aggregate,
+    so a heavily repeated key costs one row per task before the shuffle."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)).filter(F.col(alias) > 1)

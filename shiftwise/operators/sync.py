@@ -17,7 +17,8 @@ Policies
 ``fact``       target-only: delete. both: ``coalesce(stage, target)`` per
                value, modified = now. stage-only: insert.
 ``fact_on_change``  as ``fact``, but a matched row is updated only when some
-               value is NULL on exactly one side; otherwise it is kept as is.
+               value is NULL on exactly one side (``on_change="value"``: when
+               any value differs); otherwise it is kept as is.
 """
 
 from __future__ import annotations
@@ -37,14 +38,17 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
          created: str = "RecordCreatedDateTime",
          modified: str = "RecordLastModifiedDateTime",
          removed: str | None = "RecordRemovedDateTime",
-         revive_only: bool = False, keep_target_if_stage_empty: bool = False) -> DataFrame:
+         revive_only: bool = False, keep_target_if_stage_empty: bool = False,
+         on_change: str = "nullness") -> DataFrame:
     """Return the new state of ``target`` (same columns, one row per key).
 
     ``stage_names`` maps a target column to its stage column name when they
     differ (e.g. ``{"DateTime": "ForecastInterval"}``). ``now`` is the load
     stamp (a literal or Column; pass a fixed value for reproducible output).
     ``keep_target_if_stage_empty`` guards the fact policies against deleting
-    every row when the stage snapshot is empty.
+    every row when the stage snapshot is empty. ``on_change`` picks the
+    ``fact_on_change`` test: ``"nullness"`` (as written: a value is NULL on
+    exactly one side) or ``"value"`` (any value differs, NULL-safe).
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
@@ -75,8 +79,12 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
         update = both & (changed(tv, sv) | gate)
     elif policy == "fact":
         update = both
-    else:
+    elif on_change == "nullness":
         update = both & nullness_changed(tv, sv)
+    elif on_change == "value":
+        update = both & changed(tv, sv, null_safe=True)
+    else:
+        raise ValueError("on_change must be 'nullness' or 'value'")
 
     out = []
     for c in target.columns:

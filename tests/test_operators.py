@@ -263,3 +263,10 @@ def test_reaggregate_half_hour(spark):
     out = reaggregate_half_hour(df, "t", ["k"], "v", "fte")
     assert rows(out, "DateTime", "fte") == [(ts("2024-01-01 10:00:00"), 3.5),
                                             (ts("2024-01-01 10:30:00"), 4.0)]
+
+
+def test_duplicate_keys(spark):
+    from shiftwise.operators import duplicate_keys
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c")],
+                               "k int, v string")
+    assert rows(duplicate_keys(df, ["k"])) == [(1, 2), (None, 2)]

@@ -157,3 +157,14 @@ def test_sync_table_bucketed_write_back(spark):
     plan = _fact_sync(spark.table(name), stage, "fact")._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fact_on_change_value_test(spark):
+    target, stage = _fact(spark)
+    got = {r.QueueID: (r.AHT, r.CALLVOLUME, r.RecordLastModifiedDateTime)
+           for r in _fact_sync(target, stage, "fact_on_change", on_change="value").collect()}
+    assert got[4] == (100.0, 5.0, T0)         # equal: untouched
+    assert got[5] == (200.0, 9.0, NOW_TS)     # value differs: updated
+    assert got[2] == (100.0, 6.0, NOW_TS)     # NULL vs value counts as a change
+    with pytest.raises(ValueError):
+        _fact_sync(target, stage, "fact_on_change", on_change="sometimes")
