@@ -16,6 +16,8 @@ from shiftwise.plans import domain_counts as DC
 from shiftwise.plans import staffing as S
 from shiftwise.plans.slots import slot_report
 from shiftwise.plans.utilisation import UtilisationParams, utilisation_summary
+from shiftwise.sources.readers import read_source
+from shiftwise.sources.sinks import write_table
 
 # --- fixed values of the original jobs: business constants and the original
 # --- table column names, as given (not derived) -----------------------------
@@ -115,3 +117,28 @@ def slots_from_tables(campaigns, plans, instances, series, queues, start=SLOT_ST
     """Base forecast series as one row per quarter-hour slot."""
     return slot_report(campaigns, plans, instances, series, queues, start, end,
                        n_slots=n_slots, windows=windows)
+
+
+UTILISATION_INPUTS = ("clicks", "clicks_alt", "knowledge", "links", "flags", "scores")
+OUTLOOK_INPUTS = ("history", "view_map", "fte", "queue", "volume", "requirement", "model")
+
+
+def utilisation_job(spark, tables: Mapping[str, str], target: str, load_type: str = "overwrite",
+                    run_date=None, window=None, source_system: str | None = None,
+                    how: str = "inner") -> None:
+    """Read the six inputs by catalog name (``tables`` maps each name in
+    ``UTILISATION_INPUTS`` to a table), build the summary and write it with
+    the job's load type, tagged with the source system."""
+    t = {k: read_source(spark, "table", tables[k]) for k in UTILISATION_INPUTS}
+    out = utilisation_from_tables(*(t[k] for k in UTILISATION_INPUTS), run_date=run_date,
+                                  window=window, how=how)
+    write_table(out, target, mode=load_type, source_system=source_system)
+
+
+def outlook_job(spark, tables: Mapping[str, str], target: str, start=OUTLOOK_START,
+                end=OUTLOOK_END, filter_names=OUTLOOK_FILTER_NAMES, **options) -> None:
+    """Read the seven inputs by catalog name and replace ``target`` with the
+    clustered outlook report."""
+    t = [read_source(spark, "table", tables[k]) for k in OUTLOOK_INPUTS]
+    S.run_staffing_outlook(target, *t, start, end, filter_names,
+                           cluster_by=OUTLOOK_CLUSTER_BY, **options)

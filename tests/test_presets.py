@@ -72,3 +72,31 @@ def test_domain_counts_from_tables(spark):
 def test_renamed_is_case_insensitive(spark):
     df = spark.createDataFrame([(1, 2)], "CLICK_ID int, other int")
     assert P.renamed(df, P.CLICK_COLUMNS).columns == ["click_id", "other"]
+
+
+def test_utilisation_job_reads_tables_and_writes_with_load_type(spark):
+    from shiftwise.session import scratch_path
+    names = {}
+    for key, df in zip(P.UTILISATION_INPUTS, _utilisation_tables(spark)):
+        names[key] = f"util_{key}"
+        df.createOrReplaceTempView(names[key])
+    path = scratch_path(spark, "util")
+    P.utilisation_job(spark, names, path, "overwrite", run_date="2024-01-10",
+                      source_system="knowledge")
+    P.utilisation_job(spark, names, path, "append", run_date="2024-01-10",
+                      source_system="knowledge")
+    back = spark.read.parquet(path)
+    assert back.count() == 2 and back.select("source_system").distinct().count() == 1
+
+
+def test_outlook_job(spark):
+    from test_plans import _outlook_inputs
+    from shiftwise.session import scratch_path
+    names = {}
+    for key, df in zip(P.OUTLOOK_INPUTS, _outlook_inputs(spark)):
+        names[key] = f"outlook_{key}"
+        df.createOrReplaceTempView(names[key])
+    path = scratch_path(spark, "outlook_job")
+    P.outlook_job(spark, names, path, start="2025-07-13", end="2025-08-31",
+                  filter_names=["Staffing Outlook"], now="2025-09-01")
+    assert spark.read.parquet(path).count() == 5
