@@ -37,6 +37,10 @@ REPORT_KEYS = ["DateTime", "ViewName", "Partner", "Site", "LineOfBusiness", "Ser
 MAP_ATTRS = ["Partner", "Site", "LineOfBusiness", "ServiceModel"]
 METRICS = ["ForecastRequired", "ForecastFTE", "ForecastVolume", "ForecastAHT",
            "ContractRequired", "ErlangRequired"]
+OUTPUT_DDL = ("DateTime timestamp_ntz, ViewName string, Partner string, Site string, "
+              "LineOfBusiness string, ServiceModel string, ForecastRequired double, "
+              "ForecastFTE double, ForecastVolume double, ForecastAHT double, "
+              "ContractRequired double, ErlangRequired double, DateCreated timestamp_ntz")
 START_COL = "RecordStartDateInclusive"
 END_COL = "RecordEndDateNonInclusive"
 

@@ -33,6 +33,13 @@ KEYS = ["date", "domain", "article_number", "document_title", "record_type_descr
         "governance"]
 ATTRS = ["article_created_date", "product_line", "shared_with", "validation_status",
          "last_modified_date"]
+# Output contract with the input types of the driver-shaped tables (dates as
+# DATE, counts as BIGINT; the score keeps its source type).
+OUTPUT_DDL = ("date date, domain string, article_number string, document_title string, "
+              "record_type_description string, governance string, article_view_counts bigint, "
+              "Use_Counts bigint, Reference_Counts bigint, article_created_date date, "
+              "product_line string, shared_with string, validation_status string, "
+              "link_date date, last_modified_date date, created_flag_count bigint")
 ARTICLE_BROADCAST_MAX_ROWS = 1_000_000  # article dimension shipped to every task below this
 OUTPUT = KEYS + ["article_view_counts", "Use_Counts", "Reference_Counts", "article_created_date",
                  "product_line", "shared_with", "validation_status", "link_date",

@@ -169,3 +169,19 @@ def test_outlook_keys_unique_when_contract_unique(spark):
     out = S.staffing_outlook(hist, vmap, fte, queue, volume, req, model,
                              "2025-07-13", "2025-08-31", ["Staffing Outlook"], now="2025-09-01")
     assert out.count() == out.select(*S.REPORT_KEYS).distinct().count() == 4
+
+
+def test_output_schemas(spark):
+    from pyspark.sql.types import _parse_datatype_string
+    from shiftwise.plans import utilisation as U
+    from test_presets import _utilisation_tables
+    from shiftwise.plans import presets as P
+
+    hist, vmap, fte, queue, volume, req, model = _outlook_inputs(spark)
+    out = S.staffing_outlook(hist, vmap, fte, queue, volume, req, model,
+                             "2025-07-13", "2025-08-31", ["Staffing Outlook"], now="2025-09-01")
+    assert out.schema.simpleString() == _parse_datatype_string(S.OUTPUT_DDL).simpleString()
+    util = P.utilisation_from_tables(*_utilisation_tables(spark), run_date="2024-01-10")
+    # the quality score keeps its source column's type; everything else is fixed
+    assert util.drop("quality_score").schema.simpleString() == \
+        _parse_datatype_string(U.OUTPUT_DDL).simpleString()
