@@ -137,9 +137,12 @@ def link_activity(articles, links, p: UtilisationParams, start, end) -> DataFram
                .groupBy(F.to_date("link_date").alias("link_date"), "article_id")
                .agg(count_where(F.col("link_type") == p.use_type).alias("__use"),
                     count_where(F.col("link_type") == p.reference_type).alias("__ref")))
+    # As written: NOT NULL (not length > 0), so an empty domain passes here.
     d = F.col("domain")
-    arts = articles.filter(d.isNotNull() & (d != F.lit(p.banned_domain))
-                           & ~d.contains(p.separator))
+    cond = d.isNotNull() & ~d.contains(p.separator)
+    if p.banned_domain:
+        cond = cond & (d != F.lit(p.banned_domain))
+    arts = articles.filter(cond)
     joined = per_day.join(_small(arts, p), per_day["article_id"] == arts["id"], "inner")
     return (joined
             .groupBy("link_date", "domain",

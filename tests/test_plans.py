@@ -185,3 +185,21 @@ def test_output_schemas(spark):
     # the quality score keeps its source column's type; everything else is fixed
     assert util.drop("quality_score").schema.simpleString() == \
         _parse_datatype_string(U.OUTPUT_DDL).simpleString()
+
+
+def test_link_activity_keeps_empty_domain(spark):
+    import datetime as dt
+    from shiftwise.plans import utilisation as U
+    p = U.UtilisationParams(base_sources=[], view_sources=[], record_types={}, governance=[])
+    arts = spark.createDataFrame([(1, "", "A1", "T", "R", "G", None, None, None, None, None),
+                                  (2, None, "A2", "T", "R", "G", None, None, None, None, None)],
+                                 "id int, domain string, article_number string, title string, "
+                                 "record_type_id string, governance string, created_date timestamp, "
+                                 "product_line string, shared_with string, "
+                                 "validation_status string, last_modified_date timestamp")
+    links = spark.createDataFrame([(1, dt.datetime(2024, 1, 2), "Use"),
+                                   (2, dt.datetime(2024, 1, 2), "Use")],
+                                  "article_id int, link_date timestamp, link_type string")
+    out = U.link_activity(arts, links, p, F.lit("2024-01-01").cast("date"),
+                          F.lit("2024-01-31").cast("date"))
+    assert rows(out, "domain", "article_number", "Use_Counts") == [("", "A1", 1)]
