@@ -54,8 +54,11 @@ def bookmark_counts(bookmarks: DataFrame, versions: DataFrame, as_of, bm_date: s
     bookmarks to article versions)."""
     b = bookmarks.filter(_as_of(bm_date, as_of)).select(
         F.col(bm_article).alias("__article"), F.col(bm_id).alias("__bm"))
-    v = versions.filter(F.col(version_domain) != F.lit(banned)).select(
-        F.col(version_id).alias("__vid"), F.col(version_domain).alias("__domain"))
+    # ``domain != banned`` as written (a NULL domain is dropped by it); no
+    # filter at all when no banned value is given.
+    if banned:
+        versions = versions.filter(F.col(version_domain) != F.lit(banned))
+    v = versions.select(F.col(version_id).alias("__vid"), F.col(version_domain).alias("__domain"))
     # Versions are a dimension: shipped to the bookmark scan when proven small,
     # so a heavily bookmarked article never concentrates in one join task.
     v = broadcast_if_small(v, VERSION_BROADCAST_MAX_ROWS)
