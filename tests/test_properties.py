@@ -82,3 +82,51 @@ def test_except_distinct_dups_and_nulls(spark):
     right = spark.createDataFrame([(3, "z"), (None, None)], "k int, v string")
     out = left.subtract(right)   # EXCEPT DISTINCT: duplicates collapse, NULLs compare equal
     assert rows(out) == [(1, "x"), (2, None)]
+
+
+NOW_TS = dt.datetime(2030, 1, 1)
+OLD = dt.datetime(2020, 1, 1)
+val_st = st.one_of(st.none(), st.integers(0, 2))
+target_st = st.dictionaries(st.integers(0, 8), st.tuples(val_st, val_st, st.booleans()),
+                            max_size=7)
+stage_st = st.dictionaries(st.integers(0, 8), st.tuples(val_st, val_st), max_size=7)
+
+
+def _model(policy, target, stage):
+    """Brute-force reference of the three sync policies (one dict per key)."""
+    out = {}
+    for k in set(target) | set(stage):
+        t, s = target.get(k), stage.get(k)
+        if t is not None and s is None:
+            if policy == "dimension":
+                out[k] = (t[0], t[1], OLD, OLD, NOW_TS)
+            continue
+        if t is None:
+            out[k] = (s[0], s[1], NOW_TS, NOW_TS, None)
+            continue
+        removed = OLD if t[2] else None
+        if policy == "dimension":
+            diff = any(a is not None and b is not None and a != b for a, b in zip(t[:2], s))
+            upd = diff or removed is None
+            out[k] = (s[0], s[1], OLD, NOW_TS, None) if upd else (t[0], t[1], OLD, OLD, removed)
+        else:
+            upd = policy == "fact" or any((a is None) != (b is None) for a, b in zip(t[:2], s))
+            new = tuple(b if b is not None else a for a, b in zip(t[:2], s))
+            out[k] = (*new, OLD, NOW_TS, removed) if upd else (t[0], t[1], OLD, OLD, removed)
+    return out
+
+
+@SETTINGS
+@given(target=target_st, stage=stage_st)
+def test_sync_matches_brute_force(spark, target, stage):
+    from shiftwise.operators.sync import sync
+    tdf = spark.createDataFrame(
+        [(k, a, b, OLD, OLD, OLD if r else None) for k, (a, b, r) in target.items()],
+        "k int, a int, b int, c timestamp_ntz, m timestamp_ntz, r timestamp_ntz")
+    sdf = spark.createDataFrame([(k, a, b) for k, (a, b) in stage.items()], "k int, a int, b int")
+    for policy in ("dimension", "fact", "fact_on_change"):
+        got = sync(tdf, sdf, ["k"], ["a", "b"], policy, "2030-01-01 00:00:00",
+                   created="c", modified="m", removed="r")
+        expected = _model(policy, target, stage)
+        assert {r.k: (r.a, r.b, r.c, r.m, r.r) for r in got.collect()} == expected, policy
+        assert got.count() == len(expected)   # one row per key
