@@ -130,3 +130,51 @@ def test_sync_matches_brute_force(spark, target, stage):
         expected = _model(policy, target, stage)
         assert {r.k: (r.a, r.b, r.c, r.m, r.r) for r in got.collect()} == expected, policy
         assert got.count() == len(expected)   # one row per key
+
+
+def _parse_model(schema, text):
+    """Plain-Python statement of the payload rules: strip, split lines, drop a
+    header equal to the schema (spaces ignored), split and strip fields."""
+    norm = schema.replace(" ", "")
+    lines = text.strip().split("\n")
+    start = 1 if lines[0].replace(" ", "") == norm else 0
+    return [(norm, i, [v.strip() for v in lines[i].split(",")]) for i in range(start, len(lines))]
+
+
+field_st = st.text(alphabet="ab1 ", max_size=4)
+line_st = st.lists(field_st, min_size=1, max_size=3).map(",".join)
+payload_st = st.tuples(st.sampled_from(["a,b", "a, b", "x"]),
+                       st.lists(line_st, min_size=1, max_size=4),
+                       st.booleans(), st.sampled_from(["\n", "\r\n"]), st.booleans())
+
+
+@SETTINGS
+@given(payloads=st.lists(payload_st, min_size=1, max_size=4))
+def test_unpack_payload_matches_model(spark, payloads):
+    import base64
+    from shiftwise.operators import unpack_payload
+    data, expected = [], []
+    for pid, (schema, lines, header, eol, trailing) in enumerate(payloads):
+        body = ([schema] if header else []) + lines
+        text = eol.join(body) + (eol if trailing else "")
+        data.append((pid, schema, base64.b64encode(text.encode()).decode()))
+        expected += [(pid, *r) for r in _parse_model(schema, text)]
+    df = spark.createDataFrame(data, "pid int, s string, p string")
+    got = rows(unpack_payload(df, "s", "p", keep=["pid"]), "pid", "schema", "line_no", "values")
+    assert got == sorted(expected, key=lambda t: (t[0], t[2]))
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)),
+                               st.integers(0, 5)), max_size=15))
+def test_latest_per_key_matches_model(spark, data):
+    from shiftwise.operators import latest_per_key
+    df = spark.createDataFrame([(k, d, t, i) for i, (k, d, t) in enumerate(data)],
+                               "k int, d int, t int, i int")
+    out = latest_per_key(df, ["k"], ["d"], tie_break=["t", "i"])
+    best = {}
+    for i, (k, d, t) in enumerate(data):   # descending, NULLs last
+        key = (d is not None, d if d is not None else 0, t, i)
+        if k not in best or key > best[k][0]:
+            best[k] = (key, i)
+    assert rows(out, "k", "i") == sorted((k, v[1]) for k, v in best.items())
