@@ -25,26 +25,28 @@ def unpivot_slots(df: DataFrame, ids: Sequence[str], measures: Mapping[str, Sequ
     ``measures`` maps an output name to its ordered slot columns, e.g.
     ``{"AHT": ["AHT1", ..., "AHT96"], "CallVolume": [...]}``. Slot *i* of every
     measure comes from the same input row, so measures are paired by position
-    in one ``posexplode`` - no self join. Output: ``ids``, ``slot`` (1-based
-    int), optionally ``slot_ts = base_ts + (slot - 1) * minutes``, measures.
+    in one ``stack`` generator - no self join, no shuffle, and no per-row array
+    of structs to build. Output: ``ids``, ``slot`` (1-based int), optionally
+    ``slot_ts = base_ts + (slot - 1) * minutes``, measures.
     """
     names = list(measures)
     widths = {len(cols) for cols in measures.values()}
     if len(widths) != 1:
         raise ValueError("every measure needs the same number of slot columns")
     n = widths.pop()
-    slots = F.array(*[
-        F.struct(*[F.col(measures[m][i]).cast(value_type).alias(m) for m in names])
-        for i in range(n)])
-    exploded = df.select(*ids, *([base_ts] if base_ts and base_ts not in ids else []),
-                         F.posexplode(slots).alias("__pos", "__s"))
-    out = [*[F.col(c) for c in ids], (F.col("__pos") + 1).cast("int").alias(slot_col)]
+    args = []
+    for i in range(n):
+        args.append(F.lit(i + 1))
+        args += [F.col(measures[m][i]).cast(value_type) for m in names]
+    keep = [*ids, *([base_ts] if base_ts and base_ts not in ids else [])]
+    long = df.select(*keep, F.stack(F.lit(n), *args).alias(slot_col, *names))
+    out = [*[F.col(c) for c in ids], F.col(slot_col)]
     if base_ts:
         out.append((F.col(base_ts) + F.make_dt_interval(
-            F.lit(0), F.lit(0), (F.col("__pos") * minutes).cast("int"), F.lit(0))
+            F.lit(0), F.lit(0), ((F.col(slot_col) - 1) * minutes).cast("int"), F.lit(0))
         ).alias(slot_ts_col))
-    out += [F.col(f"__s.{m}").alias(m) for m in names]
-    return exploded.select(*out)
+    out += [F.col(m) for m in names]
+    return long.select(*out)
 
 
 def explode_list(df: DataFrame, col: str, separator: str, alias: str,
