@@ -23,3 +23,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     may still convert it at runtime from measured sizes)."""
     from pyspark.sql import functions as F
     return F.broadcast(df) if rows_at_most(df, max_rows) else df
+
+
+def require_keys(keys) -> list:
+    """Key list for an equi join; an empty list would make the join a cross
+    join (every pair of rows), which these operators never do."""
+    keys = list(keys)
+    if not keys:
+        raise ValueError("at least one join key is required (no cross joins)")
+    return keys

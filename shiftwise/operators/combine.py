@@ -9,6 +9,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiftwise.operators._checks import require_keys
+
 
 def enrich(base: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner",
            columns: Sequence[str] | None = None,
@@ -20,7 +22,7 @@ def enrich(base: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "i
     non-key columns). ``how`` is ``inner`` (rows without a fact are dropped)
     or ``left`` (kept, with NULL facts).
     """
-    keys = list(keys)
+    keys = require_keys(keys)
     fact_keys = list(fact_keys or keys)
     if columns is None:
         columns = [c for c in facts.columns if c not in fact_keys]
@@ -48,7 +50,7 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
     partitions adaptive execution can split (it cannot split full outer joins).
     """
     frames = list(frames)
-    keys = list(keys)
+    keys = require_keys(keys)
     if isinstance(unique, bool):
         unique = [unique] * len(frames)
     metrics = [c for f in frames for c in f.columns if c not in keys]
@@ -95,7 +97,7 @@ def backfill(base: DataFrame, latest: DataFrame, keys: Sequence[str],
     """
     if not isinstance(columns, Mapping):
         columns = {c: c for c in columns}
-    keys = list(keys)
+    keys = require_keys(keys)
     sel = latest.select(*keys, *[F.col(src).alias(f"__bf_{dst}") for dst, src in columns.items()])
     j = base.join(sel, on=keys, how=how)
     return j.select(*[F.coalesce(F.col(c), F.col(f"__bf_{c}")).alias(c) if c in columns

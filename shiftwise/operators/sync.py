@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftwise.functions.predicates import changed, nullness_changed
+from shiftwise.operators._checks import require_keys
 
 POLICIES = ("dimension", "fact", "fact_on_change")
 
@@ -52,7 +53,7 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
-    keys, values = list(keys), list(values)
+    keys, values = require_keys(keys), list(values)
     names = dict(stage_names or {})
     ts_type = dict(target.dtypes).get(created, "timestamp")
     now_c = (now if isinstance(now, F.Column) else F.lit(now)).cast(ts_type)
@@ -120,7 +121,7 @@ def new_rows(stage: DataFrame, target: DataFrame, keys: Sequence[str],
     """Stage rows whose key is absent from the target (LEFT ANTI join)."""
     names = dict(stage_names or {})
     cond = None
-    for k in keys:
+    for k in require_keys(keys):
         c = stage[names.get(k, k)] == target[k]
         cond = c if cond is None else cond & c
     return stage.join(target, cond, "left_anti")

@@ -21,7 +21,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftwise.operators._checks import rows_at_most
+from shiftwise.operators._checks import require_keys, rows_at_most
 
 DEFAULT_BROADCAST_MAX_ROWS = 500_000  # ~8 narrow columns: tens of MB per executor
 _BIN = "__vbin"
@@ -46,7 +46,7 @@ def validity_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts
     ``lo <= ts <= hi`` matter to the caller; the binned strategy then only
     emits bins inside that range (facts outside are dropped).
     """
-    keys = list(keys)
+    keys = require_keys(keys)
     fact_cols = facts.columns
     version_extra = [c for c in versions.columns if c not in keys]
     clash = [c for c in version_extra if c in fact_cols]
@@ -77,7 +77,7 @@ def _key_cond(keys: Sequence[str], left: str = "__f", right: str = "__v") -> Col
     for k in keys:
         c = F.col(f"{left}.{k}") == F.col(f"{right}.{k}")
         cond = c if cond is None else cond & c
-    return cond if cond is not None else F.lit(True)
+    return cond
 
 
 def _binned(facts, versions, keys, ts, start, end, bin_days, clip, version_extra):

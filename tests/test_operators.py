@@ -270,3 +270,15 @@ def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c")],
                                "k int, v string")
     assert rows(duplicate_keys(df, ["k"])) == [(1, 2), (None, 2)]
+
+
+def test_operators_refuse_empty_keys(spark):
+    from shiftwise.operators import sync
+    f, v = _validity_frames(spark)
+    for call in (lambda: validity_join(f, v, [], "DateTime", "Start", "End"),
+                 lambda: enrich(f, v, []),
+                 lambda: full_outer_chain([f, v], []),
+                 lambda: backfill(f, v, [], ["v"]),
+                 lambda: sync(f, v, [], ["v"], "fact", "2025-01-01")):
+        with pytest.raises(ValueError):
+            call()
