@@ -75,6 +75,17 @@ def _window(run_date, window):
     return reporting_week(run_date)
 
 
+def link_days(links, p: UtilisationParams) -> DataFrame:
+    """One pass over the links: per (article id, link day) the use and
+    reference link counts and the newest link time. Every link-based step
+    below reads this instead of the raw link table (a hash aggregate, so an
+    article with a huge number of links becomes one row per day)."""
+    return (links.groupBy("article_id", F.to_date("link_date").alias("link_day"))
+            .agg(count_where(F.col("link_type") == p.use_type).alias("__use"),
+                 count_where(F.col("link_type") == p.reference_type).alias("__ref"),
+                 F.max("link_date").alias("__newest")))
+
+
 def activity_base(clicks, clicks_alt, articles, links, flags, p: UtilisationParams,
                   start, end) -> DataFrame:
     """Distinct (date, domain, article, title, record type, governance) seen in
@@ -93,9 +104,10 @@ def activity_base(clicks, clicks_alt, articles, links, flags, p: UtilisationPara
             F.to_date("datetime").alias("date"), "domain", "article_number", "document_title",
             F.col("article_record_type").alias("record_type_description"), "governance")
 
-    art_link = _small(articles, p).join(links, articles["id"] == links["article_id"], "inner")
-    kav = art_link.filter(in_window("link_date") & valid("domain")).select(
-        F.to_date("link_date").alias("date"), "domain", "article_number",
+    days = link_days(links, p).filter(F.col("link_day").between(start, end))
+    art_link = _small(articles, p).join(days, articles["id"] == days["article_id"], "inner")
+    kav = art_link.filter(valid("domain")).select(
+        F.col("link_day").alias("date"), "domain", "article_number",
         F.col("title").alias("document_title"),
         label_map("record_type_id", p.record_types).alias("record_type_description"),
         "governance")
@@ -133,10 +145,8 @@ def link_activity(articles, links, p: UtilisationParams, start, end) -> DataFram
     only aggregate by sorting) now see one row per article-day instead of one
     per link - a hot article costs a single row per day.
     """
-    per_day = (links.filter(F.to_date("link_date").between(start, end))
-               .groupBy(F.to_date("link_date").alias("link_date"), "article_id")
-               .agg(count_where(F.col("link_type") == p.use_type).alias("__use"),
-                    count_where(F.col("link_type") == p.reference_type).alias("__ref")))
+    per_day = (link_days(links, p).filter(F.col("link_day").between(start, end))
+               .select("article_id", F.col("link_day").alias("link_date"), "__use", "__ref"))
     # As written: NOT NULL (not length > 0), so an empty domain passes here.
     d = F.col("domain")
     cond = d.isNotNull() & ~d.contains(p.separator)
@@ -182,7 +192,8 @@ def latest_article_attrs(articles, links, p: UtilisationParams) -> DataFrame:
     meets at most one row per article, and the ranking per article number
     (latest link day, then link time, then article id) is unchanged.
     """
-    newest = links.groupBy("article_id").agg(F.max("link_date").alias("link_date"))
+    newest = link_days(links, p).groupBy("article_id").agg(
+        F.max("__newest").alias("link_date"))
     joined = articles.join(newest, articles["id"] == newest["article_id"], "left").filter(
         valid_label("domain", p.banned_domain, p.separator))
     ranked = latest_per_key(
