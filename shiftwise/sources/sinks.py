@@ -92,13 +92,24 @@ def write_jdbc(df: DataFrame, options: dict, mode: str = "overwrite", truncate:
     ``num_partitions`` caps concurrent connections; ``staged=True`` checkpoints
     first so a job that reads the same table is not emptied by its own
     overwrite."""
+    if mode not in LOAD_MODES:
+        raise ValueError(f"load type must be one of {LOAD_MODES}")
+    opts = jdbc_write_options(options, mode, truncate, batch_size, num_partitions)
     if staged:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    opts = dict(options)
-    opts.setdefault("batchsize", str(batch_size))
+    df.write.format("jdbc").options(**opts).mode(mode).save()
+
+
+def jdbc_write_options(options: dict, mode: str = "overwrite", truncate: bool = True,
+                       batch_size: int = 10_000, num_partitions: int | None = None) -> dict:
+    """Writer options for a JDBC sink: batched inserts, TRUNCATE instead of
+    DROP on overwrite (keeps indexes and grants), and a cap on concurrent
+    connections. Options already given win."""
+    opts = {k: str(v) for k, v in dict(options).items()}
+    opts.setdefault("batchsize", str(int(batch_size)))
     if truncate and mode == "overwrite":
         opts.setdefault("truncate", "true")
     if num_partitions:
         opts.setdefault("numPartitions", str(int(num_partitions)))
-    df.write.format("jdbc").options(**opts).mode(mode).save()
+    return opts

@@ -85,3 +85,14 @@ def test_jdbc_date_predicates():
     ]
     with pytest.raises(ValueError):
         jdbc_date_predicates("d", "2025-01-02", "2025-01-01")
+
+
+def test_jdbc_write_options_and_mode_check(spark):
+    from shiftwise.sources import jdbc_write_options, write_jdbc
+    o = jdbc_write_options({"url": "jdbc:x://h/db", "dbtable": "t", "batchsize": 500},
+                           num_partitions=8)
+    assert o == {"url": "jdbc:x://h/db", "dbtable": "t", "batchsize": "500",
+                 "truncate": "true", "numPartitions": "8"}
+    assert "truncate" not in jdbc_write_options({"url": "u"}, mode="append")
+    with pytest.raises(ValueError):   # rejected before any connection is opened
+        write_jdbc(spark.range(1), {"url": "jdbc:x://h/db", "dbtable": "t"}, mode="upsert")
