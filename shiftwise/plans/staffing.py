@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from shiftwise.functions.aggregates import half_hour_mean_sum, weighted_average
 from shiftwise.functions.predicates import in_range, positive
 from shiftwise.functions.temporal import half_hour_floor
-from shiftwise.operators._checks import broadcast_if_small, rows_at_most
+from shiftwise.operators._checks import rows_within
 from shiftwise.operators.combine import full_outer_chain
 from shiftwise.operators.validity import DEFAULT_BROADCAST_MAX_ROWS, validity_join
 from shiftwise.sources.sinks import write_clustered
@@ -56,12 +56,6 @@ def queue_filter_map(history: DataFrame, view_map: DataFrame,
             .select("QueueID", "ViewName", *MAP_ATTRS, START_COL, END_COL))
 
 
-def _choose_strategy(fmap: DataFrame, strategy: str, max_rows: int) -> str:
-    if strategy != "auto":
-        return strategy
-    return "broadcast" if rows_at_most(fmap, max_rows) else "binned"
-
-
 def fact_stage(facts: DataFrame, fmap: DataFrame, start, end, guard: str | None,
                aggs: list, half_hour: bool = True, strategy: str = "broadcast") -> DataFrame:
     """Validity-join one quarter-hour fact source to the queue map and roll it up.
@@ -103,11 +97,20 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
     ``DateTime < cutoff`` to the contract stage only. ``queue_map`` passes a
     prebuilt (e.g. persisted) ``queue_filter_map`` result.
     """
-    # The view lookup feeds two joins; it is broadcast once its size is proven.
-    view_map = broadcast_if_small(view_map.select("ViewName", *MAP_ATTRS), LOOKUP_MAX_ROWS)
+    # The view lookup feeds two joins and the queue map four; both sizes are
+    # proven in one counting job before either is broadcast.
+    view_map = view_map.select("ViewName", *MAP_ATTRS)
     fmap = queue_map if queue_map is not None else \
         queue_filter_map(history, view_map, filter_names)
-    strat = _choose_strategy(fmap, strategy, broadcast_max_rows)
+    checks = [(view_map, LOOKUP_MAX_ROWS)]
+    if strategy == "auto":
+        checks.append((fmap, broadcast_max_rows))
+    small = rows_within(checks)
+    if small[0]:
+        view_map = F.broadcast(view_map)
+        if queue_map is None:
+            fmap = queue_filter_map(history, view_map, filter_names)
+    strat = strategy if strategy != "auto" else ("broadcast" if small[1] else "binned")
 
     fr = fact_stage(fte, fmap, start, end, "FTE",
                     [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strat)
