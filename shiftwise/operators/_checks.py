@@ -32,18 +32,3 @@ def require_keys(keys) -> list:
     if not keys:
         raise ValueError("at least one join key is required (no cross joins)")
     return keys
-
-
-def rows_within(bounds) -> list[bool]:
-    """``rows_at_most`` for several frames in one job: each frame is reduced to
-    a tag column, the tags are unioned and counted per tag (partial counts
-    per task), and one small row per frame comes back.
-    ``bounds`` is a sequence of ``(DataFrame, max_rows)``."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-    bounds = list(bounds)
-    tagged = [df.select(F.lit(i).alias("__frame")) for i, (df, _) in enumerate(bounds)]
-    union = reduce(lambda a, b: a.unionByName(b), tagged)
-    counts = {r["__frame"]: r["count"] for r in union.groupBy("__frame").count().collect()}
-    return [counts.get(i, 0) <= n for i, (_, n) in enumerate(bounds)]

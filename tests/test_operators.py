@@ -282,9 +282,3 @@ def test_operators_refuse_empty_keys(spark):
                  lambda: sync(f, v, [], ["v"], "fact", "2025-01-01")):
         with pytest.raises(ValueError):
             call()
-
-
-def test_rows_within_counts_several_frames_in_one_job(spark):
-    from shiftwise.operators._checks import rows_within
-    a, b, empty = spark.range(5), spark.range(50), spark.range(0)
-    assert rows_within([(a, 5), (b, 10), (empty, 0)]) == [True, False, True]
