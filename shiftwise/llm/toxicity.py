@@ -39,8 +39,8 @@ class Config:
     filters: int = 8
     epochs: int = 6
     rate: float = 0.15
-    max_pos: int = 2000
-    max_neg: int = 3000
+    max_pos: int = 1500
+    max_neg: int = 2500
     seed: int = 7
 
 
@@ -211,9 +211,11 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
     rows = rows.drop_duplicates("id")
     if rows["y"].nunique() < 2:
         return Model(config, np.zeros((1, 1)), [], np.zeros(0), np.zeros(0), 0.0, {}, 0.5, 0.0)
-    w = _text.split_words(pa.array(rows["text"], pa.large_string()), _text.ALNUM)
-    ids = word_ids(w, config.buckets)
-    parts = [ids[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
+    texts, parts = pa.array(rows.pop("text"), pa.large_string()).fill_null(""), []
+    for i, j in _text.slices(texts):  # slice by slice: hashing needs 30 times a slice's bytes
+        w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
+        ids = word_ids(w, config.buckets).astype(np.int32)
+        parts += [ids[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
     y = rows["y"].to_numpy()
     kept_out = (_text.mix(rows["id"].to_numpy().astype(np.uint64)) % np.uint64(5) == 0)
     if len(set(y[~kept_out])) < 2 or len(set(y[kept_out])) < 2:
@@ -221,8 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
     fit_on = np.flatnonzero(~kept_out)
     model = _fit(config, [parts[i] for i in fit_on], y[fit_on])
     check = np.flatnonzero(kept_out) if kept_out.any() else fit_on
-    first = np.concatenate([[0], np.cumsum([len(parts[i]) for i in check])])
-    z = _logits(model, np.concatenate([parts[i] for i in check]), first).astype(np.float64)
+    z = np.array([_logits(model, parts[i], np.array([0, len(parts[i])]))[0] for i in check], dtype=np.float64)
     cut = _best_cut(z, y[check])
     if cut is not None:
         model.offset -= cut
