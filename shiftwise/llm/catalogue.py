@@ -4,16 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftwise.llm import toxicity
+from shiftwise.llm import decontamination, secrets, simhash, toxicity
 from shiftwise.llm._io import prepare, table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op6_simhash": op6_simhash,
+    "op7_secrets": op7_secrets,
     "op9_toxicity": op9_toxicity,
 }
 
