@@ -4,15 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftwise.llm import decontamination, secrets, simhash, toxicity
+import public_tokenizers
+
+from shiftwise.llm import (decontamination, fingerprints, language, licenses, mixing, secrets, simhash,
+                           token_counts, toxicity)
 from shiftwise.llm._io import prepare, table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -23,16 +41,32 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_decontamination": op2_decontamination,
+    "op3_fingerprints": op3_fingerprints,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_secrets": op7_secrets,
+    "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {}

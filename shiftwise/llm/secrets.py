@@ -76,7 +76,8 @@ def train(samples: DataFrame, text: str = "sample", label: str = "label") -> lis
 def sample_strings(docs: DataFrame, max_docs: int = 2000, id_col: str = "doc_id",
                    text: str = "text") -> DataFrame:
     """Labelled samples (sample, label) drawn from ``docs``: the words of at
-    most ``max_docs`` documents (the first by a hash of the id) as ordinary
+    most ``max_docs`` documents (the first by a hash of the id), alone and
+    joined in pairs as in camelCase, snake_case and UPPER_CASE, as ordinary
     identifiers, and digests of their ids in hex, base64 and upper-case
     letters as random strings."""
     ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
@@ -86,9 +87,15 @@ def sample_strings(docs: DataFrame, max_docs: int = 2000, id_col: str = "doc_id"
     random = ids.select(F.explode(F.array(
         digest, b64, F.upper(F.regexp_replace(b64, "[+/a-z]", "")),
         F.regexp_replace(b64, "[+/]", ""))).alias("sample")).withColumn("label", F.lit(1))
+    words = F.regexp_extract_all("t", F.lit(r"[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0))
+    # Plain words, and neighbours joined the way identifiers are.
+    pairs = F.transform("w", lambda x, i: F.when(i % 3 == 0, F.concat(x, F.initcap(F.get("w", i + 1))))
+                        .when(i % 3 == 1, F.concat(x, F.lit("_"), F.get("w", i + 1)))
+                        .otherwise(F.concat(F.upper(x), F.lit("_"), F.upper(F.get("w", i + 1)))))
     words = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
              .join(F.broadcast(ids), "id")  # max_docs rows
-             .select(F.explode(F.regexp_extract_all("t", F.lit(r"[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0))).alias("sample"))
+             .select(words.alias("w"))
+             .select(F.explode(F.concat("w", F.filter(pairs, lambda x: x.isNotNull()))).alias("sample"))
              .filter(~F.col("sample").rlike("[0-9]{3}|[a-f0-9]{12}"))
              .withColumn("label", F.lit(0)))
     return random.unionByName(words)
@@ -140,7 +147,7 @@ def _pieces(kind: str, pattern: str, group: int, t: Column) -> Column:
 
 
 def spans(docs: DataFrame, model: list[float], id_col: str = "doc_id", text: str = "text",
-          min_mean: float = 0.7, min_token: int = MIN_TOKEN) -> DataFrame:
+          min_mean: float = 1.0, min_token: int = MIN_TOKEN) -> DataFrame:
     """One row per row of ``docs``: doc_id, row_id, n_chars and ``spans``, an
     array of (start, kind, end) sorted by start and kind order; kind is the
     index in KINDS, ends are exclusive, places are code points."""

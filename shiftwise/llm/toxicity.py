@@ -191,12 +191,12 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float | None:
 
 def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
           id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-          lang: str = "lang", min_lang_rows: int = 20) -> Model:
+          lang: str = "lang", min_lang_rows: int = 50, min_lang_pos: int = 10) -> Model:
     """Fit a model to labelled rows, at most ``max_pos`` / ``max_neg`` of them.
 
     One row in five (by a hash of the id) is kept out of the fit: the global cut
     and the thresholds by language come from those. A language with fewer than
-    ``min_lang_rows`` such rows, or rows of one class, uses the global cut.
+    ``min_lang_rows`` such rows or ``min_lang_pos`` toxic ones uses the global cut.
     """
     prepare(docs.sparkSession)
     known = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull())
@@ -231,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
     langs = rows["lang"].fillna("").to_numpy()[check]
     for name in sorted(set(langs)):
         mine = langs == name
-        if mine.sum() >= min_lang_rows and (c := _best_cut(z[mine], y[check][mine])) is not None:
+        if mine.sum() >= min_lang_rows and y[check][mine].sum() >= min_lang_pos and (c := _best_cut(z[mine], y[check][mine])) is not None:
             model.thresholds[name] = float(1 / (1 + np.exp(-np.clip(c, -30, 30))))
     return model
 
