@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import zipfile
@@ -76,6 +77,13 @@ def _release_at_exit() -> None:
         release(_scratch[0][0])
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does so when
+    the driver's JVM finds nothing refers to them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     return F.translate(c, UPPER, UPPER.lower())

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from shiftwise.llm import (decontamination, fingerprints, language, licenses, mixing, secrets, simhash,
-                           token_counts, toxicity)
+                           suffix_dedup, token_counts, toxicity)
 from shiftwise.llm._io import prepare, table
 
 
@@ -26,6 +26,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_secrets": op7_secrets,
