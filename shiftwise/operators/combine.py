@@ -9,7 +9,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftwise.operators._checks import require_keys
+from shiftwise.operators._checks import any_null, require_keys
 
 
 def enrich(base: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -31,6 +31,16 @@ def enrich(base: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "i
     return base.join(sel, on=keys, how=how)
 
 
+def _full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left FULL JOIN right USING (keys)``; rows with a NULL key are spread
+    over the partitions by a side mark and a hash of the row."""
+    def spread(df: DataFrame, side: str) -> DataFrame:
+        mark = F.concat(F.lit(side), F.xxhash64(*df.columns).cast("string"))
+        return df.withColumn("__spread", F.when(any_null(keys), mark).otherwise(F.lit("")))
+    return (spread(left, "l").join(spread(right, "r"), on=[*keys, "__spread"], how="full_outer")
+            .drop("__spread"))
+
+
 def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
                      zero_fill: Sequence[str] | bool = (),
                      unique: Sequence[bool] | bool = False) -> DataFrame:
@@ -39,15 +49,15 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
     Keys are coalesced; a row with a NULL in any key never matches and stays a
     row of its own; duplicate keys in a frame multiply rows, as joins do.
 
-    Frames flagged in ``unique`` promise at most one row per key (e.g. they are
-    the output of a ``groupBy(keys)``). Those are merged with one
-    ``unionByName`` + ``groupBy`` instead of a join per frame (when they are
-    already hash-partitioned on the keys, the merge adds no shuffle). The
-    other frames are full-outer-joined among themselves into N, and N meets
-    the merged frame U as ``(N LEFT JOIN U) UNION ALL (U LEFT ANTI JOIN
-    distinct keys of N)`` - the same rows as ``N FULL JOIN U``, but a key that
-    holds a large share of N's rows sits in a left join, whose skewed
-    partitions adaptive execution can split (it cannot split full outer joins).
+    Frames flagged in ``unique`` have at most one row per key (e.g. they are
+    the output of a ``groupBy(keys)``); a repeated key in one of them fails the
+    running job. Those are merged with one ``unionByName`` + ``groupBy`` instead
+    of a join per frame (when they are already hash-partitioned on the keys,
+    the merge adds no shuffle). The other frames are full-outer-joined among
+    themselves into N, and N meets the merged frame in one full outer join, so
+    every frame is computed once. Exact copies of a row of N are counted before
+    that join and restored after it, and rows with a NULL key, which match
+    nothing, are spread by their content: neither piles up in one task.
     """
     frames = list(frames)
     keys = require_keys(keys)
@@ -64,21 +74,22 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
     if len(uniq) == 1:
         parts.append(uniq[0][1])
     elif uniq:
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        tagged = [f.withColumn("__nullkey_src", F.when(any_null, F.lit(i))) for i, f in uniq]
+        tagged = [f.withColumn("__nullkey_src", F.when(any_null(keys), F.lit(i)))
+                  .withColumn(f"__n{i}", F.lit(1)) for i, f in uniq]
         merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-        own = [c for _, f in uniq for c in f.columns if c not in keys]
-        parts.append(merged.groupBy(*keys, "__nullkey_src")
-                     .agg(*[F.max(c).alias(c) for c in own]).drop("__nullkey_src"))
+        own = [(i, c) for i, f in uniq for c in f.columns if c not in keys]
+        many = {i: F.count(F.col(f"__n{i}")) > 1 for i, _ in uniq}
+        parts.append(merged.groupBy(*keys, "__nullkey_src").agg(*[
+            F.when(many[i], F.raise_error(F.lit(f"frame {i}: repeated key {keys}")))
+            .otherwise(F.max(c)).alias(c) for i, c in own]).drop("__nullkey_src"))
     if rest:
-        dup = reduce(lambda a, b: a.join(b, on=keys, how="full_outer"), rest)
+        dup = reduce(lambda a, b: _full_join(a, b, keys), rest)
         if parts:
-            merged = parts[0]
-            matched = dup.join(merged, on=keys, how="left")
-            only_merged = merged.join(dup.select(*keys).distinct(), on=keys, how="left_anti")
-            parts = [matched.unionByName(only_merged, allowMissingColumns=True)]
-        else:
-            parts = [dup]
+            counted = dup.groupBy(*dup.columns).agg(F.count(F.lit(1)).alias("__copies"))
+            joined = _full_join(counted, parts[0], keys)
+            copies = F.sequence(F.lit(1), F.coalesce(F.col("__copies"), F.lit(1)).cast("int"))
+            dup = joined.withColumn("__copy", F.explode(copies)).drop("__copy", "__copies")
+        parts = [dup]
     out = parts[0]
     if zero_fill is True:
         zero_fill = metrics

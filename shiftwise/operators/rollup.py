@@ -28,9 +28,11 @@ def reaggregate_half_hour(df: DataFrame, ts: str, keys: Sequence[str], value: st
 
 def two_level_count(frames: Sequence[DataFrame], keys: Sequence[str], id_col: str,
                     alias: str) -> DataFrame:
-    """Distinct ``id_col`` count per key within each frame, then summed across
-    frames (an id present in two frames counts twice)."""
+    """Distinct ``id_col`` count per key within each frame, summed across frames
+    (an id present in two frames counts twice): the distinct (frame, id) pairs
+    of the union, in one aggregation."""
     keys = list(keys)
-    per = [f.groupBy(*keys).agg(F.countDistinct(id_col).alias(alias)) for f in frames]
-    merged = reduce(lambda a, b: a.unionByName(b), per)
-    return merged.groupBy(*keys).agg(F.sum(alias).cast("bigint").alias(alias))
+    tagged = [f.select(*keys, F.lit(i).alias("__frame"), F.col(id_col).alias("__id"))
+              for i, f in enumerate(frames)]
+    merged = reduce(lambda a, b: a.unionByName(b), tagged)
+    return merged.groupBy(*keys).agg(F.countDistinct("__frame", "__id").alias(alias))

@@ -4,8 +4,9 @@ half-open interval ``[start, end)`` contains the fact time.
 Strategies (all give the same rows):
 
 * ``broadcast`` - hash join on the keys with the interval as a residual; the
-  version side is shipped to every task. Only chosen by ``auto`` after the
-  version side is *proven* to hold at most ``broadcast_max_rows`` rows.
+  version side is shipped to every task. Only chosen by ``auto`` when the
+  tables that feed the version side hold at most ``broadcast_max_bytes`` (known
+  to the planner, no job runs).
 * ``binned``    - both sides get a day-bin column; versions are exploded over
   the days they cover (clipped to the report range) and the join runs on
   ``keys + bin`` with the exact interval as a residual. A hot key is split
@@ -21,9 +22,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftwise.operators._checks import require_keys, rows_at_most
+from shiftwise.operators._checks import BROADCAST_MAX_BYTES, input_bytes, require_keys
 
-DEFAULT_BROADCAST_MAX_ROWS = 500_000  # ~8 narrow columns: tens of MB per executor
 _BIN = "__vbin"
 
 
@@ -35,16 +35,18 @@ def validity_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts
                   start: str = "RecordStartDateInclusive",
                   end: str = "RecordEndDateNonInclusive",
                   strategy: str = "auto",
-                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                  broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                   bin_days: int = 1,
                   clip: tuple | None = None) -> DataFrame:
     """Inner join ``facts`` to ``versions`` on ``keys`` and ``start <= ts < end``.
 
     Output: every fact column, then every version column except the keys.
     A version with a NULL start or end never matches (as in SQL). Overlapping
-    versions each produce a row. ``clip=(lo, hi)`` states that only facts with
-    ``lo <= ts <= hi`` matter to the caller; the binned strategy then only
-    emits bins inside that range (facts outside are dropped).
+    versions each produce a row. ``clip=(lo, hi)`` keeps only facts with
+    ``lo <= ts <= hi``, whatever the strategy; versions that cannot meet such a
+    fact are left out early, and the binned strategy emits bins inside the
+    range only. Without ``clip`` the binned strategy scans the facts once more
+    for their span, so give a range where there is one.
     """
     keys = require_keys(keys)
     fact_cols = facts.columns
@@ -54,9 +56,13 @@ def validity_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts
         raise ValueError(f"version columns clash with fact columns: {clash}")
 
     versions = versions.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    if clip is not None:
+        lo, hi = F.lit(clip[0]), F.lit(clip[1])
+        facts = facts.filter(F.col(ts).between(lo, hi))
+        versions = versions.filter((F.col(start) <= hi) & (F.col(end) > lo))
 
     if strategy == "auto":
-        strategy = "broadcast" if rows_at_most(versions, broadcast_max_rows) else "binned"
+        strategy = "broadcast" if input_bytes(versions) <= broadcast_max_bytes else "binned"
 
     if strategy == "binned":
         return _binned(facts, versions, keys, ts, start, end, bin_days, clip, version_extra)
@@ -87,7 +93,6 @@ def _binned(facts, versions, keys, ts, start, end, bin_days, clip, version_extra
         clip_lo, clip_hi = clip
         lo_day = F.greatest(lo_day, _epoch_day(F.lit(clip_lo).cast("timestamp")))
         hi_day = F.least(hi_day, _epoch_day(F.lit(clip_hi).cast("timestamp")))
-        facts = facts.filter(F.col(ts).between(F.lit(clip_lo), F.lit(clip_hi)))
     else:
         # No report range given: bound the explosion by the facts' own span,
         # computed as scalar subqueries (distributed aggregate, no collect).

@@ -14,24 +14,26 @@ from shiftwise.operators._checks import broadcast_if_small
 from shiftwise.operators.reshape import explode_list
 
 
-VERSION_BROADCAST_MAX_ROWS = 1_000_000
-
-
 def _as_of(date_col: str, as_of):
     return F.to_date(F.col(date_col)) <= F.lit(as_of).cast("date")
 
 
+def _count_as_of(rows: DataFrame, as_of, domain, count, alias: str) -> DataFrame:
+    """(date = as_of, domain, count) of ``rows`` that already passed their filters."""
+    return (rows.select(F.lit(as_of).cast("date").alias("date"), domain.alias("domain"), "*")
+            .groupBy("date", "domain").agg(count.alias(alias)))
+
+
 def flag_counts(flags: DataFrame, as_of, date_col: str, domain_col: str, status_col: str,
                 banned="", relabels: Mapping[str, str] | None = None,
                 excluded_status: Sequence[str] = ("Draft", "Withdrawn"),
                 alias: str = "flag_count") -> DataFrame:
     """Flags submitted on or before ``as_of`` per (relabelled) domain; rows
     with an excluded status count 0, all others (NULL status too) count 1."""
-    return (flags.filter(valid_label(domain_col, banned, ",") & _as_of(date_col, as_of))
-            .withColumn("domain", relabel(domain_col, relabels or {}))
-            .withColumn("date", F.lit(as_of).cast("date"))
-            .groupBy("date", "domain")
-            .agg(count_unless(F.col(status_col).isin(list(excluded_status))).alias(alias)))
+    kept = flags.filter(valid_label(domain_col, banned, ",") & _as_of(date_col, as_of)).select(
+        relabel(domain_col, relabels or {}).alias("__domain"), F.col(status_col).alias("__status"))
+    return _count_as_of(kept, as_of, F.col("__domain"),
+                        count_unless(F.col("__status").isin(list(excluded_status))), alias)
 
 
 def list_mention_counts(df: DataFrame, as_of, date_col: str | None, list_col: str, id_col: str,
@@ -40,10 +42,9 @@ def list_mention_counts(df: DataFrame, as_of, date_col: str | None, list_col: st
     (``date_col=None`` when the source has no date). Pieces are not trimmed;
     empty pieces count as a domain."""
     src = df.filter(_as_of(date_col, as_of)) if date_col else df
-    return (explode_list(src, list_col, separator, "domain")
-            .withColumn("date", F.lit(as_of).cast("date"))
-            .groupBy("date", "domain")
-            .agg(F.countDistinct(id_col).alias(alias)))
+    pieces = explode_list(src.select(F.col(id_col).alias("__id"), F.col(list_col).alias("__list")),
+                          "__list", separator, "__piece")
+    return _count_as_of(pieces, as_of, F.col("__piece"), F.countDistinct("__id"), alias)
 
 
 def bookmark_counts(bookmarks: DataFrame, versions: DataFrame, as_of, bm_date: str,
@@ -59,11 +60,7 @@ def bookmark_counts(bookmarks: DataFrame, versions: DataFrame, as_of, bm_date: s
     if banned:
         versions = versions.filter(F.col(version_domain) != F.lit(banned))
     v = versions.select(F.col(version_id).alias("__vid"), F.col(version_domain).alias("__domain"))
-    # Versions are a dimension: shipped to the bookmark scan when proven small,
+    # Versions are a dimension: shipped to the bookmark scan when small,
     # so a heavily bookmarked article never concentrates in one join task.
-    v = broadcast_if_small(v, VERSION_BROADCAST_MAX_ROWS)
-    j = b.join(v, F.col("__article") == F.col("__vid"), "inner")
-    return (j.withColumn("domain", relabel("__domain", relabels or {}))
-            .withColumn("date", F.lit(as_of).cast("date"))
-            .groupBy("date", "domain")
-            .agg(F.countDistinct("__bm").alias(alias)))
+    j = b.join(broadcast_if_small(v), F.col("__article") == F.col("__vid"), "inner")
+    return _count_as_of(j, as_of, relabel("__domain", relabels or {}), F.countDistinct("__bm"), alias)

@@ -16,7 +16,7 @@ Expected inputs (column names):
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -25,13 +25,11 @@ from pyspark.sql import functions as F
 from shiftwise.functions.aggregates import half_hour_mean_sum, weighted_average
 from shiftwise.functions.predicates import in_range, positive
 from shiftwise.functions.temporal import half_hour_floor
-from shiftwise.operators._checks import broadcast_if_small, rows_at_most
+from shiftwise.operators._checks import BROADCAST_MAX_BYTES, broadcast_if_small, input_bytes
 from shiftwise.operators.combine import full_outer_chain
-from shiftwise.operators.validity import DEFAULT_BROADCAST_MAX_ROWS, validity_join
+from shiftwise.operators.validity import validity_join
 from shiftwise.sources.sinks import write_clustered
 
-LOOKUP_MAX_ROWS = 100_000  # view lookups above this are joined by shuffle
-
 # Fixed values of the report contract.
 REPORT_KEYS = ["DateTime", "ViewName", "Partner", "Site", "LineOfBusiness", "ServiceModel"]
 MAP_ATTRS = ["Partner", "Site", "LineOfBusiness", "ServiceModel"]
@@ -56,10 +54,11 @@ def queue_filter_map(history: DataFrame, view_map: DataFrame,
             .select("QueueID", "ViewName", *MAP_ATTRS, START_COL, END_COL))
 
 
-def _choose_strategy(fmap: DataFrame, strategy: str, max_rows: int) -> str:
+def _choose_strategy(history: DataFrame, view_map: DataFrame, strategy: str,
+                     max_bytes: int) -> str:
     if strategy != "auto":
         return strategy
-    return "broadcast" if rows_at_most(fmap, max_rows) else "binned"
+    return "broadcast" if input_bytes(history) + input_bytes(view_map) <= max_bytes else "binned"
 
 
 def fact_stage(facts: DataFrame, fmap: DataFrame, start, end, guard: str | None,
@@ -93,7 +92,7 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
                      volume: DataFrame, requirement: DataFrame, model: DataFrame,
                      start, end, filter_names: Sequence[str], cutoff=None,
                      zero_fill: bool = False, now=None, strategy: str = "auto",
-                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                      queue_map: DataFrame | None = None) -> DataFrame:
     """The half-hour staffing outlook report.
 
@@ -103,11 +102,11 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
     ``DateTime < cutoff`` to the contract stage only. ``queue_map`` passes a
     prebuilt (e.g. persisted) ``queue_filter_map`` result.
     """
-    # The view lookup feeds two joins; it is broadcast once its size is proven.
-    view_map = broadcast_if_small(view_map.select("ViewName", *MAP_ATTRS), LOOKUP_MAX_ROWS)
+    # Sizes come from the planner: building the report starts no job.
+    strat = _choose_strategy(history, view_map, strategy, broadcast_max_bytes)
+    view_map = broadcast_if_small(view_map.select("ViewName", *MAP_ATTRS), broadcast_max_bytes)
     fmap = queue_map if queue_map is not None else \
         queue_filter_map(history, view_map, filter_names)
-    strat = _choose_strategy(fmap, strategy, broadcast_max_rows)
 
     fr = fact_stage(fte, fmap, start, end, "FTE",
                     [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strat)
@@ -140,9 +139,10 @@ def run_staffing_outlook(target: str, history: DataFrame, view_map: DataFrame, f
                          model: DataFrame, start, end, filter_names: Sequence[str],
                          mode: str = "overwrite",
                          cluster_by: Sequence[str] = ("DateTime", "ViewName"),
-                         **options) -> None:
+                         names: Mapping[str, str] | None = None, **options) -> None:
     """Build the report and replace ``target`` with it, clustered by
     ``cluster_by`` (truncate-and-insert plus the layout the unique index gave).
+    ``names`` renames result columns (then ``cluster_by`` uses the new names).
 
     The queue map feeds four stages; it is persisted (memory, spilling to
     disk; lost blocks are recomputed from lineage) for the one write action
@@ -152,6 +152,7 @@ def run_staffing_outlook(target: str, history: DataFrame, view_map: DataFrame, f
     try:
         report = staffing_outlook(history, view_map, fte, queue, volume, requirement, model,
                                   start, end, filter_names, queue_map=fmap, **options)
+        report = report.withColumnsRenamed(dict(names or {}))
         write_clustered(report, target, list(cluster_by), mode=mode)
     finally:
         fmap.unpersist()

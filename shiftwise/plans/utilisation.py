@@ -24,7 +24,7 @@ from shiftwise.functions.aggregates import count_unless, count_where
 from shiftwise.functions.labels import label_map
 from shiftwise.functions.predicates import valid_label
 from shiftwise.functions.temporal import reporting_week
-from shiftwise.operators._checks import rows_at_most
+from shiftwise.operators._checks import BROADCAST_MAX_BYTES, input_bytes
 from shiftwise.operators.combine import backfill, enrich, union_canonical
 from shiftwise.operators.ranking import latest_per_key
 from shiftwise.operators.rollup import two_level_count
@@ -40,7 +40,6 @@ OUTPUT_DDL = ("date date, domain string, article_number string, document_title s
               "Use_Counts bigint, Reference_Counts bigint, article_created_date date, "
               "product_line string, shared_with string, validation_status string, "
               "link_date date, last_modified_date date, created_flag_count bigint")
-ARTICLE_BROADCAST_MAX_ROWS = 1_000_000  # article dimension shipped to every task below this
 OUTPUT = KEYS + ["article_view_counts", "Use_Counts", "Reference_Counts", "article_created_date",
                  "product_line", "shared_with", "validation_status", "link_date",
                  "last_modified_date", "created_flag_count", "quality_score"]
@@ -57,12 +56,12 @@ class UtilisationParams:
     use_type: str = "Use"
     reference_type: str = "Reference"
     excluded_flag_status: Sequence[str] = field(default_factory=lambda: ["Draft", "Withdrawn"])
-    # Set by utilisation_summary after an exact count of the article table.
+    # Set by utilisation_summary from the size of the article table.
     articles_small: bool = False
 
 
 def _small(df: DataFrame, p: UtilisationParams) -> DataFrame:
-    """Broadcast an article-sized frame when the article table is proven small."""
+    """Broadcast an article-sized frame when the article table is small."""
     return F.broadcast(df) if p.articles_small else df
 
 
@@ -77,9 +76,10 @@ def _window(run_date, window):
 
 def link_days(links, p: UtilisationParams) -> DataFrame:
     """One pass over the links: per (article id, link day) the use and
-    reference link counts and the newest link time. Every link-based step
-    below reads this instead of the raw link table (a hash aggregate, so an
-    article with a huge number of links becomes one row per day)."""
+    reference link counts and the newest link time: the first step of every
+    link-based stage (a hash aggregate, so an article with a huge number of
+    links becomes one row per day). It is not stored: each stage runs it over
+    the link columns it needs."""
     return (links.groupBy("article_id", F.to_date("link_date").alias("link_day"))
             .agg(count_where(F.col("link_type") == p.use_type).alias("__use"),
                  count_where(F.col("link_type") == p.reference_type).alias("__ref"),
@@ -221,13 +221,23 @@ def utilisation_summary(clicks: DataFrame, clicks_alt: DataFrame, articles: Data
     """The summary: activity base enriched with view counts, link activity and
     flag counts (``how`` = inner as written, or left to keep every base row),
     NULL attributes backfilled from the latest link, latest same-day score
-    attached, filtered to the wanted governance values."""
-    # One count decides the join strategy for every article-sized side:
+    attached, filtered to the wanted governance values.
+
+    With inner joins the base adds nothing: a result key has flags, and the
+    flags of the window are one of the base's four sources under the same
+    filters, so the base is neither built nor joined."""
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    # The articles' size decides the join strategy for every article-sized side:
     # the articles themselves and the one-row-per-article latest attributes.
-    p = replace(params, articles_small=rows_at_most(articles, ARTICLE_BROADCAST_MAX_ROWS))
+    p = replace(params, articles_small=input_bytes(articles) <= BROADCAST_MAX_BYTES)
     start, end = _window(run_date, window)
-    base = activity_base(clicks, clicks_alt, articles, links, flags, p, start, end)
-    step1 = enrich(base, view_counts(clicks, clicks_alt, p, start, end), KEYS, how)
+    views = view_counts(clicks, clicks_alt, p, start, end)
+    if how == "inner":
+        step1 = views
+    else:
+        base = activity_base(clicks, clicks_alt, articles, links, flags, p, start, end)
+        step1 = enrich(base, views, KEYS, how)
     step2 = enrich(step1, link_activity(articles, links, p, start, end), KEYS, how,
                    columns=["Use_Counts", "Reference_Counts", "article_created_date",
                             "product_line", "shared_with", "validation_status", "link_date",
