@@ -5,6 +5,13 @@ target-only, both, or stage-only; a CASE per column then applies the policy.
 This replaces the left join + EXCEPT + left join + anti join + UNION sequence
 with a single shuffle, and yields exactly one row per key.
 
+Keys: a stage row with a NULL in its key fails the job. A key that repeats in
+the stage fails the job too, unless ``stage_order`` says which row is the newest
+(then that one counts). A key that repeats in the target fails the job. Target
+rows with a NULL key, which no stage row can match, are kept or deleted like
+any target-only row; they are spread over the partitions by their content. The
+checks run inside the plan on the partitioning the join needs.
+
 Policies
 --------
 ``dimension``  target-only: keep, removed stamp = now.
@@ -29,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftwise.functions.predicates import changed, nullness_changed
-from shiftwise.operators._checks import require_keys
+from shiftwise.operators._checks import any_null, one_row_per_key, require_keys
+from shiftwise.operators.ranking import latest_per_key
 
 POLICIES = ("dimension", "fact", "fact_on_change")
 
@@ -40,7 +48,7 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
          modified: str = "RecordLastModifiedDateTime",
          removed: str | None = "RecordRemovedDateTime",
          revive_only: bool = False, keep_target_if_stage_empty: bool = False,
-         on_change: str = "nullness") -> DataFrame:
+         on_change: str = "nullness", stage_order: Sequence[str] = ()) -> DataFrame:
     """Return the new state of ``target`` (same columns, one row per key).
 
     ``stage_names`` maps a target column to its stage column name when they
@@ -50,6 +58,8 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
     every row when the stage snapshot is empty. ``on_change`` picks the
     ``fact_on_change`` test: ``"nullness"`` (as written: a value is NULL on
     exactly one side) or ``"value"`` (any value differs, NULL-safe).
+    ``stage_order`` names stage columns, newest first when descending, that
+    pick one row of a repeated key.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
@@ -58,13 +68,17 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
     ts_type = dict(target.dtypes).get(created, "timestamp")
     now_c = (now if isinstance(now, F.Column) else F.lit(now)).cast(ts_type)
 
-    t = target.withColumn("__in_t", F.lit(True)).alias("t")
-    s = (stage.select(*[F.col(names.get(c, c)).alias(c) for c in keys + values])
-         .withColumn("__in_s", F.lit(True)).alias("s"))
-    cond = None
+    if stage_order:
+        stage = latest_per_key(stage, [names.get(k, k) for k in keys], list(stage_order))
+    s = stage.select(*[F.col(names.get(c, c)).alias(c) for c in keys + values])
+    s = one_row_per_key(s, keys, "stage").withColumn("__in_s", F.lit(True))
+    s = s.withColumn("__spread", F.lit("")).alias("s")
+    t = one_row_per_key(target, keys, "target", null_keys=True).withColumn("__in_t", F.lit(True))
+    t = t.withColumn("__spread", F.when(any_null(keys), F.xxhash64(*target.columns).cast("string"))
+                     .otherwise(F.lit(""))).alias("t")
+    cond = F.col("t.__spread") == F.col("s.__spread")
     for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
     j = t.join(s, cond, "full_outer")
 
     in_t = F.col("t.__in_t").isNotNull()

@@ -1,9 +1,8 @@
 """Sync jobs: read a target table, apply a staging snapshot, write it back.
 
-The new state depends on the old one, so the write is staged: the result is
-checkpointed to the shared checkpoint folder first, and only then does the
-overwrite replace the target (overwriting a table while the same plan still
-reads it would otherwise lose rows).
+The new state depends on the old one, so the write is staged: a catalog table
+or path is written in full beside the target and then takes its place; a JDBC
+target is checkpointed to the shared checkpoint folder before the overwrite.
 """
 
 from __future__ import annotations
@@ -14,20 +13,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shiftwise.operators.sync import sync
 from shiftwise.sources.readers import read_source
-from shiftwise.sources.sinks import write_table
+from shiftwise.sources.sinks import write_jdbc, write_table
 
 
 def sync_table(spark: SparkSession, target: str, stage: DataFrame, keys: Sequence[str],
                values: Sequence[str], policy: str, now, kind: str = "table",
                fmt: str = "parquet", buckets: int | None = None,
-               stage_names: Mapping[str, str] | None = None, **options) -> DataFrame:
-    """Apply ``stage`` to the table (``kind="table"``) or path at ``target``
-    and write the result back in place. With ``buckets`` the table is stored
-    bucketed on ``keys``, so the next run's join shuffles only the stage.
-    Returns the new state as read back from ``target``."""
-    current = read_source(spark, kind, target) if kind != "table" else spark.table(target)
-    new_state = sync(current, stage, keys, values, policy, now, stage_names=stage_names,
+               stage_names: Mapping[str, str] | None = None,
+               jdbc: Mapping[str, str] | None = None, **options) -> DataFrame:
+    """Apply ``stage`` to the table (``kind="table"``), path, or JDBC table
+    (``kind="jdbc"``, connection and read options in ``jdbc``) named ``target``
+    and write the result back in place. With ``buckets`` a catalog table is
+    stored bucketed on ``keys``, so the next run's join shuffles only the
+    stage. Returns the new state as read back from ``target``."""
+    def read() -> DataFrame:
+        if kind == "jdbc":
+            return read_source(spark, "jdbc", **jdbc_target(target, jdbc))
+        return read_source(spark, kind, target)
+
+    new_state = sync(read(), stage, keys, values, policy, now, stage_names=stage_names,
                      **options)
-    write_table(new_state, target, mode="overwrite", fmt=fmt, staged=True,
-                bucket_by=(buckets, list(keys)) if buckets else None)
-    return read_source(spark, kind, target) if kind != "table" else spark.table(target)
+    if kind == "jdbc":
+        write_jdbc(new_state, jdbc_target(target, jdbc, write=True), staged=True)
+    else:
+        write_table(new_state, target, mode="overwrite", fmt=fmt, staged=True,
+                    bucket_by=(buckets, list(keys)) if buckets else None)
+    return read()
+
+
+def jdbc_target(target: str, jdbc: Mapping[str, str] | None, write: bool = False) -> dict:
+    """Connection options with ``target`` as the table; read-only options
+    (partitioning, fetch size) are left out for the write."""
+    if not jdbc or "url" not in jdbc:
+        raise ValueError('kind="jdbc" needs jdbc={"url": ...}')
+    read_only = {"partition_column", "lower_bound", "upper_bound", "num_partitions", "fetch_size",
+                 "partitionColumn", "lowerBound", "upperBound", "numPartitions", "fetchsize"}
+    out = {k: v for k, v in jdbc.items() if not (write and k in read_only)}
+    return {**out, "dbtable": target}

@@ -2,11 +2,12 @@
 
 On a cluster the shared folder comes from ``spark.checkpoint.dir`` as set by the
 cluster configuration; this module only fills it in when it is unset (local
-tests), and never points writes at a machine-local folder otherwise.
+tests on a local master) and raises otherwise.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -58,13 +59,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local test run. A cluster always names a shared folder.
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               f"executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="shiftwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder; ``release_scratch``
+    (also run when the program ends) removes what was written there."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/shiftwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/shiftwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append((spark, path))
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop FileSystem of ``path``, the Hadoop Path class)."""
+    cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return cls(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), cls
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders handed out so far (frames that still read
+    them become unreadable). Returns how many existed."""
+    gone = 0
+    while _scratch:
+        _, path = _scratch.pop()
+        fs, cls = file_system(spark, path)
+        gone += bool(fs.delete(cls(path), True))
+    return gone
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    if _scratch and _scratch[-1][0].sparkContext._jsc is not None:
+        release_scratch(_scratch[-1][0])

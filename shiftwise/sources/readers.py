@@ -54,29 +54,63 @@ def jdbc_options(url: str, table: str | None = None, query: str | None = None,
     return opts
 
 
-def jdbc_date_predicates(column: str, start, end, days_per_slice: int = 1) -> list[str]:
-    """WHERE clauses splitting ``start <= column < end`` into half-open slices
-    of ``days_per_slice`` days - one parallel JDBC read task per slice, for
-    tables keyed by time rather than by a numeric id. Rows outside the range
-    (or with a NULL ``column``) are not read."""
+def jdbc_date_predicates(column: str, start, end, days_per_slice: int = 1,
+                         with_nulls: bool = False) -> list[str]:
+    """WHERE clauses that cut ``start <= column <= end`` into slices of
+    ``days_per_slice`` days - one parallel JDBC read task per slice, for tables
+    keyed by time rather than by a numeric id. Bounds are full timestamps (a
+    date is its midnight), slices are half-open and the last one includes
+    ``end``, so together they read exactly the inclusive range.
+    ``with_nulls`` adds a slice for rows with a NULL ``column``."""
     import datetime as dt
-    lo = dt.date.fromisoformat(str(start)[:10])
-    hi = dt.date.fromisoformat(str(end)[:10])
-    if hi <= lo or days_per_slice < 1:
-        raise ValueError("need start < end and days_per_slice >= 1")
-    out, cur = [], lo
-    while cur < hi:
-        nxt = min(cur + dt.timedelta(days=days_per_slice), hi)
-        out.append(f"{column} >= '{cur.isoformat()}' AND {column} < '{nxt.isoformat()}'")
-        cur = nxt
+
+    def stamp(x) -> dt.datetime:
+        if isinstance(x, dt.datetime):
+            return x
+        if isinstance(x, dt.date):
+            return dt.datetime(x.year, x.month, x.day)
+        return dt.datetime.fromisoformat(str(x))
+
+    lo, hi = stamp(start), stamp(end)
+    if hi < lo or days_per_slice < 1:
+        raise ValueError("need start <= end and days_per_slice >= 1")
+    step, out, cur = dt.timedelta(days=days_per_slice), [], lo
+    while cur + step <= hi:
+        out.append(f"{column} >= '{cur}' AND {column} < '{cur + step}'")
+        cur += step
+    out.append(f"{column} >= '{cur}' AND {column} <= '{hi}'")
+    if with_nulls:
+        out.append(f"{column} IS NULL")
     return out
 
 
+def jdbc_read_arguments(predicates: list[str] | None = None, **options) -> dict:
+    """Reader options from either spelling: keyword arguments of
+    ``jdbc_options`` (``table``, ``partition_column``, ...) or Spark's own
+    names. With ``predicates`` a ``query`` becomes a derived table, because
+    that form of the reader takes tables only."""
+    opts = dict(options)
+    opts.setdefault("table", opts.pop("dbtable", None))
+    spark_names = {"partitionColumn": "partition_column", "lowerBound": "lower_bound",
+                   "upperBound": "upper_bound", "numPartitions": "num_partitions",
+                   "fetchsize": "fetch_size"}
+    for theirs, ours in spark_names.items():
+        if theirs in opts:
+            opts[ours] = opts.pop(theirs)
+    if predicates:
+        if opts.get("partition_column") is not None:
+            raise ValueError("give predicates or a partition column, not both")
+        if opts.get("query") is not None:
+            opts["table"] = f"({opts.pop('query')}) q"
+    return jdbc_options(**opts)
+
+
 def read_jdbc(spark: SparkSession, predicates: list[str] | None = None, **options) -> DataFrame:
-    """JDBC read; with ``predicates`` (e.g. ``jdbc_date_predicates``) each
-    clause becomes one partition read in parallel."""
+    """JDBC read (see ``jdbc_options`` for the options); with ``predicates``
+    (e.g. ``jdbc_date_predicates``) each clause becomes one partition read in
+    parallel."""
+    opts = jdbc_read_arguments(predicates, **options)
     if predicates:
-        props = {k: str(v) for k, v in options.items() if k not in ("url", "dbtable")}
-        return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates,
-                               properties=props)
-    return spark.read.format("jdbc").options(**options).load()
+        url, name = opts.pop("url"), opts.pop("dbtable")
+        return spark.read.jdbc(url, name, predicates=predicates, properties=opts)
+    return spark.read.format("jdbc").options(**opts).load()

@@ -3,12 +3,13 @@ JDBC overwrite."""
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwise.session import ensure_checkpoint_dir
+from shiftwise.session import ensure_checkpoint_dir, file_system
 
 LOAD_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -25,10 +26,10 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     """Write ``df`` to a catalog table or a path with the job's load type.
 
     ``source_system`` tags every row with a ``source_system`` column.
-    ``staged=True`` is for jobs that read ``target`` and write it back: the
-    result is first checkpointed to the shared checkpoint folder (lineage to
-    ``target`` cut, survives executor loss), so overwriting ``target`` can no
-    longer truncate the input it is still reading.
+    ``staged=True`` is for overwrites by jobs that read ``target``: the result
+    is written in full next to the target, on the same file system or in the
+    same catalog, and only then takes its place; the old state is deleted last.
+    If the write fails the target is untouched and the staging copy is removed.
     ``bucket_by=(n, keys)`` (catalog tables only) stores the table hashed and
     sorted on ``keys`` in ``n`` buckets: later joins and aggregations on those
     keys read it without shuffling it (e.g. every sync run against it).
@@ -41,10 +42,14 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
         raise ValueError(f"load type must be one of {LOAD_MODES}")
     if source_system is not None:
         df = df.withColumn("source_system", F.lit(source_system))
+    if staged and mode != "overwrite":
+        raise ValueError("staged writes replace the target: use load type overwrite")
+    if staged and dynamic_partitions:
+        raise ValueError("a staged write replaces the whole target")
+    spark, final = df.sparkSession, target
     if staged:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    w = df.write.format(fmt).mode(mode).options(**(options or {}))
+        target = _beside(target, "stage")
+    w = df.write.format(fmt).mode("error" if staged else mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
         if dynamic_partitions:
@@ -56,10 +61,72 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
             raise ValueError("bucketing needs a catalog table, not a path")
         n, keys = bucket_by
         w = w.bucketBy(int(n), *keys).sortBy(*keys)
+    try:
+        if _is_path(target):
+            w.save(target)
+        else:
+            w.saveAsTable(target)
+    except BaseException:
+        if staged:
+            _drop(spark, target)
+        raise
+    if staged:
+        _swap(spark, target, final)
+
+
+def _beside(target: str, role: str) -> str:
+    """A new name next to ``target`` (hidden from readers of its parent path)."""
+    tag = f"{role}_{uuid.uuid4().hex[:8]}"
     if _is_path(target):
-        w.save(target)
+        parent, _, name = target.rstrip("/").rpartition("/")
+        return f"{parent}/_{name}_{tag}"
+    return f"{target}_{tag}"
+
+
+def _exists(spark: SparkSession, target: str) -> bool:
+    if _is_path(target):
+        fs, cls = file_system(spark, target)
+        return fs.exists(cls(target))
+    return spark.catalog.tableExists(target)
+
+
+def _drop(spark: SparkSession, target: str) -> None:
+    if _is_path(target):
+        fs, cls = file_system(spark, target)
+        fs.delete(cls(target), True)
     else:
-        w.saveAsTable(target)
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    if _is_path(target):
+        fs, cls = file_system(spark, target)
+        if not fs.rename(cls(source), cls(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+    else:
+        spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
+
+
+def _swap(spark: SparkSession, stage: str, target: str) -> None:
+    """Put the finished ``stage`` in the place of ``target``: the old state is
+    renamed away, the new one renamed in, the old one deleted; if the second
+    rename fails the first is undone."""
+    old = _beside(target, "old") if _exists(spark, target) else None
+    if old:
+        _rename(spark, target, old)
+    try:
+        _rename(spark, stage, target)
+    except BaseException:
+        if old:
+            _rename(spark, old, target)
+        _drop(spark, stage)
+        raise
+    if old:
+        _drop(spark, old)
+    if _is_path(target):
+        spark.catalog.refreshByPath(target)
+    else:
+        spark.catalog.refreshTable(target)
 
 
 def write_clustered(df: DataFrame, target: str, cols: Sequence[str], mode: str = "overwrite",
@@ -91,7 +158,8 @@ def write_jdbc(df: DataFrame, options: dict, mode: str = "overwrite", truncate:
     """JDBC write. ``truncate`` keeps the table definition on overwrite;
     ``num_partitions`` caps concurrent connections; ``staged=True`` checkpoints
     first so a job that reads the same table is not emptied by its own
-    overwrite."""
+    overwrite. The overwrite itself is not atomic: a database that must never
+    be seen half-written needs a staging table and a rename on its side."""
     if mode not in LOAD_MODES:
         raise ValueError(f"load type must be one of {LOAD_MODES}")
     opts = jdbc_write_options(options, mode, truncate, batch_size, num_partitions)
