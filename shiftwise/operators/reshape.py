@@ -8,7 +8,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_WS = " \t\n\r\x0b\x0c"  # what Python's str.strip() removes for ASCII text
+_WS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"  # what Python's str.strip() removes for ASCII text
 
 
 def slot_columns(prefix: str, n_slots: int, start: int = 1) -> list[str]:
@@ -70,15 +70,16 @@ def unpack_payload(df: DataFrame, schema_col: str, payload_col: str,
     ``n_fields``, ``ragged`` (field count differs from schema width) and
     ``decode_error``.
 
-    ``on_error="raise"`` fails the job on malformed base64 or UTF-8, like the
-    original parser; ``on_error="null"`` keeps such a payload as one row with
-    ``decode_error = true`` and NULL line fields, so one bad file cannot stop a
-    large run and is still visible. Everything is a column expression:
+    ``on_error="raise"`` fails the job on a NULL payload, malformed base64 or
+    UTF-8, like the original parser; ``on_error="null"`` keeps such a payload as
+    one row with ``decode_error = true`` and NULL line fields, so one bad file
+    cannot stop a large run and is still visible. Everything is a column expression:
     payloads are unpacked in parallel on the executors, never on the driver.
     """
     payload = F.col(payload_col)
     if on_error == "raise":
-        decoded = F.decode(F.unbase64(payload), "UTF-8")
+        decoded = F.when(payload.isNull(), F.raise_error(F.lit(f"NULL payload in {payload_col}"))
+                         ).otherwise(F.decode(F.unbase64(payload), "UTF-8"))
     elif on_error == "null":
         as_text = F.try_to_binary(payload, F.lit("base64")).cast("string")
         decoded = F.when(F.is_valid_utf8(as_text), as_text)
@@ -87,7 +88,7 @@ def unpack_payload(df: DataFrame, schema_col: str, payload_col: str,
     schema = F.replace(F.col(schema_col), F.lit(" "), F.lit(""))
     text = F.btrim(decoded, F.lit(_WS))
     staged = df.select(*keep, schema.alias("schema"),
-                       (payload.isNotNull() & decoded.isNull()).alias("decode_error"),
+                       decoded.isNull().alias("decode_error"),
                        F.split(text, "\n").alias("__lines"))
     header = F.replace(F.get(F.col("__lines"), 0), F.lit(" "), F.lit("")) == F.col("schema")
     explode = F.posexplode_outer if on_error == "null" else F.posexplode

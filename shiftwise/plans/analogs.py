@@ -27,16 +27,9 @@ BANNED_DOMAIN = "PROMO"
 WINDOW = ("1995-01-01", "2001-12-31")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fresh read of one test table. The schema is taken from the file once
-    and then passed explicitly, so repeated reads skip schema inference."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One test table, read afresh."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ntz(s: str) -> Column:
@@ -58,23 +51,34 @@ def fact15(spark, d) -> DataFrame:
 
 
 def history(spark, d) -> DataFrame:
-    """customer as validity-versioned queue filters: one 15-day version per queue."""
-    c = table(spark, d, "customer")
-    start = _ntz(VERSION_EPOCH) + _days(F.col("c_custkey") % 10)
+    """customer as validity-versioned queue filters. Every queue has a 15-day
+    version; one in three goes straight on with an adjacent version in another
+    view, one in seven has an overlapping version in a third."""
+    def version(days: int, view: int):
+        return F.struct(F.lit(days).alias("days"), F.lit(view).alias("view"))
+
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").withColumn("v", F.explode(F.array_compact(F.array(
+        version(0, 0), F.when(k % 3 == 0, version(15, 3)), F.when(k % 7 == 0, version(5, 1))))))
+    start = _ntz(VERSION_EPOCH) + _days(k % 10 + F.col("v.days"))
     return c.select(F.col("c_mktsegment").alias("FilterName"),
-                    F.concat(F.lit("VIEW_"), F.col("c_nationkey").cast("string")).alias("ViewName"),
-                    F.col("c_custkey").alias("QueueID"),
+                    F.concat(F.lit("VIEW_"), ((F.col("c_nationkey") + F.col("v.view")) % 25)
+                             .cast("string")).alias("ViewName"),
+                    k.alias("QueueID"),
                     start.alias("RecordStartDateInclusive"),
                     (start + _days(15)).alias("RecordEndDateNonInclusive"))
 
 
 def view_map(spark, d) -> DataFrame:
-    """nation x region as the view -> partner / site / line / model lookup."""
+    """nation x region as the view -> partner / site / line / model lookup; one
+    view in five has a second row (another site), so its rows fan out."""
     n, r = table(spark, d, "nation"), table(spark, d, "region")
-    j = n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner")
+    j = n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner").withColumn("site", F.explode(
+        F.array_compact(F.array(F.col("n_name"), F.when(
+            F.col("n_nationkey") % 5 == 0, F.concat("n_name", F.lit(" II")))))))
     return j.select(
         F.concat(F.lit("VIEW_"), F.col("n_nationkey").cast("string")).alias("ViewName"),
-        F.col("r_name").alias("Partner"), F.col("n_name").alias("Site"),
+        F.col("r_name").alias("Partner"), F.col("site").alias("Site"),
         F.concat(F.lit("LOB_"), (F.col("n_nationkey") % 4).cast("string")).alias("LineOfBusiness"),
         F.when(F.col("n_regionkey") % 2 == 0, F.lit("VOICE")).otherwise(F.lit("CHAT"))
         .alias("ServiceModel"))

@@ -36,9 +36,12 @@ from shiftwise.plans import analogs as A
 from shiftwise.plans import domain_counts as DC
 from shiftwise.plans import staffing as S
 from shiftwise.plans import utilisation as U
+from shiftwise.plans.payloads import unpack_log_table, write_by_schema
+from shiftwise.plans.presets import OUTLOOK_CLUSTER_BY, OUTLOOK_OUTPUT
 from shiftwise.plans.slots import slot_report, slot_rows
 from shiftwise.plans.synchronise import sync_table
 from shiftwise.session import scratch_path
+from shiftwise.sources.readers import read_source
 from shiftwise.sources.sinks import write_clustered, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,6 +356,15 @@ def q_sync_write_back(spark, d):
     return rounded(back)
 
 
+def q_sync_dimension_repeats(spark, d):
+    # The stage also holds an older state of every third campaign: the newest counts.
+    new = A.dim_stage(spark, d).withColumn("Revision", F.lit(2))
+    old = (new.filter(F.col("CampaignID") % 3 == 0).withColumn("Revision", F.lit(1))
+           .withColumn("CampaignName", F.lit("superseded")))
+    return sync(A.dim_target(spark, d), old.unionByName(new), ["CampaignID"], DIM_VALUES,
+                "dimension", A.NOW, stage_order=["Revision"])
+
+
 def q_except_distinct(spark, d):
     o, c = A.table(spark, d, "orders"), A.table(spark, d, "customer")
     return o.select(F.col("o_custkey").alias("custkey")).subtract(
@@ -378,6 +390,46 @@ def q_payload_by_schema(spark, d):
                           {"event_id": "bigint"}, keep=["user_id", "block"])
 
 
+def q_payload_tables(spark, d):
+    # A stored log table, unpacked, one table written per schema found, all read back.
+    logs, out = scratch_path(spark, "logs"), scratch_path(spark, "by_schema")
+    write_table(A.log_payloads(spark, d).withColumnRenamed("user_id", "owner"), logs)
+    long = unpack_log_table(spark, logs, keep=["owner", "block"])
+    ints = {"event_id": "bigint"}
+    paths = write_by_schema(long, out, {s: ints for s in ("event_id,event_type", "event_id,user_id")},
+                            keep=["owner", "block"])
+    frames = []
+    for schema, path in sorted(paths.items()):
+        part = spark.read.parquet(path).toDF("user_id", "block", "event_id", "field_2")
+        frames.append(part.select("user_id", "block", F.lit(schema).alias("schema"), "event_id", "field_2"))
+    out_df = frames[0]
+    for f in frames[1:]:
+        out_df = out_df.unionByName(f)
+    return out_df
+
+
+# --- catalog tables and the whole outlook job -------------------------------------------
+
+def q_catalog_tables(spark, d):
+    # Saved as catalog tables, read by name, one of them by its two-level name.
+    write_table(A.table(spark, d, "nation"), "shiftwise_nation")
+    write_table(A.table(spark, d, "region"), "default.shiftwise_region")
+    n = read_source(spark, "table", "shiftwise_nation", columns=["n_nationkey", "n_name", "n_regionkey"])
+    r = read_source(spark, "table", "default.shiftwise_region", columns=["r_regionkey", "r_name"])
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
+
+
+def q_outlook_job(spark, d):
+    # The job as it runs: queue map persisted, clustered overwrite, original column names.
+    path = scratch_path(spark, "outlook")
+    S.run_staffing_outlook(
+        path, A.history(spark, d), A.view_map(spark, d), A.fte(spark, d), A.afte(spark, d),
+        A.volume(spark, d), A.requirement(spark, d), A.model_required(spark, d),
+        A.REPORT_START, A.REPORT_END, A.FILTER_NAMES, now=A.NOW,
+        cluster_by=OUTLOOK_CLUSTER_BY, names=OUTLOOK_OUTPUT)
+    return rounded(spark.read.parquet(path))
+
+
 # --- sinks ------------------------------------------------------------------------------
 
 def q_sink_overwrite(spark, d):
@@ -385,7 +437,7 @@ def q_sink_overwrite(spark, d):
     write_table(A.table(spark, d, "nation"), path, mode="overwrite", source_system="initial")
     current = spark.read.parquet(path)
     refreshed = current.select("n_nationkey", F.lower("n_name").alias("n_name"), "n_regionkey")
-    # Reads and rewrites the same path: staged through the checkpoint folder.
+    # Reads and rewrites the same path: written beside it, then swapped in.
     write_table(refreshed, path, mode="overwrite", source_system="refresh", staged=True)
     return spark.read.parquet(path)
 
@@ -435,6 +487,10 @@ QUERIES: dict[str, Query] = {
     "except_distinct": q_except_distinct,
     "payload_unpack": q_payload_unpack,
     "payload_by_schema": q_payload_by_schema,
+    "payload_tables": q_payload_tables,
+    "sync_dimension_repeats": q_sync_dimension_repeats,
+    "catalog_tables": q_catalog_tables,
+    "outlook_job": q_outlook_job,
     "sink_overwrite": q_sink_overwrite,
     "sink_clustered": q_sink_clustered,
 }

@@ -55,14 +55,18 @@ CTE = {
         time_bucket(INTERVAL 15 MINUTE, ts) AS DateTime, ts, event_type, value,
         CAST(event_id % 600 + 60 AS DOUBLE) AS aht FROM events""",
     "history": """SELECT c_mktsegment AS FilterName,
-        'VIEW_' || CAST(c_nationkey AS VARCHAR) AS ViewName, c_custkey AS QueueID,
-        TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 10 AS INTEGER)) AS RecordStartDateInclusive,
-        TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 10 AS INTEGER) + 15) AS RecordEndDateNonInclusive
-        FROM customer""",
+        'VIEW_' || CAST((c_nationkey + v.shift) % 25 AS VARCHAR) AS ViewName, c_custkey AS QueueID,
+        TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 10 + v.days AS INTEGER))
+            AS RecordStartDateInclusive,
+        TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 10 + v.days + 15 AS INTEGER))
+            AS RecordEndDateNonInclusive
+        FROM customer, (VALUES (0, 0, 1), (15, 3, 3), (5, 1, 7)) v(days, shift, every)
+        WHERE c_custkey % v.every = 0""",
     "viewmap": """SELECT 'VIEW_' || CAST(n_nationkey AS VARCHAR) AS ViewName, r_name AS Partner,
-        n_name AS Site, 'LOB_' || CAST(n_nationkey % 4 AS VARCHAR) AS LineOfBusiness,
+        n_name || s.suffix AS Site, 'LOB_' || CAST(n_nationkey % 4 AS VARCHAR) AS LineOfBusiness,
         CASE WHEN n_regionkey % 2 = 0 THEN 'VOICE' ELSE 'CHAT' END AS ServiceModel
-        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        FROM nation JOIN region ON n_regionkey = r_regionkey
+        JOIN (VALUES ('', 1), (' II', 5)) s(suffix, every) ON n_nationkey % s.every = 0""",
     "fmap": f"""SELECT h.QueueID, h.ViewName, m.Partner, m.Site, m.LineOfBusiness, m.ServiceModel,
         h.RecordStartDateInclusive, h.RecordEndDateNonInclusive
         FROM history h JOIN viewmap m ON h.ViewName = m.ViewName WHERE h.FilterName IN {FILTERS}""",
@@ -453,52 +457,53 @@ FROM fstg s
 WHERE NOT EXISTS (SELECT 1 FROM ftgt t WHERE t.DateTime = s.ForecastInterval
                   AND t.CampaignID = s.CampaignID AND t.QueueID = s.QueueID)""")
 
+# The three sync jobs step by step: mark or delete, update, insert, combine.
 SYNC_DIMENSION = with_("dtgt", "dstg", body=f"""
-, j AS (SELECT t.CampaignID AS t_id, s.CampaignID AS s_id,
-               t.ParentCampaignID AS t_p, s.ParentCampaignID AS s_p,
-               t.CampaignName AS t_n, s.CampaignName AS s_n,
-               t.CampaignDescription AS t_d, s.CampaignDescription AS s_d,
-               t.IsDistributed AS t_i, s.IsDistributed AS s_i,
-               t.RecordCreatedDateTime AS t_c, t.RecordLastModifiedDateTime AS t_m,
-               t.RecordRemovedDateTime AS t_r
-        FROM dtgt t FULL JOIN dstg s ON t.CampaignID = s.CampaignID)
-, k AS (SELECT *, (t_id IS NOT NULL AND s_id IS NULL) AS t_only, (t_id IS NULL) AS s_only,
-               (t_id IS NOT NULL AND s_id IS NOT NULL AND (
-                   COALESCE(t_p <> s_p, FALSE) OR COALESCE(t_n <> s_n, FALSE)
-                   OR COALESCE(t_d <> s_d, FALSE) OR COALESCE(t_i <> s_i, FALSE)
-                   OR t_r IS NULL)) AS upd
-        FROM j)
-SELECT COALESCE(t_id, s_id) AS CampaignID,
-       CASE WHEN s_only OR upd THEN s_p ELSE t_p END AS ParentCampaignID,
-       CASE WHEN s_only OR upd THEN s_n ELSE t_n END AS CampaignName,
-       CASE WHEN s_only OR upd THEN s_d ELSE t_d END AS CampaignDescription,
-       CASE WHEN s_only OR upd THEN s_i ELSE t_i END AS IsDistributed,
-       CASE WHEN s_only THEN {NOW} ELSE t_c END AS RecordCreatedDateTime,
-       CASE WHEN s_only OR upd THEN {NOW} ELSE t_m END AS RecordLastModifiedDateTime,
-       CASE WHEN s_only OR upd THEN NULL WHEN t_only THEN {NOW} ELSE t_r END AS RecordRemovedDateTime
-FROM k""")
+, marked AS (
+    SELECT t.* REPLACE (CASE WHEN NOT EXISTS (SELECT 1 FROM dstg s WHERE s.CampaignID = t.CampaignID)
+                             THEN {NOW} ELSE t.RecordRemovedDateTime END AS RecordRemovedDateTime)
+    FROM dtgt t)
+, updated AS (
+    SELECT m.CampaignID, s.ParentCampaignID, s.CampaignName, s.CampaignDescription, s.IsDistributed,
+           m.RecordCreatedDateTime, {NOW} AS RecordLastModifiedDateTime,
+           CAST(NULL AS TIMESTAMP) AS RecordRemovedDateTime
+    FROM marked m JOIN dstg s ON m.CampaignID = s.CampaignID
+    WHERE m.ParentCampaignID <> s.ParentCampaignID OR m.CampaignName <> s.CampaignName
+       OR m.CampaignDescription <> s.CampaignDescription OR m.IsDistributed <> s.IsDistributed
+       OR m.RecordRemovedDateTime IS NULL)
+, remaining AS (
+    SELECT * FROM marked m WHERE NOT EXISTS (SELECT 1 FROM updated u WHERE u.CampaignID = m.CampaignID))
+, inserted AS (
+    SELECT s.CampaignID, s.ParentCampaignID, s.CampaignName, s.CampaignDescription, s.IsDistributed,
+           {NOW} AS RecordCreatedDateTime, {NOW} AS RecordLastModifiedDateTime,
+           CAST(NULL AS TIMESTAMP) AS RecordRemovedDateTime
+    FROM dstg s WHERE NOT EXISTS (SELECT 1 FROM dtgt t WHERE t.CampaignID = s.CampaignID))
+SELECT * FROM remaining UNION ALL SELECT * FROM updated UNION ALL SELECT * FROM inserted""")
 
 
 def _fact_sync(on_change: bool) -> str:
-    upd = ("((t_a IS NOT NULL) <> (s_a IS NOT NULL) OR (t_v IS NOT NULL) <> (s_v IS NOT NULL))"
-           if on_change else "TRUE")
+    match = ("t.DateTime = s.ForecastInterval AND t.CampaignID = s.CampaignID "
+             "AND t.QueueID = s.QueueID")
+    gate = ("WHERE (t.AHT IS NOT NULL) <> (s.AHT IS NOT NULL) "
+            "OR (t.CALLVOLUME IS NOT NULL) <> (s.CALLVOLUME IS NOT NULL)" if on_change else "")
     return with_("fact15", "ftgt", "fstg", body=f"""
-, j AS (SELECT t.DateTime AS t_k1, s.ForecastInterval AS s_k1, t.CampaignID AS t_k2,
-               s.CampaignID AS s_k2, t.QueueID AS t_k3, s.QueueID AS s_k3,
-               t.AHT AS t_a, s.AHT AS s_a, t.CALLVOLUME AS t_v, s.CALLVOLUME AS s_v,
-               t.RecordCreatedDateTime AS t_c, t.RecordLastModifiedDateTime AS t_m
-        FROM ftgt t FULL JOIN fstg s ON t.DateTime = s.ForecastInterval
-             AND t.CampaignID = s.CampaignID AND t.QueueID = s.QueueID)
-, k AS (SELECT *, (t_k3 IS NULL) AS s_only,
-               (t_k3 IS NOT NULL AND s_k3 IS NOT NULL AND {upd}) AS upd
-        FROM j WHERE s_k3 IS NOT NULL)
-SELECT COALESCE(t_k1, s_k1) AS DateTime, COALESCE(t_k2, s_k2) AS CampaignID,
-       COALESCE(t_k3, s_k3) AS QueueID,
-       {r6('CASE WHEN s_only THEN s_a WHEN upd THEN COALESCE(s_a, t_a) ELSE t_a END')} AS AHT,
-       {r6('CASE WHEN s_only THEN s_v WHEN upd THEN COALESCE(s_v, t_v) ELSE t_v END')} AS CALLVOLUME,
-       CASE WHEN s_only THEN {NOW} ELSE t_c END AS RecordCreatedDateTime,
-       CASE WHEN s_only OR upd THEN {NOW} ELSE t_m END AS RecordLastModifiedDateTime
-FROM k""")
+, kept AS (SELECT * FROM ftgt t WHERE EXISTS (SELECT 1 FROM fstg s WHERE {match}))
+, updated AS (
+    SELECT t.DateTime, t.CampaignID, t.QueueID, COALESCE(s.AHT, t.AHT) AS AHT,
+           COALESCE(s.CALLVOLUME, t.CALLVOLUME) AS CALLVOLUME, t.RecordCreatedDateTime,
+           {NOW} AS RecordLastModifiedDateTime
+    FROM kept t JOIN fstg s ON {match} {gate})
+, untouched AS (
+    SELECT * FROM kept k WHERE NOT EXISTS (
+        SELECT 1 FROM updated u WHERE u.DateTime = k.DateTime AND u.CampaignID = k.CampaignID
+        AND u.QueueID = k.QueueID))
+, inserted AS (
+    SELECT s.ForecastInterval AS DateTime, s.CampaignID, s.QueueID, s.AHT, s.CALLVOLUME,
+           {NOW} AS RecordCreatedDateTime, {NOW} AS RecordLastModifiedDateTime
+    FROM fstg s WHERE NOT EXISTS (SELECT 1 FROM ftgt t WHERE {match}))
+SELECT DateTime, CampaignID, QueueID, {r6('AHT')} AS AHT, {r6('CALLVOLUME')} AS CALLVOLUME,
+       RecordCreatedDateTime, RecordLastModifiedDateTime
+FROM (SELECT * FROM untouched UNION ALL SELECT * FROM updated UNION ALL SELECT * FROM inserted) x""")
 
 
 SYNC_FACT_ALWAYS = _fact_sync(False)
@@ -529,6 +534,20 @@ FROM (SELECT user_id, CAST(event_id // 1000 AS BIGINT) AS block, event_id, event
       FROM events) logged
 WHERE schema = 'event_id,event_type'"""
 
+PAYLOAD_TABLES = """
+SELECT user_id, CAST(event_id // 1000 AS BIGINT) AS block,
+       CASE WHEN user_id % 2 = 0 THEN 'event_id,event_type' ELSE 'event_id,user_id' END AS schema,
+       event_id, CASE WHEN user_id % 2 = 0 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS field_2
+FROM events"""
+
+# --- catalog tables and the whole outlook job -------------------------------------------
+
+CATALOG_TABLES = """
+SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+OUTLOOK_JOB = f"""
+SELECT * EXCLUDE (ViewName), ViewName AS VerintWfmStaffingMapViewName FROM ({STAFFING_OUTLOOK}) o"""
+
 # --- sinks ------------------------------------------------------------------------------
 
 SINK_OVERWRITE = """
@@ -577,6 +596,10 @@ ORACLE: dict[str, str] = {
     "except_distinct": EXCEPT_DISTINCT,
     "payload_unpack": PAYLOAD_UNPACK,
     "payload_by_schema": PAYLOAD_BY_SCHEMA,
+    "payload_tables": PAYLOAD_TABLES,
+    "sync_dimension_repeats": SYNC_DIMENSION,
+    "catalog_tables": CATALOG_TABLES,
+    "outlook_job": OUTLOOK_JOB,
     "sink_overwrite": SINK_OVERWRITE,
     "sink_clustered": SINK_CLUSTERED,
 }

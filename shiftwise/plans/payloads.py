@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shiftwise.operators.reshape import project_schema, unpack_payload
 from shiftwise.sources.readers import read_source
+from shiftwise.sources.sinks import write_table
 
 
 def unpack_log_table(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -27,3 +28,26 @@ def schema_frames(long_df: DataFrame, schemas: Mapping[str, Mapping[str, str] |
                   keep: Sequence[str] = ()) -> dict[str, DataFrame]:
     """One lazy typed DataFrame per known schema string."""
     return {s: project_schema(long_df, s, types, keep=keep) for s, types in schemas.items()}
+
+
+def schemas_found(long_df: DataFrame, max_schemas: int = 1000) -> list[str]:
+    """The distinct schemas of unpacked payloads, in order. There must be at
+    most ``max_schemas``: each becomes a table."""
+    rows = long_df.select("schema").filter("schema is not null").distinct().limit(max_schemas + 1).collect()
+    if len(rows) > max_schemas:
+        raise ValueError(f"more than {max_schemas} schemas")
+    return sorted(r["schema"] for r in rows)
+
+
+def write_by_schema(long_df: DataFrame, base: str, types: Mapping[str, Mapping[str, str]] | None = None,
+                    keep: Sequence[str] = (), fmt: str = "parquet") -> dict[str, str]:
+    """Write every schema found to a path of its own below ``base``; returns
+    schema -> path. Each path is named by a hash of the schema."""
+    import hashlib
+
+    out = {}
+    for s in schemas_found(long_df):
+        path = f"{base.rstrip('/')}/schema={hashlib.sha256(s.encode()).hexdigest()[:12]}"
+        write_table(project_schema(long_df, s, (types or {}).get(s), keep=keep), path, fmt=fmt)
+        out[s] = path
+    return out

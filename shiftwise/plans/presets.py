@@ -25,7 +25,7 @@ OUTLOOK_FILTER_NAMES = ["Staffing Outlook", "EHS Staffing Outlook", "ESS Staffin
 OUTLOOK_START = "2025-07-13"
 OUTLOOK_END = "2025-08-31"
 OUTLOOK_CONTRACT_CUTOFF = "2025-01-12"
-OUTLOOK_CLUSTER_BY = ["DateTime", "ViewName"]
+OUTLOOK_CLUSTER_BY = ["DateTime", "VerintWfmStaffingMapViewName"]
 RECORD_TYPE_LABELS = {
     "0124P000000bg6GQAQ": "Alert",
     "0124P000000bg6HQAQ": "Issue",
@@ -63,6 +63,10 @@ FLAG_COLUMNS = {"SUBMITTED_DATE_TIME__C": "submitted_at", "KNOWLEDGE_DOMAIN__C":
 SCORE_COLUMNS = {"article_number__c": "article_number",
                  "date_score_changed__c": "scored_at", "acrolinx_score__c": "score"}
 
+# Contract name -> column name of the original result tables.
+OUTLOOK_OUTPUT = {"ViewName": "VerintWfmStaffingMapViewName"}
+UTILISATION_OUTPUT = {"quality_score": "acrolinx_score"}
+
 
 def renamed(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename the mapped columns (matched case-insensitively), keep the rest."""
@@ -76,8 +80,9 @@ def outlook_from_tables(history, view_map, fte, queue, volume, requirement, mode
     """The staffing outlook. The original contract-stage cutoff
     (``OUTLOOK_CONTRACT_CUTOFF``) contradicts the date range and empties that
     stage, so it is only applied when passed as ``cutoff``."""
-    return S.staffing_outlook(history, view_map, fte, queue, volume, requirement, model,
-                              start, end, filter_names, cutoff=cutoff, **options)
+    return renamed(S.staffing_outlook(history, view_map, fte, queue, volume, requirement, model,
+                                      start, end, filter_names, cutoff=cutoff, **options),
+                   OUTLOOK_OUTPUT)
 
 
 def utilisation_from_tables(clicks, clicks_alt, knowledge, links, flags, scores,
@@ -90,11 +95,11 @@ def utilisation_from_tables(clicks, clicks_alt, knowledge, links, flags, scores,
         record_types=RECORD_TYPE_LABELS, governance=GOVERNANCE, banned_domain=BANNED_DOMAIN,
         use_type=LINK_USE, reference_type=LINK_REFERENCE,
         excluded_flag_status=EXCLUDED_FLAG_STATUS)
-    return utilisation_summary(
+    return renamed(utilisation_summary(
         renamed(clicks, CLICK_COLUMNS), renamed(clicks_alt, CLICK_COLUMNS),
         renamed(knowledge, ARTICLE_COLUMNS), renamed(links, LINK_COLUMNS),
         renamed(flags, FLAG_COLUMNS), renamed(scores, SCORE_COLUMNS), params,
-        run_date=run_date, window=window, how=how)
+        run_date=run_date, window=window, how=how), UTILISATION_OUTPUT)
 
 
 def domain_counts_from_tables(flags, headlines, bookmarks, versions,
@@ -141,4 +146,4 @@ def outlook_job(spark, tables: Mapping[str, str], target: str, start=OUTLOOK_STA
     clustered outlook report."""
     t = [read_source(spark, "table", tables[k]) for k in OUTLOOK_INPUTS]
     S.run_staffing_outlook(target, *t, start, end, filter_names,
-                           cluster_by=OUTLOOK_CLUSTER_BY, **options)
+                           cluster_by=OUTLOOK_CLUSTER_BY, names=OUTLOOK_OUTPUT, **options)
