@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import os
 import tempfile
@@ -16,8 +15,6 @@ from shiftwise.session import ensure_checkpoint_dir, scratch_path
 #: Rows per Arrow batch handed to Python: bounds a worker's memory on long texts.
 ARROW_ROWS = 512
 
-_scratch: list[tuple[SparkSession, str]] = []
-
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -51,32 +48,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     Cuts the lineage: what is computed once is not computed again, and a lost
-    executor loses none of it. ``release`` (also run at exit) removes the files.
+    executor loses none of it. ``session.release_scratch`` (also run when the
+    program ends) removes the files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _scratch.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the scratch tables written so far; results not yet read are lost."""
-    gone = 0
-    while _scratch:
-        owner, path = _scratch.pop()
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        gone += bool(fs.delete(hadoop, True))
-    return gone
-
-
-@atexit.register
-def _release_at_exit() -> None:
-    if _scratch and _scratch[0][0].sparkContext._jsc is not None:
-        release(_scratch[0][0])
-
-
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so when
     the driver's JVM finds nothing refers to them any more."""
