@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from shiftwise.operators._checks import any_null, require_keys
 
+SALTS = 32  # parts of a hot key in a frame with repeated keys
+
 
 def enrich(base: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner",
            columns: Sequence[str] | None = None,
@@ -41,6 +43,33 @@ def _full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
             .drop("__spread"))
 
 
+def _merge(uniq: Sequence[tuple[int, DataFrame]], dup: DataFrame | None,
+           keys: Sequence[str]) -> DataFrame:
+    """Numbered one-row-per-key frames merged by key, then met by ``dup``. A row
+    with a NULL key merges only with rows of its own frame."""
+    tagged = [f.withColumn("__src", F.when(any_null(keys), F.lit(i))).withColumn(f"__n{i}", F.lit(1))
+              for i, f in uniq]
+    if dup is not None:
+        salt = F.pmod(F.xxhash64(*dup.columns), F.lit(SALTS)).cast("int")
+        dup = dup.withColumn("__part", salt).withColumn("__src", F.when(any_null(keys), F.lit(-1)))
+        tagged.append(dup.select(*keys, "__src", "__part"))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    once = [F.when(F.count(F.col(f"__n{i}")) > 1, F.raise_error(F.lit(f"frame {i}: repeated key {keys}")))
+            .otherwise(F.max(c)).alias(c) for i, f in uniq for c in f.columns if c not in keys]
+    if dup is None:
+        return union.groupBy(*keys, "__src").agg(*once).drop("__src")
+    merged = (union.groupBy(*keys, "__src").agg(*once, F.collect_set("__part").alias("__parts"))
+              .withColumn("__part", F.explode_outer("__parts")).drop("__parts"))
+    left, right = merged.alias("l"), dup.alias("r")
+    cond = F.col("l.__part") == F.col("r.__part")
+    for k in [*keys, "__src"]:
+        cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    own = [c for c in dup.columns if c not in (*keys, "__part", "__src")]
+    return left.join(right, cond, "left").select(
+        *[F.col(f"l.{c}") for c in merged.columns if c not in ("__part", "__src")],
+        *[F.col(f"r.{c}") for c in own])
+
+
 def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
                      zero_fill: Sequence[str] | bool = (),
                      unique: Sequence[bool] | bool = False) -> DataFrame:
@@ -53,11 +82,12 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
     the output of a ``groupBy(keys)``); a repeated key in one of them fails the
     running job. Those are merged with one ``unionByName`` + ``groupBy`` instead
     of a join per frame (when they are already hash-partitioned on the keys,
-    the merge adds no shuffle). The other frames are full-outer-joined among
-    themselves into N, and N meets the merged frame in one full outer join, so
-    every frame is computed once. Exact copies of a row of N are counted before
-    that join and restored after it, and rows with a NULL key, which match
-    nothing, are spread by their content: neither piles up in one task.
+    the merge adds no shuffle), and computed once. The other frames are
+    full-outer-joined among themselves into N. N's rows are dealt to ``SALTS``
+    parts by their content; the merge also collects, per key, the parts in
+    which N has rows. Each merged row then goes to those parts only (to one if
+    there are none) and left-joins N on key and part: the rows of the full
+    outer join, with a hot key of N split over the parts.
     """
     frames = list(frames)
     keys = require_keys(keys)
@@ -70,27 +100,13 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str],
 
     uniq = [(i, f) for i, (f, u) in enumerate(zip(frames, unique)) if u]
     rest = [f for f, u in zip(frames, unique) if not u]
-    parts = []
-    if len(uniq) == 1:
-        parts.append(uniq[0][1])
-    elif uniq:
-        tagged = [f.withColumn("__nullkey_src", F.when(any_null(keys), F.lit(i)))
-                  .withColumn(f"__n{i}", F.lit(1)) for i, f in uniq]
-        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-        own = [(i, c) for i, f in uniq for c in f.columns if c not in keys]
-        many = {i: F.count(F.col(f"__n{i}")) > 1 for i, _ in uniq}
-        parts.append(merged.groupBy(*keys, "__nullkey_src").agg(*[
-            F.when(many[i], F.raise_error(F.lit(f"frame {i}: repeated key {keys}")))
-            .otherwise(F.max(c)).alias(c) for i, c in own]).drop("__nullkey_src"))
-    if rest:
-        dup = reduce(lambda a, b: _full_join(a, b, keys), rest)
-        if parts:
-            counted = dup.groupBy(*dup.columns).agg(F.count(F.lit(1)).alias("__copies"))
-            joined = _full_join(counted, parts[0], keys)
-            copies = F.sequence(F.lit(1), F.coalesce(F.col("__copies"), F.lit(1)).cast("int"))
-            dup = joined.withColumn("__copy", F.explode(copies)).drop("__copy", "__copies")
-        parts = [dup]
-    out = parts[0]
+    dup = reduce(lambda a, b: _full_join(a, b, keys), rest) if rest else None
+    if not uniq:
+        out = dup
+    elif len(uniq) == 1 and dup is None:
+        out = uniq[0][1]
+    else:
+        out = _merge(uniq, dup, keys)
     if zero_fill is True:
         zero_fill = metrics
     fill = set(zero_fill or ())

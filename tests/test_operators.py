@@ -282,3 +282,38 @@ def test_operators_refuse_empty_keys(spark):
                  lambda: sync(f, v, [], ["v"], "fact", "2025-01-01")):
         with pytest.raises(ValueError):
             call()
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "binned", "auto_small", "auto_large"])
+def test_validity_join_clips_in_every_strategy(spark, strategy):
+    facts = spark.createDataFrame([(1, ts("2024-01-05")), (1, ts("2024-03-05"))],
+                                  "k int, at timestamp_ntz")
+    versions = spark.createDataFrame([(1, "v", ts("2024-01-01"), ts("2025-01-01")),
+                                      (1, "w", ts("2024-02-01"), ts("2025-01-01"))],
+                                     "k int, name string, s timestamp_ntz, e timestamp_ntz")
+    option = {"auto_small": {"broadcast_max_bytes": 2**63}, "auto_large": {"broadcast_max_bytes": 0}}.get(strategy, {})
+    got = validity_join(facts, versions, ["k"], "at", "s", "e", strategy=strategy.split("_")[0],
+                        clip=("2024-01-01", "2024-01-31"), **option)
+    assert rows(got, "at", "name") == [(ts("2024-01-05"), "v")]
+
+
+def test_full_outer_chain_checks_its_unique_frames(spark):
+    u = spark.createDataFrame([("a", 1), ("a", 2)], "k string, x int")
+    v = spark.createDataFrame([("a", 3)], "k string, y int")
+    with pytest.raises(Exception, match="repeated key"):
+        full_outer_chain([u, v], ["k"], unique=True).collect()
+
+
+def test_full_outer_chain_keeps_copies_and_null_keys(spark):
+    n = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 5), (None, 5)], "k string, x int")
+    u = spark.createDataFrame([("a", 7), ("b", 8), (None, 9)], "k string, y int")
+    got = full_outer_chain([u, n], ["k"], unique=[True, False])
+    assert rows(got, "k", "y", "x") == rows(u.join(n, ["k"], "full_outer"), "k", "y", "x")
+
+
+def test_unpack_payload_null_payload(spark):
+    df = spark.createDataFrame([("a,b", None)], "LogSchema string, LogFile string")
+    with pytest.raises(Exception, match="NULL payload"):
+        unpack_payload(df, "LogSchema", "LogFile").collect()
+    (r,) = unpack_payload(df, "LogSchema", "LogFile", on_error="null").collect()
+    assert r["decode_error"] and r["values"] is None

@@ -183,7 +183,7 @@ def test_output_schemas(spark):
     assert out.schema.simpleString() == _parse_datatype_string(S.OUTPUT_DDL).simpleString()
     util = P.utilisation_from_tables(*_utilisation_tables(spark), run_date="2024-01-10")
     # the quality score keeps its source column's type; everything else is fixed
-    assert util.drop("quality_score").schema.simpleString() == \
+    assert util.drop("acrolinx_score").schema.simpleString() == \
         _parse_datatype_string(U.OUTPUT_DDL).simpleString()
 
 

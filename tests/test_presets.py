@@ -48,7 +48,7 @@ def test_utilisation_from_tables(spark):
         (dt.date(2024, 1, 3), "Sales", "A1", "Alert")
     assert r["article_view_counts"] == 3          # 2 distinct clicks + 1 in the second source
     assert (r["Use_Counts"], r["Reference_Counts"], r["created_flag_count"]) == (2, 1, 1)
-    assert r["quality_score"] == 90.0             # latest score of the day
+    assert r["acrolinx_score"] == 90.0            # latest score of the day
     assert r["shared_with"] is None and r["product_line"] == "PL"
 
 

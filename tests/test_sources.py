@@ -79,14 +79,89 @@ def test_jdbc_date_predicates():
     from shiftwise.sources import jdbc_date_predicates
     preds = jdbc_date_predicates("DateTime", "2025-07-13", "2025-07-20", days_per_slice=3)
     assert preds == [
-        "DateTime >= '2025-07-13' AND DateTime < '2025-07-16'",
-        "DateTime >= '2025-07-16' AND DateTime < '2025-07-19'",
-        "DateTime >= '2025-07-19' AND DateTime < '2025-07-20'",
+        "DateTime >= '2025-07-13 00:00:00' AND DateTime < '2025-07-16 00:00:00'",
+        "DateTime >= '2025-07-16 00:00:00' AND DateTime < '2025-07-19 00:00:00'",
+        "DateTime >= '2025-07-19 00:00:00' AND DateTime <= '2025-07-20 00:00:00'",
+    ]
+    # Times of day count, the end is inclusive, NULLs get a slice when asked for.
+    assert jdbc_date_predicates("d", "2023-04-06 12:00:00", "2023-04-07 18:00:00", with_nulls=True) == [
+        "d >= '2023-04-06 12:00:00' AND d < '2023-04-07 12:00:00'",
+        "d >= '2023-04-07 12:00:00' AND d <= '2023-04-07 18:00:00'",
+        "d IS NULL",
     ]
     with pytest.raises(ValueError):
         jdbc_date_predicates("d", "2025-01-02", "2025-01-01")
 
 
+def test_jdbc_predicates_cover_the_range_once(spark):
+    """Every stamp of the inclusive range (and no other) passes one clause."""
+    from shiftwise.sources import jdbc_date_predicates
+    df = spark.range(0, 200).select(
+        (F.lit("2023-04-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("d"))
+    preds = jdbc_date_predicates("d", "2023-04-02 05:00:00", "2023-04-07 18:00:00", days_per_slice=2)
+    hits = sum(F.expr(p).cast("int") for p in preds)
+    got = {r["h"]: r["count"] for r in df.groupBy(hits.alias("h")).count().collect()}
+    assert got == {1: 5 * 24 + 14, 0: 200 - 5 * 24 - 14}
+
+
+def test_jdbc_read_arguments_take_either_spelling():
+    from shiftwise.sources.readers import jdbc_read_arguments
+    same = {"url": "u", "fetchsize": "10000", "dbtable": "t", "partitionColumn": "id",
+            "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    assert jdbc_read_arguments(url="u", table="t", partition_column="id", lower_bound=0, upper_bound=9,
+                               num_partitions=4) == same
+    assert jdbc_read_arguments(url="u", dbtable="t", partitionColumn="id", lowerBound=0, upperBound=9,
+                               numPartitions=4) == same
+    assert jdbc_read_arguments(["a = 1"], url="u", query="select 1")["dbtable"] == "(select 1) q"
+    with pytest.raises(ValueError):
+        jdbc_read_arguments(["a = 1"], url="u", table="t", partition_column="id", lower_bound=0,
+                            upper_bound=9, num_partitions=4)
+
+
+def test_jdbc_sync_target_options():
+    from shiftwise.plans.synchronise import jdbc_target
+    opts = {"url": "u", "user": "x", "numPartitions": "4"}
+    assert jdbc_target("t", opts) == {**opts, "dbtable": "t"}
+    assert jdbc_target("t", opts, write=True) == {"url": "u", "user": "x", "dbtable": "t"}
+    with pytest.raises(ValueError):
+        jdbc_target("t", None)
+
+
+def test_failed_staged_write_leaves_the_target_whole(spark):
+    import os
+    path = scratch_path(spark, "staged")
+    write_table(spark.range(10), path)
+    bad = spark.read.parquet(path).select(
+        F.when(F.col("id") > 5, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, path, staged=True)
+    assert spark.read.parquet(path).count() == 10
+    local = path.removeprefix("file:")
+    assert os.listdir(os.path.dirname(local)).count(os.path.basename(local)) == 1
+    assert not [x for x in os.listdir(os.path.dirname(local)) if x.startswith("_" + os.path.basename(local))]
+    write_table(spark.read.parquet(path).filter("id < 4"), path, staged=True)
+    assert spark.read.parquet(path).count() == 4
+    with pytest.raises(ValueError):
+        write_table(spark.range(1), path, mode="append", staged=True)
+
+
+def test_staged_write_of_a_catalog_table(spark):
+    write_table(spark.range(10), "staged_table")
+    write_table(spark.table("staged_table").filter("id >= 7"), "staged_table", staged=True)
+    assert rows(spark.table("staged_table"), "id") == [(7,), (8,), (9,)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("staged_table")] == ["staged_table"]
+
+
+def test_scratch_is_removed(spark):
+    import os
+    from shiftwise.session import release_scratch
+    path = scratch_path(spark, "gone")
+    write_table(spark.range(3), path)
+    release_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
 def test_jdbc_write_options_and_mode_check(spark):
     from shiftwise.sources import jdbc_write_options, write_jdbc
     o = jdbc_write_options({"url": "jdbc:x://h/db", "dbtable": "t", "batchsize": 500},

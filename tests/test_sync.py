@@ -168,3 +168,32 @@ def test_fact_on_change_value_test(spark):
     assert got[2] == (100.0, 6.0, NOW_TS)     # NULL vs value counts as a change
     with pytest.raises(ValueError):
         _fact_sync(target, stage, "fact_on_change", on_change="sometimes")
+
+
+def _small(spark):
+    target = spark.createDataFrame([(1, "old", None, None, None)],
+                                   "k int, v string, RecordCreatedDateTime timestamp_ntz, "
+                                   "RecordLastModifiedDateTime timestamp_ntz, RecordRemovedDateTime timestamp_ntz")
+    stage = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, rev int")
+    return target, stage
+
+
+def test_repeated_stage_keys_never_grow_the_target(spark):
+    target, stage = _small(spark)
+    for _ in range(4):
+        target = spark.createDataFrame(
+            sync(target, stage, ["k"], ["v"], "dimension", "2025-01-01", stage_order=["rev"]).collect(),
+            target.schema)
+    assert sorted((r["k"], r["v"]) for r in target.collect()) == [(1, "b"), (2, "c")]
+
+
+@pytest.mark.parametrize("policy", ["dimension", "fact", "fact_on_change"])
+def test_repeated_or_null_keys_fail_the_job(spark, policy):
+    target, stage = _small(spark)
+    with pytest.raises(Exception, match="repeated key"):
+        sync(target, stage, ["k"], ["v"], policy, "2025-01-01").collect()
+    nulls = spark.createDataFrame([(None, "a")], "k int, v string")
+    with pytest.raises(Exception, match="NULL in key"):
+        sync(target, nulls, ["k"], ["v"], policy, "2025-01-01").collect()
+    with pytest.raises(Exception, match="repeated key"):
+        sync(target.unionByName(target), nulls.filter("k = 1"), ["k"], ["v"], policy, "2025-01-01").collect()
