@@ -8,7 +8,7 @@ the same one. Matches never cross documents; strings are judged on the input.
    ``core``-byte substring by hash (leftmost if equal). That choice depends on
    the string alone, so equal strings meet in one bucket at equal offsets, and
    one row per chosen place stands for the run of strings that chose it (about
-   one row per 25 bytes at 100 / 50). Equal runs inside a batch of documents
+   one row per 30 bytes at 100 / 40). Equal runs inside a batch of documents
    are reduced to the first before anything is shuffled.
 2. Rows sorted by (bucket, hash of the run's bytes, place) are streamed: a run
    whose bytes stood before is a repeat as a whole. Buckets with one kind of
@@ -397,7 +397,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
             zip(*rows) if rows else [[]] * len(_OUT), _OUT)], schema=_OUT)
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, core: int = 50, bucket_runs: int = 8192,
+def remove_repeats(docs: DataFrame, length: int = 100, core: int = 40, bucket_runs: int = 8192,
                    id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans,
     kept_sha256, spans (start:end of removed runs in bytes, comma-joined)."""
