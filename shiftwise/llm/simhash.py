@@ -18,8 +18,8 @@ streamed in sorted order; its members are linked to their component inside the
 bucket (at most members - 1 links, never all pairs). A bucket of more than
 ``bucket_rows`` members is not solved in one task: its members are dealt again
 by the masks of a covering of the bits the first mask left open, which is exact
-for the same reason; open bits halve with every level, so the members of a
-bucket are bounded after three levels. Components are then found by
+for the same reason; open bits halve with every level, and a bucket with at most
+``CLOSED_BITS`` open bits cannot be large. Components are then found by
 alternating large-star and small-star rounds, each written to the shared
 folder.
 
@@ -42,6 +42,7 @@ from shiftwise.llm import _text
 from shiftwise.llm._io import materialise, prepare
 
 BITS = 64
+CLOSED_BITS = 8  # a bucket with this many open bits has at most 256 members
 
 
 # --- fingerprints ---------------------------------------------------------
@@ -157,7 +158,9 @@ def _bucket_links(rows: Iterator[pa.RecordBatch], radius: int, bucket_rows: int)
                     out_mask += [None] * len(x)
                 held_key, held, spilled = this, [], False
             held.append(fp[s:e])
-            if spilled or sum(map(len, held)) > bucket_rows:
+            # With few bits left open a bucket is small whatever the data.
+            if spilled or (sum(map(len, held)) > bucket_rows
+                           and BITS - (this[0] & (2**BITS - 1)).bit_count() > CLOSED_BITS):
                 spilled = True
                 again = np.concatenate(held).tolist()
                 a += again
@@ -178,46 +181,39 @@ def covering_links(prints: DataFrame, radius: int = 3, bucket_rows: int = 1024)
     """Links (fp, other) that connect all pairs of distinct fingerprints of
     ``prints.fp`` within ``radius`` bits (transitively, inside each bucket)."""
 
-    def deal(rows: DataFrame, masks: list[tuple[int, int]]) -> DataFrame:
-        """masks: (mask a row must come from, mask that deals it out)."""
-        options = F.array(*[F.struct(F.lit(_signed(a)).alias("from"), F.lit(_signed(b)).alias("mask"))
-                            for a, b in masks])
-        return (rows.select("fp", "was", F.explode(options).alias("o"))
-                .filter(F.col("was") == F.col("o.from"))
-                .select(F.col("o.mask").alias("mask"),
-                        F.col("fp").bitwiseAND(F.col("o.mask")).alias("key"), "fp"))
-
-    def links(dealt: DataFrame, name: str) -> DataFrame:
-        return materialise(
+    options = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius)])
+    dealt = (prints.select("fp", F.explode(options).alias("mask"))
+             .select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"))
+    out = None
+    while True:
+        found = materialise(
             dealt.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
             .mapInArrow(lambda it: _bucket_links(it, radius, bucket_rows),
-                        "fp long, other long, mask long"), name)
-
-    level = [(0, m) for m in covering_masks(radius)]
-    found = links(deal(prints.select("fp", F.lit(0).cast("long").alias("was")), level), "simhash-links")
-    out = found.filter("other is not null").select("fp", "other")
-    while True:
-        again = found.filter("other is null").select("fp", F.col("mask").alias("was")).distinct()
+                        "fp long, other long, mask long"), "simhash-links")
+        links = found.filter("other is not null").select("fp", "other")
+        out = links if out is None else out.unionByName(links)
+        again = found.filter("other is null").select("fp", "mask").distinct()
         if again.isEmpty():
             return out
-        masks = sorted({m for _, m in level})
-        level = [(m, m | sub) for m in masks for sub in covering_masks(radius, ~m & (2**BITS - 1))
-                 if m | sub != m]
-        parts = []
-        # One level has up to 15 times more masks; deal them in bounded sets.
-        by_mask: dict[int, list[tuple[int, int]]] = {}
-        for a, b in level:
-            by_mask.setdefault(a, []).append((a, b))
-        hot = {r["was"] for r in again.select("was").distinct().limit(len(masks)).collect()}
-        for m, own in by_mask.items():
-            if _signed(m) in hot:
-                parts.append(deal(again.filter(F.col("was") == _signed(m)), own))
-        dealt = parts[0]
-        for p in parts[1:]:
-            dealt = dealt.unionByName(p)
-        level = [x for m, own in by_mask.items() if _signed(m) in hot for x in own]
-        found = links(dealt, "simhash-links")
-        out = out.unionByName(found.filter("other is not null").select("fp", "other"))
+        dealt = again.mapInArrow(lambda it: _deal_again(it, radius), "mask long, key long, fp long")
+
+
+def _deal_again(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """(fp, mask) rows of buckets that were too large -> one row per mask of a
+    covering of the bits ``mask`` leaves open (added to ``mask``)."""
+    finer: dict[int, np.ndarray] = {}
+    for batch in batches:
+        fp, mask = (batch.column(c).to_numpy().view(np.uint64) for c in ("fp", "mask"))
+        for m in np.unique(mask):
+            if int(m) not in finer:
+                open_bits = ~int(m) & (2**BITS - 1)
+                masks = sorted({int(m) | sub for sub in covering_masks(radius, open_bits)})
+                finer[int(m)] = np.array(masks, dtype=np.uint64)
+            own = fp[mask == m]
+            masks = np.repeat(finer[int(m)], len(own))
+            prints = np.tile(own, len(finer[int(m)]))
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (masks, prints & masks, prints)],
+                                             names=["mask", "key", "fp"])
 
 
 # --- components -----------------------------------------------------------
