@@ -51,14 +51,14 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most SLICE_BYTES of text each (one row at least)."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``size`` bytes of text each (one row at least)."""
     texts = texts.cast(pa.large_string()) if not pa.types.is_large_string(texts.type) else texts
     off = np.frombuffer(texts.buffers()[1], dtype=np.int64,
                         count=len(texts) + 1 + texts.offset)[texts.offset:] if len(texts) else np.zeros(1, np.int64)
     i = 0
     while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE_BYTES, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, side="right")) - 1)
         yield i, j
         i = j
 
@@ -102,7 +102,7 @@ _cache: dict[str, np.ndarray] = {}
 
 def _pow_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_cache.get("p", ())) < n:
-        size = max(n, SLICE_BYTES + (1 << 16))
+        size = 1 << (n - 1).bit_length()
         _cache["p"], _cache["q"] = _powers(_R, size), _powers(_RINV, size)
     return _cache["p"][:n], _cache["q"][:n]
 

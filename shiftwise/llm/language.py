@@ -95,7 +95,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     for batch in rows.toArrow().to_batches():
         texts = batch.column("text").fill_null("").cast(pa.large_string())
         which = np.array([langs.index(x) for x in batch.column("lang").to_pylist()], dtype=np.int64)
-        for i, j in _text.slices(texts):
+        for i, j in _text.slices(texts, 1 << 18):
             w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
             f, owner = _features(w), which[i + w.text_of_word()]
             for k in range(3):

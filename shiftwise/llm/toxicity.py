@@ -212,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
     if rows["y"].nunique() < 2:
         return Model(config, np.zeros((1, 1)), [], np.zeros(0), np.zeros(0), 0.0, {}, 0.5, 0.0)
     texts, parts = pa.array(rows.pop("text"), pa.large_string()).fill_null(""), []
-    for i, j in _text.slices(texts):  # slice by slice: hashing needs 30 times a slice's bytes
+    for i, j in _text.slices(texts, 1 << 18):  # on the driver: hashing needs 60 times a slice's bytes
         w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
         ids = word_ids(w, config.buckets).astype(np.int32)
         parts += [ids[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
