@@ -33,3 +33,17 @@ def test_queries_and_oracle_names_match():
     assert len(QUERIES) == 43
     for sql in E.oracle_sql().values():
         assert sql.strip()
+
+
+def test_reporting_part_works_without_the_corpus_operators(tmp_path):
+    """With shiftwise/llm and corpus_pipeline.py gone the rest still imports."""
+    import shutil
+    shutil.copytree(os.path.join(ROOT, "shiftwise"), tmp_path / "shiftwise",
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
+    code = ("import __spark_entry__ as E; from shiftwise.plans.catalogue import QUERIES; "
+            "assert set(E.queries()) == set(QUERIES) == set(E.oracle_sql()); print('fine')")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=120)
+    assert res.stdout.strip().endswith("fine"), res.stderr[-2000:]
