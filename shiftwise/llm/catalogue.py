@@ -9,6 +9,7 @@ import public_tokenizers
 from shiftwise.llm import (decontamination, fingerprints, language, licenses, mixing, secrets, simhash,
                            suffix_dedup, token_counts, toxicity)
 from shiftwise.llm._io import prepare, table
+from shiftwise.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,5 +75,3 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
-
-ORACLE: dict[str, str] = {}

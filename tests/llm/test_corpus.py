@@ -1,0 +1,175 @@
+"""Operators on the whole corpus: repeats, mixing, SimHash groups."""
+
+import random
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from awkward import messy, no_rows  # noqa: F401
+from shiftwise.llm import mixing, simhash, suffix_dedup
+from shiftwise.llm._suffixes import suffix_array
+
+KEY = lambda t: tuple((x is None, x if x is not None else 0) for x in t)
+
+
+def got(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=KEY)
+
+
+# --- suffix arrays --------------------------------------------------------------
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 4), max_size=60))
+def test_suffix_array_is_the_sorted_order(symbols):
+    s = symbols + [0]
+    assert suffix_array(np.array(s)).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+def test_suffix_array_of_periodic_and_random_text():
+    rng = random.Random(1)
+    for s in ([1] * 500, [1, 2] * 300, [2, 1, 1] * 200, [rng.randint(1, 250) for _ in range(3000)]):
+        s = s + [0]
+        assert suffix_array(np.array(s)).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+def text_order(rows, spark):
+    """Rows in the operator's order: id (null last), hash of the text."""
+    hashes = {r["text"]: r["h"] for r in spark.createDataFrame(
+        [(x or "",) for _, x in rows], "text string").selectExpr("text", "xxhash64(text) h").collect()}
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashes[r[1] or ""]))
+
+
+@pytest.mark.parametrize("bucket_runs", [8192, 2])
+def test_repeats_match_brute_force(spark, messy, bucket_runs):
+    rows = text_order([(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()], spark)
+    want = sorted(((i, *r) for (i, _), r in zip(rows, brute.repeats([x for _, x in rows], 100))), key=KEY)
+    out = suffix_dedup.remove_repeats(messy, bucket_runs=bucket_runs)
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_short_strings_over_a_small_alphabet(spark):
+    rng = random.Random(7)
+    base = ["".join(rng.choice("abé") for _ in range(60)) for _ in range(3)]
+    rows = [(i, "".join(rng.choice(base)[rng.randint(0, 30):rng.randint(30, 60)] for _ in range(rng.randint(0, 4))))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted((i, *r) for (i, _), r in zip(rows, brute.repeats([x for _, x in rows], 16)))
+    out = suffix_dedup.remove_repeats(df, length=16, core=8, bucket_runs=3)
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_no_documents_no_repeats(no_rows):
+    assert suffix_dedup.remove_repeats(no_rows).collect() == []
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(no_rows, length=100, core=100)
+
+
+# --- mixing -----------------------------------------------------------------------
+
+def naive_seats(votes, seats, most):
+    won = [0] * len(votes)
+    for _ in range(seats):
+        best = max((i for i in range(len(votes)) if won[i] < most[i] and votes[i] > 0),
+                   key=lambda i: (votes[i] / (2 * won[i] + 1), -i), default=None)
+        if best is None:
+            break
+        won[best] += 1
+    return won
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 500), st.integers(0, 40)), min_size=1, max_size=8), st.integers(0, 90))
+def test_apportionment_takes_the_highest_quotients(parties, seats):
+    votes, most = [v for v, _ in parties], [m for _, m in parties]
+    assert mixing.apportion(votes, seats, most).tolist() == naive_seats(votes, seats, most)
+    assert mixing.apportion(votes, seats).tolist() == naive_seats(votes, seats, [seats] * len(votes))
+
+
+@pytest.mark.parametrize("shard_rows", [4096, 3])
+def test_mix_meets_targets(messy, shard_rows):
+    rows = messy.select("doc_id", "text", "source").collect()
+    size = lambda x: len(brute.TOKEN.findall(x or ""))
+    sources = {}
+    for r in rows:
+        sources[r["source"]] = sources.get(r["source"], 0) + size(r["text"])
+    want = brute.targets(sources)
+    out = mixing.mix(messy, shard_rows=shard_rows, block=4).collect()
+    assert sorted(((r["doc_id"], r["source"], r["size"]) for r in out), key=KEY) == \
+        sorted(((r["doc_id"], r["source"], size(r["text"])) for r in rows), key=KEY)
+    taken = {}
+    for r in out:
+        assert r["source_size"] == sources[r["source"]] and 0 <= r["taken"] <= 2 * r["size"]
+        assert r["target"] == pytest.approx(want[r["source"]])
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    shards = 1 if shard_rows > len(rows) else len(rows) / shard_rows
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= 4 * (shards + 2)
+    again = mixing.mix(messy, shard_rows=shard_rows, block=4).collect()
+    assert sorted(map(repr, out)) == sorted(map(repr, again))
+
+
+def test_mixed_documents_keep_columns_and_drop_untaken(messy, no_rows):
+    out = mixing.mixed_documents(messy)
+    assert out.columns == [c for c in messy.columns if c not in ("size", "taken")] + \
+        ["size", "source_size", "target", "taken"]
+    rows = out.collect()
+    assert rows and all(r["taken"] > 0 for r in rows)
+    mixed = [r for r in mixing.mix(messy).collect() if r["taken"]]
+    assert sorted(((r["doc_id"], r["source"], r["taken"]) for r in rows), key=KEY) == \
+        sorted(((r["doc_id"], r["source"], r["taken"]) for r in mixed), key=KEY)
+    assert mixing.mix(no_rows).collect() == []
+
+
+# --- SimHash ------------------------------------------------------------------------
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 4), st.data())
+def test_masks_cover_every_pair_within_the_radius(radius, data):
+    open_bits = data.draw(st.integers(2**20, 2**64 - 1))
+    positions = [i for i in range(64) if open_bits >> i & 1]
+    flips = data.draw(st.lists(st.sampled_from(positions), min_size=1, max_size=radius, unique=True))
+    diff = sum(1 << i for i in flips)
+    assert any(diff & m == 0 for m in simhash.covering_masks(radius, open_bits))
+
+
+@pytest.mark.parametrize("bucket_rows", [1024, 2])
+def test_groups_match_brute_force(messy, bucket_rows):
+    rows = [(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()]
+    prints = [brute.fingerprint(x) for _, x in rows]
+    comp = brute.components([i for i, _ in rows], prints)
+    want = sorted(((i, f"{p:016x}", c) for (i, _), p, c in zip(rows, prints, comp)), key=KEY)
+    out = simhash.near_duplicates(messy, bucket_rows=bucket_rows)
+    assert got(out, "doc_id", "fingerprint", "component_id") == want
+
+
+def test_links_between_close_fingerprints_are_exact(spark):
+    rng = random.Random(2)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    prints = set(base)
+    for b in base:
+        for _ in range(10):
+            prints.add(b ^ sum({1 << rng.randrange(64) for _ in range(rng.randint(1, 6))}))
+    prints = sorted(prints)
+    df = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "fp long")
+    for rows in (1024, 2):
+        comp = {r["node"]: r["root"] for r in simhash.components(simhash.covering_links(df, 3, rows)).collect()}
+        sign = [p - 2**64 if p >= 2**63 else p for p in prints]
+        want = brute.components(list(range(len(prints))), prints)
+        groups = {}
+        for s, g in zip(sign, want):
+            groups.setdefault(g, set()).add(comp.get(s, s))
+        assert all(len(roots) == 1 for roots in groups.values())
+        assert len({next(iter(r)) for r in groups.values()}) == len(groups)
+
+
+def test_one_document_of_each_group_stays(messy, no_rows):
+    out = simhash.keep_one(messy)
+    rows = [(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()]
+    comp = brute.components([i for i, _ in rows], [brute.fingerprint(x) for _, x in rows])
+    assert out.columns == messy.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(comp))
+    assert simhash.keep_one(no_rows).collect() == []
+    assert simhash.near_duplicates(no_rows).collect() == []
