@@ -60,7 +60,7 @@ def test_evidence_is_fused(spark):
     docs = table(spark, SF, "documents")
     texts = {r["lang"]: r["t"] for r in docs.filter("length(text) > 400").groupBy("lang").agg(F.max("text").alias("t")).collect()}
     page = lambda x, lang=None: f"<html{f' lang={lang}' if lang else ''}><body>{x}</body></html>"
-    rows = [(i, "http://a.example.de/x", page(texts["de"], "de")) for i in range(30)]
+    rows = [(300 + i, "http://a.example.de/x", page(texts["de"], "de")) for i in range(30)]
     rows += [(100 + i, "http://b.example.fr/x", page(texts["fr"], "fr")) for i in range(30)]
     rows += [(1, "http://c.example.org/", page("", "fr")), (2, "http://a.example.de/y", page("12 34")),
              (3, None, None), (4, "not an address", ""), (5, "http://b.example.fr/z", page(texts["de"]))]
@@ -70,7 +70,7 @@ def test_evidence_is_fused(spark):
     assert out[2]["text_lang"] is None or out[2]["confidence"] < 1
     assert out[3]["lang"] is not None and out[3]["host"] is None and out[4]["host"] is None
     empty = language.identify(pages, docs.limit(0)).collect()
-    assert len(empty) == len(out) - 1 + 1 and {r["lang"] for r in empty} == {None}
+    assert len(empty) == len(out) == len(rows) and {r["lang"] for r in empty} == {None}
     assert language.identify(pages.limit(0), docs).collect() == []
 
 
