@@ -39,8 +39,8 @@ class Config:
     filters: int = 8
     epochs: int = 6
     rate: float = 0.15
-    max_pos: int = 1500
-    max_neg: int = 2500
+    max_pos: int = 2000
+    max_neg: int = 3000
     seed: int = 7
 
 

@@ -25,6 +25,10 @@ def test_toxicity_on_held_out_documents(spark):
     assert auc > 0.93 and accuracy > 0.93, (auc, accuracy)
 
 
+def test_the_fit_sample_is_not_cut():
+    assert (toxicity.Config().max_pos, toxicity.Config().max_neg) == (2000, 3000)
+
+
 def test_toxicity_of_messy_rows(spark, messy, no_rows):
     labels = spark.createDataFrame([(5, 1, 0), (8, 1, 1), (8, 1, 0), (12, 0, None), (None, 1, 1)] +
                                    [(20 + i, 1, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
