@@ -6,8 +6,8 @@ slide over the word vectors (zero vectors beyond a text's end), ReLU, max
 pooling over the whole text, and a logistic output. The model is fitted on the
 driver from a bounded, deterministic sample of labelled rows (``max_pos`` and
 ``max_neg`` rows), the logit is re-centred so that 0.5 is the best global cut,
-and one decision threshold per language is calibrated on rows kept out of the
-fit. Scoring is one Arrow UDF over whole texts; the only thing broadcast is the
+and one decision threshold per language is calibrated, both on all labelled rows
+outside the fit, at the prevalence of all labelled rows. Scoring is one Arrow UDF over whole texts; the only thing broadcast is the
 model, whose size is fixed by ``Config`` (about 4 MB).
 
 Edge cases: a null or empty text has no words and gets the score of all-zero
@@ -24,11 +24,14 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.llm import _text
-from shiftwise.llm._io import prepare
+from shiftwise.llm._io import materialise, prepare
+
+#: Bins of the calibration's histogram per unit of the logit, and its range.
+BINS, LOGITS = 64, 32
 
 
 @dataclass(frozen=True)
@@ -175,18 +178,43 @@ def _fit(cfg: Config, docs: list[np.ndarray], y: np.ndarray) -> Model:
     return Model(cfg, embed, kernels, bias, out, offset, {})
 
 
-def _best_cut(z: np.ndarray, y: np.ndarray) -> float | None:
-    """The cut with the best F1, in the middle of its gap (None: one class)."""
-    if y.min(initial=1) == y.max(initial=0):
-        return None
-    order = np.argsort(-z, kind="stable")
-    z, y = z[order], y[order]
-    tp = np.cumsum(y)
-    f1 = 2 * tp / (np.arange(1, len(y) + 1) + y.sum())
-    ok = np.append(z[1:] < z[:-1], True)
-    best = int(np.argmax(np.where(ok, f1, -1)))
-    below = z[best + 1] if best + 1 < len(z) else z[best] - 1
-    return float((z[best] + below) / 2)
+def _cuts(bins: DataFrame, min_rows: int, min_pos: int) -> DataFrame:
+    """(lang, cut): the logit with the best F1 of every language and of all rows
+    (lang null), from counts (lang, bin, y, fit, n) of labelled rows.
+
+    Only rows outside the fit are judged; each class weighs as much as all of its
+    rows, in the fit or not, so the prevalence is that of all labelled rows. The
+    cut lies in the middle of the empty bins below the best one."""
+    outside = F.col("n") * (1 - F.col("fit"))
+    both = bins.unionByName(bins.withColumn("lang", F.lit(None).cast("string")))
+    each = both.groupBy("lang", "bin").agg(
+        *[F.sum(F.when(F.col("y") == c, n).otherwise(0)).alias(f"{name}{c}")
+          for c in (0, 1) for name, n in (("n", outside), ("all", F.col("n")))])
+    own = Window.partitionBy("lang")
+    down = own.orderBy(F.desc("bin"))
+
+    def upto(c: int) -> Column:
+        weight = F.sum(f"all{c}").over(own) / F.sum(f"n{c}").over(own)
+        return F.sum(f"n{c}").over(down) * weight
+
+    f1 = 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("toxic"))
+    rows = (each.withColumn("rows0", F.sum("n0").over(own)).withColumn("rows1", F.sum("n1").over(own))
+            .filter("rows0 > 0 and rows1 > 0")
+            .filter(F.col("lang").isNull() | ((F.col("rows0") + F.col("rows1") >= min_rows)
+                                              & (F.col("rows1") >= min_pos)))
+            .withColumn("tp", upto(1)).withColumn("fp", upto(0)).withColumn("toxic", F.sum("all1").over(own))
+            .filter("n0 + n1 > 0")
+            .withColumn("below", F.lead("bin").over(down)))
+    cut = (F.col("bin") + F.coalesce(F.col("below") + 1, F.col("bin") - 2 * BINS)) / (2 * BINS)
+    return (rows.groupBy("lang")
+            .agg(F.max(F.struct(f1.alias("f1"), F.col("bin"), cut.alias("cut"))).alias("best"))
+            .select("lang", "best.cut"))
+
+
+def _bin(score: Column) -> Column:
+    """Bin of a score's logit: 1 / BINS wide, logits beyond LOGITS in the last."""
+    z = F.coalesce(F.log(score) - F.log1p(-score), F.lit(float(LOGITS)))  # log1p is null at a score of 1
+    return F.floor(F.greatest(F.least(z, F.lit(float(LOGITS))), F.lit(-float(LOGITS))) * BINS).cast("int")
 
 
 def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
@@ -194,45 +222,53 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
           lang: str = "lang", min_lang_rows: int = 50, min_lang_pos: int = 10) -> Model:
     """Fit a model to labelled rows, at most ``max_pos`` / ``max_neg`` of them.
 
-    One row in five (by a hash of the id) is kept out of the fit: the global cut
-    and the thresholds by language come from those. A language with fewer than
-    ``min_lang_rows`` such rows or ``min_lang_pos`` toxic ones uses the global cut.
+    One id in five (by a hash) is never fitted on. All labelled rows outside the
+    fit, those and whatever the bounds left over, are scored on Spark, and the
+    global cut and the thresholds by language come from their histogram (at most
+    2 * LOGITS * BINS + 1 bins a language and class; one row per language reaches
+    the driver). A language with fewer than ``min_lang_rows`` such rows or
+    ``min_lang_pos`` toxic ones uses the global cut. Where the rows outside the
+    fit are of one class, the rows of the fit take part too.
     """
     prepare(docs.sparkSession)
     known = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("y")))
     order = F.xxhash64(F.col("id"), F.lit(config.seed))
-    picked = [known.filter(F.col("y") == c).orderBy(order, "id").limit(n)
-              for c, n in ((1, config.max_pos), (0, config.max_neg))]
-    sample = picked[0].unionByName(picked[1])  # max_pos + max_neg rows at most
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"),
-                        F.col(lang).cast("string").alias("lang"))
-            .join(F.broadcast(sample), "id").orderBy("id", "text").toPandas())
-    rows = rows.drop_duplicates("id")
-    if rows["y"].nunique() < 2:
+    source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"),
+                         F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"))
+    # One id in five stays out of the fit, unless only one class is left to fit on.
+    for pool in (known.filter(F.pmod(F.xxhash64(F.col("id"), F.lit(config.seed + 1)), F.lit(5)) > 0), known):
+        picked = [pool.filter(F.col("y") == c).orderBy(order, "id").limit(n)
+                  for c, n in ((1, config.max_pos), (0, config.max_neg))]
+        sample = materialise(picked[0].unionByName(picked[1]), "toxic-sample")  # max_pos + max_neg rows at most
+        rows = source.drop("lang").join(F.broadcast(sample), "id").orderBy("id", "text").toPandas()
+        rows = rows.drop_duplicates("id")
+        if rows["y"].nunique() == 2:
+            break
+    else:
         return Model(config, np.zeros((1, 1)), [], np.zeros(0), np.zeros(0), 0.0, {}, 0.5, 0.0)
     texts, parts = pa.array(rows.pop("text"), pa.large_string()).fill_null(""), []
     for i, j in _text.slices(texts, 1 << 18):  # on the driver: hashing needs 60 times a slice's bytes
         w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
         ids = word_ids(w, config.buckets).astype(np.int32)
         parts += [ids[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
-    y = rows["y"].to_numpy()
-    kept_out = (_text.mix(rows["id"].to_numpy().astype(np.uint64)) % np.uint64(5) == 0)
-    if len(set(y[~kept_out])) < 2 or len(set(y[kept_out])) < 2:
-        kept_out[:] = False
-    fit_on = np.flatnonzero(~kept_out)
-    model = _fit(config, [parts[i] for i in fit_on], y[fit_on])
-    check = np.flatnonzero(kept_out) if kept_out.any() else fit_on
-    z = np.array([_logits(model, parts[i], np.array([0, len(parts[i])]))[0] for i in check], dtype=np.float64)
-    cut = _best_cut(z, y[check])
-    if cut is not None:
-        model.offset -= cut
-        z = z - cut
-    langs = rows["lang"].fillna("").to_numpy()[check]
-    for name in sorted(set(langs)):
-        mine = langs == name
-        if mine.sum() >= min_lang_rows and y[check][mine].sum() >= min_lang_pos and (c := _best_cut(z[mine], y[check][mine])) is not None:
-            model.thresholds[name] = float(1 / (1 + np.exp(-np.clip(c, -30, 30))))
+    model = _fit(config, parts, rows["y"].to_numpy())
+    del rows, texts, parts
+    fitted = F.broadcast(sample.select("id", F.lit(1).alias("fit")))
+    # Scored before the join, so that bins are shuffled and texts are not.
+    binned = (source.filter("id is not null").withColumn("s", score(source, model))
+              .select("id", "lang", _bin(F.col("s")).alias("bin")))
+    bins = materialise(
+        binned.join(known, "id").join(fitted, "id", "left").withColumn("fit", F.coalesce("fit", F.lit(0)))
+        .groupBy("lang", "bin", "y", "fit").agg(F.count("*").alias("n")), "toxic-bins")
+    cuts = {r["lang"]: r["cut"] for r in _cuts(bins, min_lang_rows, min_lang_pos).collect()}
+    if None not in cuts:
+        bins = bins.withColumn("fit", F.lit(0))
+        cuts = {r["lang"]: r["cut"] for r in _cuts(bins, min_lang_rows, min_lang_pos).collect()}
+    cut = cuts.pop(None)
+    model.offset -= cut
+    for name, c in sorted(cuts.items()):
+        model.thresholds[name] = float(1 / (1 + np.exp(-np.clip(c - cut, -30, 30))))
     return model
 
 
@@ -251,10 +287,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
 
 def threshold(model: Model, lang: str = "lang") -> Column:
     """The decision threshold of a row's language."""
-    out = F.lit(model.default_threshold)
-    for name, t in sorted(model.thresholds.items()):
-        out = F.when(F.coalesce(F.col(lang), F.lit("")) == name, F.lit(t)).otherwise(out)
-    return out
+    default = F.lit(model.default_threshold)
+    if not model.thresholds:
+        return default
+    # One map literal: nested conditions would grow with the number of languages.
+    known = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
+    return F.coalesce(F.try_element_at(known, F.coalesce(F.col(lang).cast("string"), F.lit(""))), default)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

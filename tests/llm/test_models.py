@@ -29,6 +29,29 @@ def test_the_fit_sample_is_not_cut():
     assert (toxicity.Config().max_pos, toxicity.Config().max_neg) == (2000, 3000)
 
 
+def test_cuts_see_all_labelled_rows(spark):
+    """Both bounds bind: the cuts still come from every labelled row outside the fit."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels").filter(~toxicity.held_out())
+    model = toxicity.train(docs, labels, toxicity.Config(max_pos=40, max_neg=60, epochs=2))
+    known = docs.join(labels, "doc_id").groupBy("lang").agg(F.count("*").alias("n"), F.sum("toxic").alias("pos"))
+    # At most 100 rows are in the fit, so at least n - 100 and pos - 40 are outside it.
+    sure = {r["lang"] or "" for r in known.collect() if r["n"] - 100 >= 50 and r["pos"] - 40 >= 10}
+    assert len(sure) >= 3 and sure <= set(model.thresholds)
+
+
+def test_cuts_weigh_classes_as_in_all_rows(spark):
+    """Ten of the toxic rows and all but 100 clean ones outside the fit: the class
+    weights are those of all rows, not of the rows outside."""
+    rows = [("en", 64, 1, 0, 8), ("en", 0, 1, 0, 2), ("en", 64, 1, 1, 80), ("en", 0, 1, 1, 20),
+            ("en", 64, 0, 0, 9), ("en", 0, 0, 0, 10), ("en", -64, 0, 0, 900), ("en", -64, 0, 1, 100),
+            ("fr", -64, 0, 0, 30), ("fr", 64, 1, 0, 3)]
+    bins = spark.createDataFrame(rows, "lang string, bin int, y int, fit int, n long")
+    cuts = {r["lang"]: r["cut"] for r in toxicity._cuts(bins, 50, 10).collect()}
+    # Unweighted, the cut would take bin 64 only (F1 16 / 27 against 20 / 39).
+    assert cuts["en"] == pytest.approx((0 - 63) / 128)
+    assert set(cuts) == {None, "en"}
+
+
 def test_toxicity_of_messy_rows(spark, messy, no_rows):
     labels = spark.createDataFrame([(5, 1, 0), (8, 1, 1), (8, 1, 0), (12, 0, None), (None, 1, 1)] +
                                    [(20 + i, 1, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
