@@ -11,7 +11,8 @@ The method adds spans of kind ``random``: tokens of at least ``MIN_TOKEN``
 token characters that touch no base span and whose log-likelihood ratio under
 two first-order character models, one of random strings and one of ordinary
 identifiers, passes ``min_mean`` nats per transition. The models are bigram
-counts of labelled samples, one grouped aggregation, add-half smoothing. Their
+counts of labelled samples drawn from all documents, one grouped aggregation,
+add-half smoothing. Their
 size is fixed by the alphabet (at most 95 x 95 rows and class reach the driver)
 and they go into the plan as one array of log ratios.
 
@@ -46,15 +47,17 @@ _LOW, _N = 32, 95  # printable ASCII
 # --- models ---------------------------------------------------------------
 
 def bigram_counts(samples: DataFrame, text: str = "sample", label: str = "label") -> DataFrame:
-    """(label, a, b, n): transitions between ASCII codes in labelled samples."""
+    """(label, a, b, n): transitions between ASCII codes in labelled samples (a
+    column ``n`` of ``samples`` says how often each stands for)."""
     s = F.col("s")
+    times = F.col("n") if "n" in samples.columns else F.lit(1)
     pairs = F.expr("explode(sequence(1, length(s) - 1))")
-    return (samples.select(F.col(label).cast("int").alias("label"), F.col(text).alias("s"))
-            .filter(F.length(s) > 1).select("label", "s", pairs.alias("i"))
-            .select("label", F.ascii(F.substring(s, F.col("i"), F.lit(1))).alias("a"),
+    return (samples.select(F.col(label).cast("int").alias("label"), F.col(text).alias("s"), times.alias("n"))
+            .filter(F.length(s) > 1).select("label", "s", "n", pairs.alias("i"))
+            .select("label", "n", F.ascii(F.substring(s, F.col("i"), F.lit(1))).alias("a"),
                     F.ascii(F.substring(s, F.col("i") + 1, F.lit(1))).alias("b"))
             .filter(f"a between {_LOW} and {_LOW + _N - 1} and b between {_LOW} and {_LOW + _N - 1}")
-            .groupBy("label", "a", "b").agg(F.count("*").alias("n")))
+            .groupBy("label", "a", "b").agg(F.sum("n").alias("n")))
 
 
 def train(samples: DataFrame, text: str = "sample", label: str = "label") -> list[float]:
@@ -73,32 +76,53 @@ def train(samples: DataFrame, text: str = "sample", label: str = "label") -> lis
     return out
 
 
-def sample_strings(docs: DataFrame, max_docs: int = 2000, id_col: str = "doc_id",
-                   text: str = "text") -> DataFrame:
-    """Labelled samples (sample, label) drawn from ``docs``: the words of at
-    most ``max_docs`` documents (the first by a hash of the id), alone and
-    joined in pairs as in camelCase, snake_case and UPPER_CASE, as ordinary
-    identifiers, and digests of their ids in hex, base64 and upper-case
-    letters as random strings."""
+def sample_strings(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Labelled samples (sample, label, n) drawn from all of ``docs``.
+
+    Ordinary: every word, what joins neighbours in camelCase, snake_case,
+    UPPER_CASE, kebab-case, paths and assignments, and with every eight words a
+    rule of one separator, digits as in numbers and dates. A join is sampled as
+    the characters that meet, so equal samples are many and are counted before
+    they are taken apart. Random: digests of the ids in hex, base64 (also
+    url-safe) and upper-case letters."""
     ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64(F.col("id")), "id").limit(max_docs)
     digest = F.sha2(F.col("id").cast("string"), 256)
     b64 = F.regexp_replace(F.base64(F.unhex(digest)), "=+$", "")
     random = ids.select(F.explode(F.array(
         digest, b64, F.upper(F.regexp_replace(b64, "[+/a-z]", "")),
-        F.regexp_replace(b64, "[+/]", ""))).alias("sample")).withColumn("label", F.lit(1))
-    words = F.regexp_extract_all("t", F.lit(r"[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0))
-    # Plain words, and neighbours joined the way identifiers are.
-    pairs = F.transform("w", lambda x, i: F.when(i % 3 == 0, F.concat(x, F.initcap(F.get("w", i + 1))))
-                        .when(i % 3 == 1, F.concat(x, F.lit("_"), F.get("w", i + 1)))
-                        .otherwise(F.concat(F.upper(x), F.lit("_"), F.upper(F.get("w", i + 1)))))
-    words = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
-             .join(F.broadcast(ids), "id")  # max_docs rows
-             .select(words.alias("w"))
-             .select(F.explode(F.concat("w", F.filter(pairs, lambda x: x.isNotNull()))).alias("sample"))
-             .filter(~F.col("sample").rlike("[0-9]{3}|[a-f0-9]{12}"))
-             .withColumn("label", F.lit(0)))
-    return random.unionByName(words)
+        F.regexp_replace(b64, "[+/]", ""), F.translate(b64, "+/", "-_"))).alias("sample"))
+    words = F.filter(F.regexp_extract_all(F.col("t"), F.lit(r"[A-Za-z][A-Za-z0-9_-]{3,}"), F.lit(0)),
+                     lambda x: ~x.rlike("[0-9]{3}|[a-f0-9]{12}"))
+
+    def join(x: Column, i: Column) -> Column:
+        """Samples of the i-th word and its neighbour, of one kind by turns."""
+        y = F.get("w", i + 1)
+        last, first = F.right(x, F.lit(1)), F.left(y, F.lit(1))
+        digits = F.lpad(F.pmod(F.xxhash64(x, i), F.lit(10**12)).cast("string"), 12, "0")
+        digit = [F.substring(digits, k, 1) for k in (1, 2)]
+        turn = F.pmod(i, F.lit(8))
+        kinds = [
+            F.array(F.concat(last, F.initcap(y))),
+            F.array(F.concat(last, F.lit("_"), first)),
+            F.array(F.upper(x), F.upper(F.concat(last, F.lit("_"), first))),
+            F.array(F.concat(last, F.lit("/"), first), F.concat(F.lit("/"), first)),
+            F.array(F.concat(last, F.lit("-"), first)),
+            F.array(F.concat(last, F.lit("="), first), F.concat(last, F.lit("+"), first)),
+            F.array(F.repeat(F.substring(F.lit("_-=/+"), F.pmod(F.floor(i / 8), F.lit(5)).cast("int") + 1, F.lit(1)),
+                             F.lit(20))),
+            F.array(*[F.substring(digits, k, 3) for k in (1, 4, 7, 10)], F.concat(last, digit[0]),
+                    *[F.concat(digit[0], F.lit(sep), digit[1]) for sep in "-/"], F.concat(digit[0], F.lit("_"), first)),
+        ]
+        out = kinds[-1]
+        for k, own in reversed(list(enumerate(kinds[:-1]))):
+            out = F.when(turn == k, own).otherwise(out)
+        return out
+
+    pieces = F.concat("w", F.filter(F.flatten(F.transform("w", join)), lambda x: x.isNotNull()))
+    ordinary = (docs.select(F.col(text).alias("t")).filter("t is not null").select(words.alias("w"))
+                .select(F.explode(pieces).alias("sample")).groupBy("sample").agg(F.count("*").alias("n")))
+    return (random.select("sample", F.lit(1).alias("label"), F.lit(1).cast("long").alias("n"))
+            .unionByName(ordinary.withColumn("label", F.lit(0))))
 
 
 def mean_ratio(token: Column, model: list[float]) -> Column:

@@ -98,6 +98,24 @@ def test_markov_models_tell_random_from_ordinary(spark):
     assert r["n_random"] == 1 and r["spans"].split(",")[-1].startswith("random:")
 
 
+def test_secret_samples_grow_with_the_documents(spark):
+    docs = spark.range(2500).select(F.col("id").alias("doc_id"), F.lit("zebra").alias("text"))
+    (n,) = secrets.sample_strings(docs).filter("label = 0 and sample = 'zebra'").agg(F.sum("n")).first()
+    assert n == 2500
+
+
+def test_rules_paths_and_numbers_are_no_secrets(spark):
+    model = secrets.train(secrets.sample_strings(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    clean = [c * 24 for c in "_-=/+"] + ["usr/lib/src/bin/foo/bar", "/home/user/projects/main/index",
+                                         "20240115123000451229", "31415926535897932384626433",
+                                         "2024-01-15/2024-02-20", "user_account_settings_page",
+                                         "MAX_BUFFER_SIZE_IN_BYTES", "key=value/other-setting"]
+    random = ["Zq7Xk2Vb9Lm4Tn8Rw3Ys6Pd1", "x8_Kq-2VbZ9Lm-4TnR_w3Ys6Pd", "dGhJ9+Qz/7Xk2Vb9Lm4Tn8Rw"]
+    df = spark.createDataFrame([(x,) for x in clean + random], "t string")
+    mean = {r["t"]: r["m"] for r in df.select("t", secrets.mean_ratio(F.col("t"), model).alias("m")).collect()}
+    assert all(mean[x] < 1 for x in clean) and all(mean[x] >= 1 for x in random), mean
+
+
 def test_secret_models_without_samples_are_uniform(spark, no_rows):
     assert set(secrets.train(secrets.sample_strings(no_rows))) == {0.0}
     assert secrets.secret_report(no_rows).collect() == []
