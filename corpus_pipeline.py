@@ -26,13 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group (3-word shingles, 3 bits)."""
     prepare(spark)
-    return simhash.keep_one(docs)
+    return simhash.keep_one_per_group(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no 10-word window of a benchmark item occurs."""
     prepare(spark)
-    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.drop_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

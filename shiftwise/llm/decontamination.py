@@ -224,3 +224,13 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     rows of such an id go; rows without an id are judged as one)."""
     bad = contamination(docs, items, **options).filter("contaminated").select("doc_id").distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+
+
+def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows in which a benchmark window occurs, whatever
+    their ids: the verdict depends on the text alone and is carried by its hash
+    and the id (so that copies of a text do not meet in one task)."""
+    key = F.concat_ws(":", F.sha2(F.coalesce(F.col(text), F.lit("")), 256), F.col("doc_id").cast("string"))
+    bad = (contamination(docs.select(key.alias("__key"), text), items, id_col="__key", text=text, **options)
+           .filter("contaminated").select(F.col("doc_id").alias("__bad")).distinct())
+    return docs.join(bad, key == bad["__bad"], "left_anti")

@@ -287,3 +287,16 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
              .join(unnamed, F.col("__print") == unnamed["fingerprint"])
              .groupBy("group_print").agg(first))
     return (named.select("first.*").unionByName(spare.select("first.*")))
+
+
+def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, also where groups share
+    an id: the least of the group's rows with its smallest doc_id (of all its
+    rows, if none has an id)."""
+    found = near_duplicates(docs, shingle, radius)
+    first = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__print"), "group_print").distinct())
+    printed = docs.withColumn("__own", as_hex(fingerprint("text", shingle)))
+    return (printed.join(first, (F.col("__own") == F.col("__print")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+            .groupBy("group_print").agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("first"))
+            .select("first.*"))

@@ -148,6 +148,20 @@ def test_pipeline_matches_brute_force(spark):
         assert abs(sum(f["taken"] for f in final.values() if f["source"] == s) - t) <= 24
 
 
+def test_filters_judge_rows_not_ids(spark, tmp_path):
+    """Null and repeated ids: only contaminated rows go, every group keeps a row."""
+    item = table(spark, SMALL, "benchmark").filter("size(split(text, ' ')) > 12").first()["text"]
+    other = lambda k: " ".join(f"{k}word{i}" for i in range(30))
+    rows = [(None, item), (None, other("a")), (None, None), (7, item), (7, other("b")), (7, other("b")),
+            (8, other("c")), (9, other("c")), (9, other("d"))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs, stages = spark.read.parquet(str(tmp_path / "d")), dict(corpus_pipeline.STAGES)
+    got = lambda name: sorted(map(str, map(tuple, stages[name](spark, docs, SMALL).collect())))
+    assert got("decontamination") == sorted(str(r) for r in rows if r[1] != item)
+    # The two copies of the item are one group, which keeps the row with an id.
+    assert got("simhash") == sorted(map(str, [(None, None), (7, item), (None, rows[1][1]), rows[4], rows[6], rows[8]]))
+
+
 @pytest.mark.parametrize("n", range(4))
 def test_stages_take_messy_and_empty_tables(spark, messy, no_rows, n, tmp_path):
     name, stage = corpus_pipeline.STAGES[n]
