@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from shiftwise.llm import (decontamination, fingerprints, language, licenses, mixing, secrets, simhash,
-                           suffix_dedup, token_counts, toxicity)
+from shiftwise.llm import (decontamination, fingerprints, hard_negatives, language, licenses, mixing, prefix_trie,
+                           secrets, simhash, suffix_dedup, token_counts, toxicity, warc)
 from shiftwise.llm._io import prepare, table
 from shiftwise.llm.oracle import ORACLE  # noqa: F401
 
@@ -63,6 +63,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.page_report(warc.read_archives(archives, with_payload=False))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontamination": op2_decontamination,
@@ -74,4 +90,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_warc": op11_warc,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -36,7 +36,7 @@ def messy_rows():
 
 @pytest.fixture(scope="session")
 def messy(spark):
-    return spark.createDataFrame(messy_rows(), SCHEMA).repartition(3).cache()
+    return spark.createDataFrame(messy_rows(), SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="session")
