@@ -6,20 +6,21 @@ against all rows.
 
 Codes. A vector z is rotated by random signs and Hadamard transforms (seeded,
 orthonormal, padded with zeros to a power of two of at least 64). Its code is one
-bit per coordinate, the sign; with it are stored the length of z and the
-*alignment* a, the cosine between the rotated vector and its code vector. An
-anchor q is rotated likewise, and its coordinates are held in ``QUERY_BITS`` bit
-planes, so that its product with a code vector is a few popcounts.
-
-Interval. With x the unit code vector, s its product with the unit anchor and p
-its product with the quantised anchor, |s - p| <= r, the length of what
-quantising lost. z / |z| is a x plus a part of length sqrt(1 - a^2) at right
-angles to x, the anchor s x plus one of length sqrt(1 - s^2); by Cauchy-Schwarz
-the score is within |z| |q| (a p +- (a r + sqrt((1 - a^2) (1 - s^2)))), where the
-last factor is largest for the s nearest to 0. This bound is certain, not
-likely: a pair whose interval cannot reach what its anchor already holds, or
-its band, is dropped, and every other pair gets its integer score. The result is
-the one that scoring all pairs gives.
+bit per coordinate, the sign; what the code vector leaves of z is coded again, in
+all ``STAGES`` times. With the codes are stored the length of z and each stage's
+*alignment* a, the product of what was left of z / |z| and the unit code vector.
+An anchor q is rotated likewise, and its coordinates are held in ``QUERY_BITS``
+bit planes, so that its product with a code vector is a few popcounts.
+
+Interval. z / |z| is the sum of a x over the stages, x being their unit code
+vectors, plus a rest of length e that stands at right angles to the last x. Let p
+be the product of x and the quantised anchor, and r the length of what quantising
+lost. The sum of a p is off by at most r sqrt(1 - e^2), and by Cauchy-Schwarz the
+rest adds at most e sqrt(1 - s^2), where s is the anchor's product with the last
+x, at least |p| - r. So the score lies within |z| |q| times (sum of a p, plus or
+minus both). This bound is certain, not likely: a pair whose interval cannot
+reach what its anchor already holds, or its band, is dropped, and every other
+pair gets its integer score. The result is the one that scoring all pairs gives.
 
 Plan. Coded rows are stored once and dealt by a hash into row blocks and anchor
 blocks of bounded size; a task meets one of each (cogroup), goes through its rows
@@ -50,13 +51,14 @@ from shiftwise.llm._io import materialise, prepare
 
 SEED = 7
 ROUNDS = 3
-QUERY_BITS = 4
+QUERY_BITS = 6
+STAGES = 4
 ROW_BLOCK, ANCHOR_BLOCK = 8192, 4096
 ROW_TILE, ANCHOR_TILE = 2048, 512
 #: Added to intervals, relative to the two lengths: far above rounding of doubles.
-SLACK = 1e-9
+SLACK, SLACK_SINGLE = 1e-7, 1e-5
 
-CODED_DDL = "id long, label long, z array<double>, code binary, length double, alignment double"
+CODED_DDL = "id long, label long, z array<double>, code binary, length double, alignment array<double>"
 FOUND = pa.schema([(c, pa.int64()) for c in ("anchor", "positive", "row", "score")])
 FOUND_DDL = "anchor long, positive long, row long, score long"
 
@@ -101,11 +103,16 @@ def _unit(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(z: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes as 64-bit words, lengths, alignments) of the rows of ``z``."""
+    """(codes: rows x stages x 64-bit words, lengths, alignments: rows x stages)."""
     unit, length = _unit(z)
-    turned = rotate(unit, bits)
-    code = np.packbits(turned > 0, axis=1, bitorder="little").view(np.uint64)
-    return code, length, np.abs(turned).sum(axis=1) / np.sqrt(bits)
+    left = rotate(unit, bits)
+    code = np.empty((len(z), STAGES, bits // 64), np.uint64)
+    alignment = np.empty((len(z), STAGES))
+    for k in range(STAGES):
+        code[:, k] = np.packbits(left > 0, axis=1, bitorder="little").view(np.uint64)
+        alignment[:, k] = np.abs(left).sum(axis=1) / np.sqrt(bits)
+        left -= np.where(left > 0, 1.0, -1.0) * (alignment[:, k, None] / np.sqrt(bits))
+    return code, length, alignment
 
 
 def coded(vectors: DataFrame, id: str = "vec_id", label: str = "label", vector: str = "embedding",
@@ -126,7 +133,8 @@ def coded(vectors: DataFrame, id: str = "vec_id", label: str = "label", vector:
             code, length, alignment = encode(z, width(dims))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("label"), pa.array(list(z), pa.list_(pa.float64())),
-                 pa.array([c.tobytes() for c in code], pa.binary()), pa.array(length), pa.array(alignment)],
+                 pa.array([c.tobytes() for c in code], pa.binary()), pa.array(length),
+                 pa.array(list(alignment), pa.list_(pa.float64()))],
                 names=["id", "label", "z", "code", "length", "alignment"])
 
     return materialise(stored.mapInArrow(codes, CODED_DDL), "negatives-coded")
@@ -141,9 +149,11 @@ class _Side:
         self.id = np.asarray(table.column("id").to_pylist(), np.int64)
         self.label = np.asarray(table.column("label").to_pylist(), np.int64)
         self.z = _matrix(table.column("z").to_pylist(), dims)
-        self.code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint64).reshape(len(self.id), -1)
+        self.code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint64).reshape(
+            len(self.id), STAGES, -1)
         self.length = np.asarray(table.column("length").to_pylist())
         self.alignment = np.asarray(table.column("alignment").to_pylist())
+        self.rest = np.sqrt(np.maximum(1 - (self.alignment ** 2).sum(axis=1), 0))
 
 
 class _Queries:
@@ -159,61 +169,84 @@ class _Queries:
         self.planes = [np.packbits(level >> k & 1, axis=1, bitorder="little").view(np.uint64)
                        for k in range(QUERY_BITS)]
 
-    def products(self, code: np.ndarray, of: slice) -> np.ndarray:
-        """<code vector, quantised anchor> for every row and every anchor of the slice."""
-        ones = np.zeros((len(code), of.stop - of.start))
-        weight = np.zeros_like(ones)
+    def products(self, code: np.ndarray, of: np.ndarray, kind) -> np.ndarray:
+        """<code vector, quantised anchor> for every row and every anchor of ``of``."""
+        bits = 64 * code.shape[1]
+        weight = np.zeros((len(code), len(of)), np.uint16 if bits <= 512 else np.uint32)
         for w in range(code.shape[1]):
             word = code[:, w, None]
             for k, plane in enumerate(self.planes):
-                weight += np.bitwise_count(word & plane[None, of, w]).astype(np.float64) * 2.0 ** k
-            ones += np.bitwise_count(word)
-        bits = 64 * code.shape[1]
-        return (2 * (self.step[of] * weight + self.low[of] * ones) - self.total[of]) / np.sqrt(bits)
-
-
-def _intervals(rows: _Side, at: slice, queries: _Queries, of: slice, lengths: np.ndarray):
-    """(lowest, highest) possible score of each pair."""
-    p = queries.products(rows.code[at], of)
-    a, lost = rows.alignment[at, None], queries.lost[None, of]
-    s = np.maximum(np.abs(p) - lost, 0.0)
-    slack = a * lost + np.sqrt(np.maximum(1 - a * a, 0)) * np.sqrt(np.maximum(1 - s * s, 0)) + SLACK
-    size = rows.length[at, None] * lengths[None, of]
-    return size * (a * p - slack), size * (a * p + slack)
+                weight += np.left_shift(np.bitwise_count(word & plane[None, of, w]), k, dtype=weight.dtype)
+        ones = np.bitwise_count(code).sum(axis=1, dtype=np.float64)
+        scale = 1 / np.sqrt(bits)
+        out = weight.astype(kind)
+        out *= (2 * scale * self.step[of]).astype(kind)
+        out += np.multiply.outer((2 * scale * ones).astype(kind), self.low[of].astype(kind))
+        out -= (scale * self.total[of]).astype(kind)
+        return out
+
+
+def _intervals(rows: _Side, at: np.ndarray, queries: _Queries, of: np.ndarray, lengths: np.ndarray):
+    """(lowest, highest) possible score of each pair, in single precision unless
+    lengths are very large."""
+    large = max(rows.length[at].max(initial=0), lengths[of].max(initial=0)) > 1e15
+    kind, slack = (np.float64, SLACK) if large else (np.float32, SLACK_SINGLE)
+    size = np.multiply.outer(rows.length[at], lengths[of]).astype(kind)
+    rest, lost = rows.rest[at].astype(kind)[:, None], queries.lost[of].astype(kind)[None]
+    middle = 0
+    for k in range(STAGES):
+        p = queries.products(rows.code[at, k], of, kind)
+        middle = middle + rows.alignment[at, k].astype(kind)[:, None] * p
+    half = np.maximum(np.abs(p) - lost, 0)
+    half = rest * np.sqrt(np.maximum(1 - half * half, 0))
+    half += lost * np.sqrt(np.maximum(1 - rest * rest, 0)) + kind(slack)
+    return size * (middle - half), size * (middle + half)
 
 
 def _scores(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Integer inner products of paired rows, as exact doubles or Python integers."""
-    if not len(x):
-        return np.zeros(0)
+    """Integer inner products of all rows of ``x`` with all of ``y``: exact doubles,
+    or Python integers where sums pass 2^53."""
     if x.shape[1] * np.abs(x).max(initial=0) * np.abs(y).max(initial=0) < 2 ** 53:
-        return np.einsum("ij,ij->i", x, y)
+        return x @ y.T
     whole = np.vectorize(int, otypes=[object])
-    return (whole(x) * whole(y)).sum(axis=1)
+    return whole(x) @ whole(y).T
 
 
 def _as_long(score) -> int:
     return int(max(min(int(score), 2 ** 63 - 1), -2 ** 63))
 
 
-def _best(held: pd.DataFrame, by: list[str], most: int) -> pd.DataFrame:
+def _survivors(rows: _Side, ri: np.ndarray, anchors: _Side, ai: np.ndarray, queries: _Queries, wanted):
+    """Tile by tile, the pairs of the rows ``ri`` and the anchors ``ai`` that
+    ``wanted(rows, anchors, low, high)`` keeps, as (row numbers, anchor numbers,
+    scores): what no interval rules out is scored."""
+    for r in range(0, len(ri), ROW_TILE):
+        at = ri[r:r + ROW_TILE]
+        for q in range(0, len(ai), ANCHOR_TILE):
+            of = ai[q:q + ANCHOR_TILE]
+            keep = wanted(at, of, *_intervals(rows, at, queries, of, anchors.length))
+            x, y = np.flatnonzero(keep.any(axis=1)), np.flatnonzero(keep.any(axis=0))
+            if len(x):
+                scores = _scores(rows.z[at[x]], anchors.z[of[y]])
+                i, j = np.nonzero(keep[np.ix_(x, y)])
+                yield at[x[i]], of[y[j]], scores[i, j]
+
+
+def _keep(best: pd.DataFrame | None, found: pd.DataFrame, by: list[str], most: int) -> pd.DataFrame:
+    """The best ``most`` of each group, highest score first, then smallest id."""
+    held = found if best is None else pd.concat([best, found])
     held = held.sort_values([*by, "score", "row"], ascending=[True] * len(by) + [False, True], kind="stable")
     return held[held.groupby(by).cumcount() < most]
 
 
-def _survivors(rows: _Side, anchors: _Side, queries: _Queries, wanted):
-    """For each tile: the pairs that ``wanted(rows slice, anchors slice, low, high)``
-    keeps, as (row numbers, anchor numbers, scores)."""
-    for r in range(0, len(rows.id), ROW_TILE):
-        at = slice(r, min(r + ROW_TILE, len(rows.id)))
-        for q in range(0, len(anchors.id), ANCHOR_TILE):
-            of = slice(q, min(q + ANCHOR_TILE, len(anchors.id)))
-            low, high = _intervals(rows, at, queries, of, anchors.length)
-            i, j = np.nonzero(wanted(at, of, low, high))
-            scores = [_scores(rows.z[at][i[k:k + 65536]], anchors.z[of][j[k:k + 65536]])
-                      for k in range(0, len(i), 65536)]
-            if scores:
-                yield i + r, j + q, np.concatenate(scores)
+def _raise_floor(floor: np.ndarray, best: pd.DataFrame, by: list[str], most: int) -> None:
+    """What a score must reach to matter, for groups that are full (a little less,
+    as intervals are rounded)."""
+    full = best.groupby(by).score.agg(["size", "min"])
+    full = full[full["size"] == most]
+    at = tuple(full.index.get_level_values(c).to_numpy(int) for c in by)
+    least = full["min"].to_numpy(float)
+    floor[at] = np.maximum(floor[at], least - 1e-6 * np.abs(least) - 1e-6)
 
 
 def _positives(rows: pa.Table, anchors: pa.Table, dims: int, most: int) -> pa.Table:
@@ -221,22 +254,19 @@ def _positives(rows: pa.Table, anchors: pa.Table, dims: int, most: int) -> pa.Ta
     r, a = _Side(rows, dims), _Side(anchors, dims)
     queries = _Queries(a.z, width(dims))
     floor = np.full(len(a.id), -np.inf)
-    best = pd.DataFrame({"a": [], "row": [], "score": []})
+    best = None
 
     def wanted(at, of, low, high):
-        same = (r.label[at, None] == a.label[None, of]) & (r.id[at, None] != a.id[None, of])
-        certain = np.where(same, low, -np.inf)
-        if len(certain) >= most:  # so many rows score at least this
-            floor[of] = np.maximum(floor[of], np.partition(certain, -most, axis=0)[-most])
-        return same & (high >= floor[None, of])
-
-    for i, j, score in _survivors(r, a, queries, wanted):
-        found = pd.DataFrame({"a": j, "row": r.id[i], "score": score})
-        best = _best(pd.concat([best, found]) if len(best) else found, ["a"], most)
-        full = best.groupby("a").score.agg(["size", "min"])
-        full = full[full["size"] == most]
-        floor[full.index.to_numpy(int)] = np.maximum(floor[full.index.to_numpy(int)],
-                                                     full["min"].to_numpy(float) * (1 - 1e-12) - 1e-6)
+        return (high >= floor[of]) & (r.id[at, None] != a.id[None, of])
+
+    for label in np.unique(a.label):
+        same = np.flatnonzero(r.label == label), np.flatnonzero(a.label == label)
+        for i, j, score in _survivors(r, same[0], a, same[1], queries, wanted):
+            found = pd.DataFrame({"a": j, "row": r.id[i], "score": score})
+            best = _keep(best, found[found.score >= floor[j]], ["a"], most)
+            _raise_floor(floor, best, ["a"], most)
+    if best is None:
+        return FOUND.empty_table()
     at = best.a.to_numpy(int)
     return pa.table({"anchor": pa.array(a.id[at], pa.int64()), "positive": pa.nulls(len(at), pa.int64()),
                      "row": pa.array(best.row.to_numpy(np.int64)),
@@ -248,40 +278,30 @@ def _negatives(rows: pa.Table, anchors: pa.Table, dims: int, most: int, low_pc:
     r, a = _Side(rows, dims), _Side(anchors, dims)
     queries = _Queries(a.z, width(dims))
     positives = [[(p["positive"], p["score"]) for p in ps] for ps in anchors.column("positives").to_pylist()]
-    n = max((len(ps) for ps in positives), default=0)
-    score_of = np.array([[ps[k][1] if k < len(ps) else -1 for k in range(n)] for ps in positives],
-                        object).reshape(len(a.id), n)
-    # A band is empty below 0 (and for a missing positive).
-    least = np.where(score_of >= 0, score_of * low_pc, 1).astype(float) / 100
-    top = np.where(score_of >= 0, score_of * high_pc, 0).astype(float) / 100
-    edge = 1e-12 * np.abs(top) + 1e-6
-    floor, bands = least - edge, top + edge
-    best = pd.DataFrame({"a": [], "k": [], "row": [], "score": []})
+    n = max(map(len, positives))
+    # A band is empty below 0, and for a missing positive.
+    p = np.array([[ps[k][1] if k < len(ps) else -1 for k in range(n)] for ps in positives], object)
+    edge = np.where(p >= 0, p, 0).astype(float) / 100
+    floor = np.where(p >= 0, edge * low_pc * (1 - 1e-6) - 1e-6, np.inf)
+    top = np.where(p >= 0, edge * high_pc * (1 + 1e-6) + 1e-6, -np.inf)
+    best = None
 
     def wanted(at, of, low, high):
-        other = r.label[at, None] != a.label[None, of]
-        keep = np.zeros_like(other)
-        for k in range(n):
-            keep |= (high >= floor[None, of, k]) & (low <= bands[None, of, k])
-        return keep & other
+        least, most_ = floor[of].min(axis=1).astype(low.dtype), top[of].max(axis=1).astype(low.dtype)
+        return (high >= least) & (low <= most_) & (r.label[at, None] != a.label[None, of])
 
-    for i, j, score in _survivors(r, a, queries, wanted):
+    for i, j, score in _survivors(r, np.arange(len(r.id)), a, np.arange(len(a.id)), queries, wanted):
         for k in range(n):
-            p = score_of[j, k]
-            hit = (p >= 0) & (score >= floor[j, k]) & (score <= bands[j, k])
-            hit = np.flatnonzero(hit.astype(bool))
-            s, q = score[hit].astype(object), p[hit]
-            hit = hit[np.array([low_pc * y <= 100 * int(x) <= high_pc * y for x, y in zip(s, q)], bool)]
-            if not len(hit):
-                continue
-            found = pd.DataFrame({"a": j[hit], "k": k, "row": r.id[i[hit]], "score": score[hit]})
-            best = pd.concat([best, found]) if len(best) else found
-        if len(best):
-            best = _best(best, ["a", "k"], most)
-            full = best.groupby(["a", "k"]).score.agg(["size", "min"])
-            full = full[full["size"] == most]
-            x, y = (full.index.get_level_values(c).to_numpy(int) for c in (0, 1))
-            floor[x, y] = np.maximum(floor[x, y], full["min"].to_numpy(float) * (1 - 1e-12) - 1e-6)
+            hit = np.flatnonzero(((score >= floor[j, k]) & (score <= top[j, k])).astype(bool))
+            s, q = score[hit].astype(object), p[j[hit], k]
+            inside = [low_pc * y <= 100 * int(x) <= high_pc * y for x, y in zip(s, q)]
+            hit = hit[np.array(inside, bool)]
+            if len(hit):
+                found = pd.DataFrame({"a": j[hit], "k": k, "row": r.id[i[hit]], "score": score[hit]})
+                best = _keep(best, found, ["a", "k"], most)
+                _raise_floor(floor, best, ["a", "k"], most)
+    if best is None:
+        return FOUND.empty_table()
     at, k = best.a.to_numpy(int), best.k.to_numpy(int)
     return pa.table({"anchor": pa.array(a.id[at], pa.int64()),
                      "positive": pa.array([positives[x][y][0] for x, y in zip(at, k)], pa.int64()),
