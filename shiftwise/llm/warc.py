@@ -26,7 +26,7 @@ archives of attempts that Spark committed are in the returned table: a lost
 executor or a repeated task leaves a file nobody reads.
 
 The dictionary is trained on at most ``DICTIONARY_ROWS`` payloads of 200 to 32,768
-bytes (those with the smallest hash); with fewer than 16 of them there is none.
+bytes (those with the smallest hash of key and URL); with fewer than 16 of them there is none.
 
 Edge cases. A null payload is empty; a null key has record id ``<urn:x-page:>``
 and never is the one others refer to; rows that repeat the smallest key are all
@@ -320,13 +320,18 @@ def read_archives(archives: DataFrame, on_error: str = "raise", with_payload: bo
 
 # --- writing ------------------------------------------------------------------------------
 
-def train_dictionary(payloads: DataFrame, rows: int = DICTIONARY_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from at most ``rows`` payloads; empty with too few of them."""
+def train_dictionary(pages: DataFrame, rows: int = DICTIONARY_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
+    """A dictionary from the payloads of about ``rows`` pages; empty with too few of
+    them. The smallest hashes are found first, so that tasks send hashes, not
+    payloads, to be ordered."""
     import zstandard
 
-    fit = payloads.filter(F.octet_length("payload").between(200, 32_768))
-    sample = [bytes(r["payload"]) for r in fit.select("payload", F.xxhash64("payload").alias("h"))
-              .orderBy("h").limit(rows).select("payload").collect()]
+    fit = pages.filter(F.octet_length("payload").between(200, 32_768)).withColumn("h", F.xxhash64("key", "url"))
+    lowest = [r["h"] for r in fit.select("h").distinct().orderBy("h").limit(rows).collect()]
+    if not lowest:
+        return b""
+    sample = [bytes(r["payload"]) for r in fit.filter(F.col("h") <= lowest[-1]).select("h", "payload")
+              .dropDuplicates(["h"]).orderBy("h").select("payload").collect()]
     if len(sample) < 16:
         return b""
     try:
