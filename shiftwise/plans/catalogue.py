@@ -8,6 +8,7 @@ so sums taken in a different order compare equal.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ from shiftwise.plans import analogs as A
 from shiftwise.plans import domain_counts as DC
 from shiftwise.plans import staffing as S
 from shiftwise.plans import utilisation as U
-from shiftwise.plans.payloads import unpack_log_table, write_by_schema
+from shiftwise.plans.payloads import read_schema_table, route_log_table
 from shiftwise.plans.presets import OUTLOOK_CLUSTER_BY, OUTLOOK_OUTPUT
 from shiftwise.plans.slots import slot_report, slot_rows
 from shiftwise.plans.synchronise import sync_table
@@ -391,21 +392,17 @@ def q_payload_by_schema(spark, d):
 
 
 def q_payload_tables(spark, d):
-    # A stored log table, unpacked, one table written per schema found, all read back.
+    # A stored log table, unpacked once, one table per schema found, all read back.
     logs, out = scratch_path(spark, "logs"), scratch_path(spark, "by_schema")
     write_table(A.log_payloads(spark, d).withColumnRenamed("user_id", "owner"), logs)
-    long = unpack_log_table(spark, logs, keep=["owner", "block"])
     ints = {"event_id": "bigint"}
-    paths = write_by_schema(long, out, {s: ints for s in ("event_id,event_type", "event_id,user_id")},
-                            keep=["owner", "block"])
+    tables = route_log_table(spark, logs, out, keep=["owner", "block"],
+                             types={s: ints for s in ("event_id, event_type", "event_id, user_id")})
     frames = []
-    for schema, path in sorted(paths.items()):
-        part = spark.read.parquet(path).toDF("user_id", "block", "event_id", "field_2")
+    for schema in sorted(tables):
+        part = read_schema_table(spark, out, schema).toDF("user_id", "block", "event_id", "field_2")
         frames.append(part.select("user_id", "block", F.lit(schema).alias("schema"), "event_id", "field_2"))
-    out_df = frames[0]
-    for f in frames[1:]:
-        out_df = out_df.unionByName(f)
-    return out_df
+    return reduce(DataFrame.unionByName, frames)
 
 
 # --- catalog tables and the whole outlook job -------------------------------------------

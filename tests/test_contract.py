@@ -7,6 +7,7 @@ import subprocess
 import sys
 
 import __spark_entry__ as E
+import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -47,3 +48,14 @@ def test_reporting_part_works_without_the_corpus_operators(tmp_path):
     res = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=120)
     assert res.stdout.strip().endswith("fine"), res.stderr[-2000:]
+
+
+@pytest.mark.parametrize("missing", ["public_tokenizers", "xxhash", "shiftwise.llm", "corpus_pipeline"])
+def test_entry_imports_without_optional_modules(missing):
+    code = (f"import sys, warnings; warnings.simplefilter('ignore'); sys.modules[{missing!r}] = None\n"
+            f"sys.path.insert(0, {ROOT!r})\n"
+            "import __spark_entry__ as E\n"
+            "from shiftwise.plans.catalogue import QUERIES\n"
+            "assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())\n")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr

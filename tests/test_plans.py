@@ -154,13 +154,14 @@ def test_payload_job_roundtrip(spark):
 def test_run_staffing_outlook_writes_clustered(spark):
     inputs = _outlook_inputs(spark)
     path = scratch_path(spark, "outlook")
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
     S.run_staffing_outlook(path, *inputs, "2025-07-13", "2025-08-31", ["Staffing Outlook"],
                            now="2025-09-01 00:00:00")
     back = spark.read.parquet(path)
     expected = S.staffing_outlook(*inputs, "2025-07-13", "2025-08-31", ["Staffing Outlook"],
                                   now="2025-09-01 00:00:00")
     assert rows(back) == rows(expected)
-    assert not spark.sparkContext._jsc.getPersistentRDDs().values()   # map released
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) == before   # map released
 
 
 def test_outlook_keys_unique_when_contract_unique(spark):
