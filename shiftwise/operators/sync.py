@@ -61,6 +61,25 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
     ``stage_order`` names stage columns, newest first when descending, that
     pick one row of a repeated key.
     """
+    changes = sync_changes(target, stage, keys, values, policy, now, stage_names, created, modified,
+                           removed, revive_only, keep_target_if_stage_empty, on_change, stage_order,
+                           change="__change")
+    if policy != "dimension":
+        changes = changes.filter(F.col("__change") != "delete")
+    return changes.drop("__change")
+
+
+def sync_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Sequence[str],
+                 policy: str, now, stage_names: Mapping[str, str] | None = None,
+                 created: str = "RecordCreatedDateTime",
+                 modified: str = "RecordLastModifiedDateTime",
+                 removed: str | None = "RecordRemovedDateTime",
+                 revive_only: bool = False, keep_target_if_stage_empty: bool = False,
+                 on_change: str = "nullness", stage_order: Sequence[str] = (),
+                 change: str = "change") -> DataFrame:
+    """The rows of ``sync``, and those it deletes, each with what happens to it in
+    column ``change``: ``keep`` (the target row as it is), ``update``, ``insert``,
+    ``remove`` (the dimension policy's stamp) or ``delete``."""
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
     keys, values = require_keys(keys), list(values)
@@ -121,13 +140,15 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
             expr = F.when(s_only, F.lit(None).cast(dict(target.dtypes)[c])).otherwise(tc)
         out.append(expr.alias(c))
 
-    result = j.select(*out, t_only.alias("__t_only"))
-    if policy != "dimension":
-        keep = ~F.col("__t_only")
-        if keep_target_if_stage_empty:
-            keep = keep | ~stage.exists()
-        result = result.filter(keep)
-    return result.drop("__t_only")
+    if policy == "dimension":
+        gone = F.lit("remove")
+    elif keep_target_if_stage_empty:
+        gone = F.when(stage.exists(), F.lit("delete")).otherwise(F.lit("keep"))
+    else:
+        gone = F.lit("delete")
+    kind = (F.when(t_only, gone).when(s_only, F.lit("insert")).when(update, F.lit("update"))
+            .otherwise(F.lit("keep")))
+    return j.select(*out, kind.alias(change))
 
 
 def new_rows(stage: DataFrame, target: DataFrame, keys: Sequence[str],

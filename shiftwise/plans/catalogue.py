@@ -40,7 +40,7 @@ from shiftwise.plans import utilisation as U
 from shiftwise.plans.payloads import read_schema_table, route_log_table
 from shiftwise.plans.presets import OUTLOOK_CLUSTER_BY, OUTLOOK_OUTPUT
 from shiftwise.plans.slots import slot_report, slot_rows
-from shiftwise.plans.synchronise import sync_table
+from shiftwise.plans.synchronise import read_partitioned, sync_partitions, sync_table, write_partitioned
 from shiftwise.session import scratch_path
 from shiftwise.sources.readers import read_source
 from shiftwise.sources.sinks import write_clustered, write_table
@@ -357,6 +357,24 @@ def q_sync_write_back(spark, d):
     return rounded(back)
 
 
+def _sync_by_day(spark, d, policy, scope):
+    # Target stored by day; only the days that change are rewritten, all are read back.
+    path, by_day = scratch_path(spark, "fact_days"), {"day": "to_date(DateTime)"}
+    target = A.fact_target(spark, d)
+    write_partitioned(target, path, by_day)
+    sync_partitions(spark, path, A.fact_stage(spark, d), FACT_KEYS, FACT_VALUES, policy, A.NOW,
+                    target.schema, by_day, scope=scope, stage_names=FACT_STAGE_NAMES, removed=None)
+    return rounded(read_partitioned(spark, path, target.schema, by_day).drop("day"))
+
+
+def q_sync_partitions(spark, d):
+    return _sync_by_day(spark, d, "fact_on_change", "all")
+
+
+def q_sync_partitions_of_stage(spark, d):
+    return _sync_by_day(spark, d, "fact", "stage")
+
+
 def q_sync_dimension_repeats(spark, d):
     # The stage also holds an older state of every third campaign: the newest counts.
     new = A.dim_stage(spark, d).withColumn("Revision", F.lit(2))
@@ -481,6 +499,8 @@ QUERIES: dict[str, Query] = {
     "sync_fact_always": q_sync_fact_always,
     "sync_fact_on_change": q_sync_fact_on_change,
     "sync_write_back": q_sync_write_back,
+    "sync_partitions": q_sync_partitions,
+    "sync_partitions_of_stage": q_sync_partitions_of_stage,
     "except_distinct": q_except_distinct,
     "payload_unpack": q_payload_unpack,
     "payload_by_schema": q_payload_by_schema,

@@ -509,6 +509,15 @@ FROM (SELECT * FROM untouched UNION ALL SELECT * FROM updated UNION ALL SELECT *
 SYNC_FACT_ALWAYS = _fact_sync(False)
 SYNC_FACT_ON_CHANGE = _fact_sync(True)
 
+# Days the stage has are synchronised, all other target rows stay as they are.
+SYNC_STAGE_DAYS = f"""
+SELECT * FROM ({SYNC_FACT_ALWAYS}) s
+UNION ALL
+SELECT DateTime, CampaignID, QueueID, {r6('AHT')}, {r6('CALLVOLUME')}, RecordCreatedDateTime,
+       RecordLastModifiedDateTime
+FROM ({CTE['ftgt'].replace('FROM fact15', f"FROM ({CTE['fact15']}) f")}) t
+WHERE CAST(DateTime AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE ts >= TIMESTAMP '2024-01-08')"""
+
 EXCEPT_DISTINCT = """
 SELECT o_custkey AS custkey FROM orders
 EXCEPT
@@ -593,6 +602,8 @@ ORACLE: dict[str, str] = {
     "sync_fact_always": SYNC_FACT_ALWAYS,
     "sync_fact_on_change": SYNC_FACT_ON_CHANGE,
     "sync_write_back": SYNC_FACT_ON_CHANGE,
+    "sync_partitions": SYNC_FACT_ON_CHANGE,
+    "sync_partitions_of_stage": SYNC_STAGE_DAYS,
     "except_distinct": EXCEPT_DISTINCT,
     "payload_unpack": PAYLOAD_UNPACK,
     "payload_by_schema": PAYLOAD_BY_SCHEMA,

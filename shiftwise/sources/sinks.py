@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,9 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     keys read it without shuffling it (e.g. every sync run against it).
     ``dynamic_partitions=True`` with ``partition_by`` makes an overwrite
     replace only the partitions present in ``df`` (an incremental load of a
-    few days rewrites those days, not the whole table).
+    few days rewrites those days, not the whole table). With ``staged=True`` (a
+    path) those partitions are written beside the target and then swapped in one
+    by one (``swap_partitions``); no other file is touched.
     """
     mode = (mode or "overwrite").lower()
     if mode not in LOAD_MODES:
@@ -44,15 +47,16 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
         df = df.withColumn("source_system", F.lit(source_system))
     if staged and mode != "overwrite":
         raise ValueError("staged writes replace the target: use load type overwrite")
-    if staged and dynamic_partitions:
-        raise ValueError("a staged write replaces the whole target")
+    if staged and dynamic_partitions and not _is_path(target):
+        raise ValueError("staged partitions need a path: a catalog keeps its own list of partitions")
+    swap_parts = staged and dynamic_partitions
     spark, final = df.sparkSession, target
     if staged:
         target = _beside(target, "stage")
     w = df.write.format(fmt).mode("error" if staged else mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
-        if dynamic_partitions:
+        if dynamic_partitions and not staged:
             w = w.option("partitionOverwriteMode", "dynamic")
     elif dynamic_partitions:
         raise ValueError("dynamic_partitions needs partition_by")
@@ -70,7 +74,9 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
         if staged:
             _drop(spark, target)
         raise
-    if staged:
+    if swap_parts:
+        swap_partitions(spark, target, final, len(list(partition_by)))
+    elif staged:
         _swap(spark, target, final)
 
 
@@ -129,6 +135,112 @@ def _swap(spark: SparkSession, stage: str, target: str) -> None:
         spark.catalog.refreshTable(target)
 
 
+# --- partitions ------------------------------------------------------------------------------
+
+_DROP = "_drop"  # in a staging folder: partitions that the swap removes
+
+
+def _folders(fs, cls, path: str) -> list[str]:
+    return sorted(f.getPath().getName() for f in fs.listStatus(cls(path))
+                  if f.isDirectory() and not f.getPath().getName().startswith(("_", "."))) \
+        if fs.exists(cls(path)) else []
+
+
+def list_partitions(spark: SparkSession, target: str, depth: int = 1) -> list[str]:
+    """The partition folders below a path, ``depth`` levels deep
+    (``["day=2024-01-01", ...]``)."""
+    fs, cls = file_system(spark, target)
+    found = [""]
+    for _ in range(depth):
+        found = [f"{p}/{name}".lstrip("/") for p in found for name in _folders(fs, cls, f"{target}/{p}".rstrip("/"))
+                 if "=" in name]
+    return found
+
+
+def partition_values(folder: str) -> tuple[str | None, ...]:
+    """Values of a partition folder as text (NULL for the default partition)."""
+    out = []
+    for part in folder.split("/"):
+        value = part.partition("=")[2]
+        out.append(None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value))
+    return tuple(out)
+
+
+def swap_partitions(spark: SparkSession, stage: str, target: str, depth: int = 1,
+                    drop: Sequence[str] = ()) -> list[str]:
+    """Put the partitions of the finished ``stage`` in the place of the target's
+    partitions of the same name, and remove the ``drop`` ones; returns all of
+    them. Other partitions are not touched.
+
+    Each partition is two renames: its old files move to a folder beside the
+    target, the new ones move in. If a rename fails, what was swapped is swapped
+    back. If the program ends half-way, ``resume_swaps`` finishes: the list of
+    dropped partitions is stored in the stage before the first rename, and a
+    partition still in the stage is one not yet swapped."""
+    stage, target = stage.rstrip("/"), target.rstrip("/")
+    fs, cls = file_system(spark, target)
+    if drop:
+        stream = fs.create(cls(f"{stage}/{_DROP}"), True)
+        stream.write(bytearray("\n".join(drop).encode()))
+        stream.close()
+    return _finish_swap(spark, stage, target, depth, list(drop), f"{stage}_old")
+
+
+def _finish_swap(spark, stage, target, depth, drop, old) -> list[str]:
+    fs, cls = file_system(spark, target)
+    new = list_partitions(spark, stage, depth)
+    done: list[tuple[str, str]] = []
+
+    def move(source: str, to: str) -> None:
+        fs.mkdirs(cls(to).getParent())
+        if not fs.rename(cls(source), cls(to)):
+            raise OSError(f"cannot rename {source} to {to}")
+        done.append((source, to))
+
+    try:
+        for part in [*drop, *new]:
+            if fs.exists(cls(f"{target}/{part}")):
+                move(f"{target}/{part}", f"{old}/{part}")
+            if part in new:
+                move(f"{stage}/{part}", f"{target}/{part}")
+    except BaseException:
+        for source, to in reversed(done):
+            fs.rename(cls(to), cls(source))
+        fs.delete(cls(old), True)
+        raise
+    fs.delete(cls(old), True)
+    fs.delete(cls(stage), True)
+    spark.catalog.refreshByPath(target)
+    return [*drop, *new]
+
+
+def resume_swaps(spark: SparkSession, target: str, depth: int = 1) -> int:
+    """Finish the partition swaps of ``target`` that a stopped program left:
+    complete stages (with a success marker) are swapped in, others removed.
+    Returns how many were finished. Not to be called while a job writes the target."""
+    target = target.rstrip("/")
+    parent, _, name = target.rpartition("/")
+    fs, cls = file_system(spark, target)
+    finished = 0
+    for status in fs.listStatus(cls(parent)):
+        folder = status.getPath().getName()
+        if not folder.startswith(f"_{name}_stage_") or folder.endswith("_old"):
+            continue
+        stage = f"{parent}/{folder}"
+        if fs.exists(cls(f"{stage}/_SUCCESS")):
+            drop = []
+            if fs.exists(cls(f"{stage}/{_DROP}")):
+                stream = fs.open(cls(f"{stage}/{_DROP}"))
+                text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                stream.close()
+                drop = text.split("\n")
+            _finish_swap(spark, stage, target, depth, drop, f"{stage}_old")
+            finished += 1
+        else:
+            fs.delete(cls(stage), True)
+    return finished
+
+
 def write_clustered(df: DataFrame, target: str, cols: Sequence[str], mode: str = "overwrite",
                     fmt: str = "parquet", num_partitions: int | None = None) -> None:
     """Write with rows clustered by ``cols``: range-partition on them and sort
