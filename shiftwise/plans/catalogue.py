@@ -75,10 +75,10 @@ def _all_facts(spark, d):
 
 # --- staffing outlook family ---------------------------------------------------
 
-def q_validity_join(spark, d, strategy="auto"):
+def q_validity_join(spark, d, strategy="auto", **options):
     facts = _all_facts(spark, d)
     out = S.fact_stage(facts, _fmap(spark, d), A.REPORT_START, A.REPORT_END, "FTE",
-                       [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strategy)
+                       [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strategy, **options)
     return rounded(out)
 
 
@@ -86,6 +86,14 @@ def q_validity_join_binned(spark, d):
     return q_validity_join(spark, d, strategy="binned")
 
 
+def q_validity_join_adaptive(spark, d):
+    return q_validity_join(spark, d, strategy="adaptive", hot_rows=50)
+
+
+def q_validity_join_merge(spark, d):
+    return q_validity_join(spark, d, strategy="merge", hot_rows=50)
+
+
 def q_half_hour_floor(spark, d):
     f = A.fact15(spark, d)
     return f.select("event_id", "ts", half_hour_floor("ts").alias("half_hour_raw"),
@@ -467,6 +475,8 @@ def q_sink_clustered(spark, d):
 QUERIES: dict[str, Query] = {
     "validity_join": q_validity_join,
     "validity_join_binned": q_validity_join_binned,
+    "validity_join_adaptive": q_validity_join_adaptive,
+    "validity_join_merge": q_validity_join_merge,
     "half_hour_floor": q_half_hour_floor,
     "range_filter_inclusive": q_range_filter_inclusive,
     "weighted_average": q_weighted_average,

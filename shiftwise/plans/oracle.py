@@ -570,6 +570,8 @@ FROM events"""
 ORACLE: dict[str, str] = {
     "validity_join": VALIDITY_JOIN,
     "validity_join_binned": VALIDITY_JOIN,
+    "validity_join_adaptive": VALIDITY_JOIN,
+    "validity_join_merge": VALIDITY_JOIN,
     "half_hour_floor": HALF_HOUR_FLOOR,
     "range_filter_inclusive": RANGE_FILTER_INCLUSIVE,
     "weighted_average": WEIGHTED_AVERAGE,

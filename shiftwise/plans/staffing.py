@@ -62,19 +62,20 @@ def _choose_strategy(history: DataFrame, view_map: DataFrame, strategy: str,
 
 
 def fact_stage(facts: DataFrame, fmap: DataFrame, start, end, guard: str | None,
-               aggs: list, half_hour: bool = True, strategy: str = "broadcast") -> DataFrame:
+               aggs: list, half_hour: bool = True, strategy: str = "broadcast", **options) -> DataFrame:
     """Validity-join one quarter-hour fact source to the queue map and roll it up.
 
     Rows outside ``[start, end]`` (end inclusive, midnight) and - when
     ``guard`` is set - rows whose guard value is NULL or not positive are
     dropped before the join. Grouped by the half-hour key (or the raw stamp
-    when ``half_hour`` is False) and the view attributes.
+    when ``half_hour`` is False) and the view attributes. ``options`` go to
+    ``validity_join``.
     """
     cond = in_range("DateTime", start, end)
     if guard:
         cond = cond & positive(guard)
     joined = validity_join(facts.filter(cond), fmap, ["QueueID"], "DateTime",
-                           START_COL, END_COL, strategy=strategy, clip=(start, end))
+                           START_COL, END_COL, strategy=strategy, clip=(start, end), **options)
     ts = half_hour_floor(F.col("DateTime")) if half_hour else F.col("DateTime")
     return joined.groupBy(ts.alias("DateTime"), "ViewName", *MAP_ATTRS).agg(*aggs)
 

@@ -55,7 +55,7 @@ def _validity_frames(spark):
     return f, v
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "binned", "auto"])
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "binned", "adaptive", "merge", "auto"])
 def test_validity_join_edges(spark, strategy):
     f, v = _validity_frames(spark)
     out = validity_join(f, v, ["QueueID"], "DateTime", "Start", "End", strategy=strategy)
@@ -284,7 +284,7 @@ def test_operators_refuse_empty_keys(spark):
             call()
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "binned", "auto_small", "auto_large"])
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "binned", "adaptive", "merge", "auto_small", "auto_large"])
 def test_validity_join_clips_in_every_strategy(spark, strategy):
     facts = spark.createDataFrame([(1, ts("2024-01-05")), (1, ts("2024-03-05"))],
                                   "k int, at timestamp_ntz")

@@ -77,7 +77,7 @@ def test_staffing_outlook_strategies_and_zero_fill(spark):
     args = (hist, vmap, fte, queue, volume, req, model, "2025-07-13", "2025-08-31",
             ["Staffing Outlook"])
     base = rows(S.staffing_outlook(*args, now="2025-09-01"))
-    for strategy in ("broadcast", "binned", "shuffle"):
+    for strategy in ("broadcast", "binned", "shuffle", "adaptive", "merge"):
         assert rows(S.staffing_outlook(*args, now="2025-09-01", strategy=strategy)) == base
     filled = S.staffing_outlook(*args, now="2025-09-01", zero_fill=True)
     assert all(r[m] is not None for r in filled.collect() for m in S.METRICS)

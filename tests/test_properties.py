@@ -44,6 +44,26 @@ def test_validity_strategies_agree(spark, versions, facts):
         assert rows(out, "fid", "vid") == expected, strategy
 
 
+spans_st = st.lists(st.tuples(st.sampled_from([0, 0, 1, None]), st.integers(0, 30),
+                              st.sampled_from([1, 2, 5, 40, None, 10 ** 6])), max_size=10)
+times_st = st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, None]), st.sampled_from([None, *range(0, 40, 2)])), max_size=30)
+
+
+@settings(SETTINGS, max_examples=8)
+@given(spans=spans_st, times=times_st)
+def test_ordered_pass_with_overlapping_and_open_ended_versions(spark, spans, times):
+    minute = dt.timedelta(minutes=1)
+    v = spark.createDataFrame([(k, i, BASE + s * minute, None if n is None else BASE + (s + n) * minute)
+                               for i, (k, s, n) in enumerate(spans)], "k int, vid int, s timestamp_ntz, e timestamp_ntz")
+    f = spark.createDataFrame([(k, None if t is None else BASE + t * minute, i) for i, (k, t) in enumerate(times)],
+                              "k int, at timestamp_ntz, fid int")
+    expected = sorted((i, j) for i, (k, t) in enumerate(times) for j, (q, s, n) in enumerate(spans)
+                      if k is not None and k == q and t is not None and n is not None and s <= t < s + n)
+    for strategy, hot_rows in (("merge", 10 ** 6), ("merge", 2), ("adaptive", 2)):
+        out = validity_join(f, v, ["k"], "at", "s", "e", strategy=strategy, hot_rows=hot_rows)
+        assert rows(out, "fid", "vid") == expected, (strategy, hot_rows)
+
+
 keyed_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 9)),
                     max_size=6)
 

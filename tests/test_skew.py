@@ -97,3 +97,56 @@ def test_clustered_write_spreads_copies_of_one_row(spark):
     files_with_hot = back.filter("k = 7").select(F.input_file_name()).distinct().count()
     assert files_with_hot > 1
     assert rows(back.groupBy("k").count().filter("k = 7")) == [(7, 3012)]
+
+
+def _group_sizes(facts, hot_rows):
+    from shiftwise.operators import validity as V
+    split, full = V.hot_bins(facts, ["QueueID"], "DateTime", hot_rows)
+    placed = V._placed(facts, split, ["QueueID"]).withColumn(
+        V._BIN, V._bin_at(V._seconds(F.col("DateTime")), F.lit(0)))
+    dealt = V._salted(placed, full, ["QueueID"], ["fid"])
+    return dealt.groupBy("QueueID", V._BIN, "__salt").count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("within", [86_400, 60, 1])  # a key hot within a day, a minute, one second
+def test_queue_hot_within_one_day_is_split(spark, skew_conf, within):
+    n, hot_rows = 6000, 200
+    second = F.when(F.col("id") % 3 == 0, F.col("id") % within).otherwise(F.col("id") % 200 * 3600)
+    facts = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).cast("int").alias("QueueID"),
+        F.timestamp_seconds(second + 1704067200).cast("timestamp_ntz").alias("DateTime"), F.col("id").alias("fid"))
+    versions = spark.range(98).select(
+        F.col("id").cast("int").alias("QueueID"), F.lit(BASE).cast("timestamp_ntz").alias("Start"),
+        F.lit(dt.datetime(9999, 1, 1)).cast("timestamp_ntz").alias("End"))
+    versions = versions.unionByName(versions.filter("QueueID = 0").withColumn(  # and an overlapping one
+        "End", F.lit(BASE + dt.timedelta(hours=5)).cast("timestamp_ntz")))
+    assert _group_sizes(facts, 10 ** 6) == n // 3
+    assert _group_sizes(facts, hot_rows) <= 2 * hot_rows
+    expected = rows(validity_join(facts, versions, ["QueueID"], "DateTime", "Start", "End", strategy="shuffle"),
+                    "fid", "End")
+    for strategy in ("adaptive", "merge"):
+        got = validity_join(facts, versions, ["QueueID"], "DateTime", "Start", "End", strategy=strategy,
+                            hot_rows=hot_rows)
+        assert rows(got, "fid", "End") == expected
+
+
+def test_number_of_bins_is_bounded(spark):
+    from shiftwise.operators import validity as V
+    facts = spark.range(4000).select(F.lit(1).alias("QueueID"), F.timestamp_seconds(
+        F.when(F.col("id") < 3000, 0).otherwise(F.col("id") * 100_000)).alias("DateTime"))
+    split, full = V.hot_bins(facts, ["QueueID"], "DateTime", 100)
+    row = split.first()  # most facts in one second, the others over twelve years
+    assert row["bins"] <= 8 * 4000 / 100 and full.count() <= 4000 / 100
+    assert V.hot_bins(facts, ["QueueID"], "DateTime", 4000)[0].count() == 0
+
+
+def test_open_ended_versions_are_not_repeated_by_day(spark):
+    """The ordered pass lists a version once for each point it spans: no days."""
+    facts = spark.createDataFrame([(1, BASE + dt.timedelta(days=d)) for d in range(0, 3650, 50)],
+                                  "k int, at timestamp_ntz")
+    versions = spark.createDataFrame([(1, BASE, dt.datetime(9999, 1, 1), "a")],
+                                     "k int, s timestamp_ntz, e timestamp_ntz, v string")
+    out = validity_join(facts, versions, ["k"], "at", "s", "e", strategy="merge")
+    assert out.count() == 73
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__vbin" in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
