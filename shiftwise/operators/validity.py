@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.operators._checks import BROADCAST_MAX_BYTES, input_bytes, require_keys
+from shiftwise.session import scratch_path
 
 _BIN = "__vbin"
 DAY = 86_400  # seconds
@@ -56,7 +57,8 @@ def validity_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts
                   broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                   bin_days: int = 1,
                   clip: tuple | None = None,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int = HOT_ROWS,
+                  hot: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Inner join ``facts`` to ``versions`` on ``keys`` and ``start <= ts < end``.
 
     Output: every fact column, then every version column except the keys.
@@ -66,7 +68,9 @@ def validity_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts
     fact are left out early, and the binned strategy emits bins inside the
     range only. Without ``clip`` the binned strategy scans the facts once more
     for their span, so give a range where there is one. ``hot_rows`` is the number
-    of facts of one key beyond which ``adaptive`` and ``merge`` split it.
+    of facts of one key beyond which ``adaptive`` and ``merge`` split it. They count
+    them inside the plan, in which the small result is used several times;
+    ``hot=stored_hot_bins(...)`` counts them once, in a job of its own.
     """
     keys = require_keys(keys)
     fact_cols = facts.columns
@@ -85,9 +89,11 @@ def validity_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], ts
         strategy = "broadcast" if input_bytes(versions) <= broadcast_max_bytes else "binned"
 
     if strategy == "adaptive":
-        return _adaptive(facts, versions, keys, ts, start, end, version_extra, hot_rows)
+        return _adaptive(facts, versions, keys, ts, start, end, version_extra,
+                         hot or hot_bins(facts, keys, ts, hot_rows))
     if strategy == "merge":
-        return _merge(facts, versions, keys, ts, start, end, version_extra, hot_rows)
+        return _merge(facts, versions, keys, ts, start, end, version_extra,
+                      hot or hot_bins(facts, keys, ts, hot_rows))
     if strategy == "binned":
         return _binned(facts, versions, keys, ts, start, end, bin_days, clip, version_extra)
 
@@ -192,6 +198,17 @@ def hot_bins(facts: DataFrame, keys: Sequence[str], ts: str,
     return split, chosen.select(*keys, F.inline("__c.__full"))
 
 
+def stored_hot_bins(facts: DataFrame, keys: Sequence[str], ts: str,
+                    hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``hot_bins``, counted now and stored in the shared scratch folder."""
+    out = []
+    for name, frame in zip(("hot-keys", "hot-bins"), hot_bins(facts, keys, ts, hot_rows)):
+        path = scratch_path(facts.sparkSession, name)
+        frame.write.parquet(path)
+        out.append(facts.sparkSession.read.schema(frame.schema).parquet(path))
+    return out[0], out[1]
+
+
 def _placed(df: DataFrame, split: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with ``__lo``, ``__w``, ``__bins`` of its key (NULL: not hot)."""
     side = split.withColumnsRenamed({"lo": "__lo", "width": "__w", "bins": "__bins"})
@@ -222,8 +239,8 @@ def _hashable(df: DataFrame) -> list[str]:
     return [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
-def _adaptive(facts, versions, keys, ts, start, end, version_extra, hot_rows):
-    split, full = hot_bins(facts, keys, ts, hot_rows)
+def _adaptive(facts, versions, keys, ts, start, end, version_extra, hot):
+    split, full = hot
     day = lambda s: F.floor(s / F.lit(DAY)).cast("long")
     fb = _placed(facts, split, keys).withColumn(_BIN, _bin_at(_seconds(F.col(ts)), day(_seconds(F.col(ts)))))
     fb = _salted(fb, full, keys, _hashable(facts))
@@ -245,14 +262,14 @@ def _adaptive(facts, versions, keys, ts, start, end, version_extra, hot_rows):
 
 # --- ordered pass ---------------------------------------------------------------------------
 
-def _merge(facts, versions, keys, ts, start, end, version_extra, hot_rows):
+def _merge(facts, versions, keys, ts, start, end, version_extra, hot):
     kinds = dict(facts.dtypes)[ts], dict(versions.dtypes)[start], dict(versions.dtypes)[end]
     kind = "timestamp" if "timestamp" in kinds or "string" in kinds else "timestamp_ntz"
     t = lambda c: F.col(c).cast(kind)
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    split, full = hot_bins(facts, keys, ts, hot_rows)
+    split, full = hot
     vs = versions.filter(known & (F.col(start) < F.col(end))).select(
         *keys, t(start).alias("__s"), t(end).alias("__e"), F.struct(*version_extra).alias("__v"))
 

@@ -33,6 +33,7 @@ from shiftwise.operators import (
     unpack_payload,
     validity_join,
 )
+from shiftwise.operators.validity import stored_hot_bins
 from shiftwise.plans import analogs as A
 from shiftwise.plans import domain_counts as DC
 from shiftwise.plans import staffing as S
@@ -86,12 +87,19 @@ def q_validity_join_binned(spark, d):
     return q_validity_join(spark, d, strategy="binned")
 
 
+def _split_join(spark, d, strategy):
+    # Queues with more than 500 facts in the report range are split.
+    facts = _all_facts(spark, d).filter(in_range("DateTime", A.REPORT_START, A.REPORT_END) & positive("FTE"))
+    hot = stored_hot_bins(facts, ["QueueID"], "DateTime", hot_rows=500)
+    return q_validity_join(spark, d, strategy=strategy, hot=hot)
+
+
 def q_validity_join_adaptive(spark, d):
-    return q_validity_join(spark, d, strategy="adaptive", hot_rows=50)
+    return _split_join(spark, d, "adaptive")
 
 
 def q_validity_join_merge(spark, d):
-    return q_validity_join(spark, d, strategy="merge", hot_rows=50)
+    return _split_join(spark, d, "merge")
 
 
 def q_half_hour_floor(spark, d):

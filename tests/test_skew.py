@@ -110,6 +110,7 @@ def _group_sizes(facts, hot_rows):
 
 @pytest.mark.parametrize("within", [86_400, 60, 1])  # a key hot within a day, a minute, one second
 def test_queue_hot_within_one_day_is_split(spark, skew_conf, within):
+    from shiftwise.operators import validity as V
     n, hot_rows = 6000, 200
     second = F.when(F.col("id") % 3 == 0, F.col("id") % within).otherwise(F.col("id") % 200 * 3600)
     facts = spark.range(n).select(
@@ -126,7 +127,7 @@ def test_queue_hot_within_one_day_is_split(spark, skew_conf, within):
                     "fid", "End")
     for strategy in ("adaptive", "merge"):
         got = validity_join(facts, versions, ["QueueID"], "DateTime", "Start", "End", strategy=strategy,
-                            hot_rows=hot_rows)
+                            hot=V.stored_hot_bins(facts, ["QueueID"], "DateTime", hot_rows))
         assert rows(got, "fid", "End") == expected
 
 
