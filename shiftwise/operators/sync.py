@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from shiftwise.functions.predicates import changed, nullness_changed
 from shiftwise.operators._checks import any_null, one_row_per_key, require_keys
+from shiftwise.operators.membership import can_filter, filter_bits, key_filter, may_match, only_possible
 from shiftwise.operators.ranking import latest_per_key
 
 POLICIES = ("dimension", "fact", "fact_on_change")
@@ -48,7 +49,8 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
          modified: str = "RecordLastModifiedDateTime",
          removed: str | None = "RecordRemovedDateTime",
          revive_only: bool = False, keep_target_if_stage_empty: bool = False,
-         on_change: str = "nullness", stage_order: Sequence[str] = ()) -> DataFrame:
+         on_change: str = "nullness", stage_order: Sequence[str] = (),
+         prefilter: bool = False) -> DataFrame:
     """Return the new state of ``target`` (same columns, one row per key).
 
     ``stage_names`` maps a target column to its stage column name when they
@@ -59,8 +61,18 @@ def sync(target: DataFrame, stage: DataFrame, keys: Sequence[str], values: Seque
     ``fact_on_change`` test: ``"nullness"`` (as written: a value is NULL on
     exactly one side) or ``"value"`` (any value differs, NULL-safe).
     ``stage_order`` names stage columns, newest first when descending, that
-    pick one row of a repeated key.
+    pick one row of a repeated key. ``prefilter=True`` lets a filter of the stage's
+    keys (``membership``) decide in the target's scan which rows can have a
+    partner: the others are deleted (fact policies) or stamped (dimension) where
+    they are, without a shuffle; a key that repeats among those alone is then not
+    noticed. It reads the stage once more, and under the dimension policy the
+    target too.
     """
+    if prefilter:
+        return _prefiltered(target, stage, keys, values, policy, now, stage_names=stage_names, created=created,
+                            modified=modified, removed=removed, revive_only=revive_only,
+                            keep_target_if_stage_empty=keep_target_if_stage_empty, on_change=on_change,
+                            stage_order=stage_order)
     changes = sync_changes(target, stage, keys, values, policy, now, stage_names, created, modified,
                            removed, revive_only, keep_target_if_stage_empty, on_change, stage_order,
                            change="__change")
@@ -151,12 +163,36 @@ def sync_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], value
     return j.select(*out, kind.alias(change))
 
 
+def _prefiltered(target, stage, keys, values, policy, now, **options) -> DataFrame:
+    keys, names = require_keys(keys), dict(options["stage_names"] or {})
+    if options["keep_target_if_stage_empty"] or not can_filter(target, stage, keys, names):
+        return sync(target, stage, keys, values, policy, now, **options)
+    bits = filter_bits(stage)
+    possible = may_match(key_filter(stage, keys, names, bits).scalar(), keys, bits)
+    met = sync(target.filter(possible), stage, keys, values, policy, now, **options)
+    if policy != "dimension":
+        return met
+    removed = options["removed"]
+    if removed is None:
+        raise ValueError("the dimension policy needs a removed-stamp column")
+    now_c = (now if isinstance(now, F.Column) else F.lit(now)).cast(dict(target.dtypes).get(options["created"], "timestamp"))
+    return met.unionByName(target.filter(~possible).withColumn(removed, now_c))
+
+
 def new_rows(stage: DataFrame, target: DataFrame, keys: Sequence[str],
-             stage_names: Mapping[str, str] | None = None) -> DataFrame:
-    """Stage rows whose key is absent from the target (LEFT ANTI join)."""
+             stage_names: Mapping[str, str] | None = None, prefilter: bool = False,
+             bits: int | None = None) -> DataFrame:
+    """Stage rows whose key is absent from the target (LEFT ANTI join).
+
+    ``prefilter=True`` is for a target much larger than the stage: a filter of the
+    stage's keys (``membership``) drops most target rows without a partner in the
+    scan, so only few are shuffled to the join. It reads the stage once more."""
     names = dict(stage_names or {})
+    keys = require_keys(keys)
+    if prefilter:
+        target = only_possible(target, stage, keys, names, bits)
     cond = None
-    for k in require_keys(keys):
+    for k in keys:
         c = stage[names.get(k, k)] == target[k]
         cond = c if cond is None else cond & c
     return stage.join(target, cond, "left_anti")

@@ -345,7 +345,7 @@ def q_stage_bounds(spark, d):
 
 def q_sync_inserts(spark, d):
     return rounded(new_rows(A.fact_stage(spark, d), A.fact_target(spark, d), FACT_KEYS,
-                            FACT_STAGE_NAMES))
+                            FACT_STAGE_NAMES, prefilter=True))
 
 
 def q_sync_dimension(spark, d):
@@ -363,6 +363,11 @@ def q_sync_fact_on_change(spark, d):
                         "fact_on_change", A.NOW, stage_names=FACT_STAGE_NAMES, removed=None))
 
 
+def q_sync_dimension_prefiltered(spark, d):
+    return sync(A.dim_target(spark, d), A.dim_stage(spark, d), ["CampaignID"], DIM_VALUES,
+                "dimension", A.NOW, prefilter=True)
+
+
 def q_sync_write_back(spark, d):
     # Target written to a path, synchronised in place (staged overwrite), read back.
     path = scratch_path(spark, "fact_target")
@@ -516,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "sync_dimension": q_sync_dimension,
     "sync_fact_always": q_sync_fact_always,
     "sync_fact_on_change": q_sync_fact_on_change,
+    "sync_dimension_prefiltered": q_sync_dimension_prefiltered,
     "sync_write_back": q_sync_write_back,
     "sync_partitions": q_sync_partitions,
     "sync_partitions_of_stage": q_sync_partitions_of_stage,

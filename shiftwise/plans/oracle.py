@@ -603,6 +603,7 @@ ORACLE: dict[str, str] = {
     "sync_dimension": SYNC_DIMENSION,
     "sync_fact_always": SYNC_FACT_ALWAYS,
     "sync_fact_on_change": SYNC_FACT_ON_CHANGE,
+    "sync_dimension_prefiltered": SYNC_DIMENSION,
     "sync_write_back": SYNC_FACT_ON_CHANGE,
     "sync_partitions": SYNC_FACT_ON_CHANGE,
     "sync_partitions_of_stage": SYNC_STAGE_DAYS,
