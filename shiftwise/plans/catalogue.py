@@ -8,6 +8,8 @@ so sums taken in a different order compare equal.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from functools import reduce
 from typing import Callable
 
@@ -212,6 +214,36 @@ def q_reporting_week(spark, d):
     return o.select("run_date", start.alias("start_date"), end.alias("end_date"))
 
 
+def q_run_week(spark, d):
+    # One generated row holds the run's date (here the day behind the last order) and
+    # its week; orders of that week are counted.
+    o = A.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"))
+    last = o.agg(F.max("day").alias("d")).select("d").scalar()
+    start, end = reporting_week(F.col("run_date"))
+    week = spark.range(1).select(F.date_add(last, 1).alias("run_date")).select(
+        F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), start.alias("start_date"), end.alias("end_date"))
+    inside = F.col("day").between(week.select("start_date").scalar(), week.select("end_date").scalar())
+    n = o.filter(inside).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return week.select("run_date", "start_date", "end_date", n.alias("orders"))
+
+
+def q_load_stamp(spark, d):
+    # The syncs' wall-clock stamp: one value for the whole run, taken while it ran.
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    out = scratch_path(spark, "stamped")
+    write_table(sync(A.dim_target(spark, d), A.dim_stage(spark, d), ["CampaignID"], DIM_VALUES, "dimension",
+                     F.current_timestamp()), out)
+    after = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    stamp = F.col("RecordLastModifiedDateTime")
+    target = A.dim_target(spark, d).select("CampaignID", stamp.alias("was"))
+    rows = spark.read.parquet(out).join(target, "CampaignID", "left")
+    fresh = F.col("was").isNull() | (stamp != F.col("was"))
+    return rows.groupBy(fresh.alias("stamped")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(~fresh | stamp.between(F.lit(before), F.lit(after))).alias("while_it_ran"),
+        F.countDistinct(F.when(fresh, stamp)).alias("stamps"))
+
+
 def q_valid_domain_filter(spark, d):
     p = A.table(spark, d, "part")
     cond = (valid_label("p_type", A.BANNED_DOMAIN, ",") & F.col("p_brand").isin(A.GOVERNANCE)
@@ -446,13 +478,43 @@ def q_payload_tables(spark, d):
 
 # --- catalog tables and the whole outlook job -------------------------------------------
 
+def _drop_tables(spark, names):
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def q_catalog_tables(spark, d):
-    # Saved as catalog tables, read by name, one of them by its two-level name.
-    write_table(A.table(spark, d, "nation"), "shiftwise_nation")
-    write_table(A.table(spark, d, "region"), "default.shiftwise_region")
-    n = read_source(spark, "table", "shiftwise_nation", columns=["n_nationkey", "n_name", "n_regionkey"])
-    r = read_source(spark, "table", "default.shiftwise_region", columns=["r_regionkey", "r_name"])
-    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
+    # Saved as catalog tables, read by name, one of them by its two-level name; the
+    # result is stored, and the tables are dropped again.
+    tag = uuid.uuid4().hex[:12]
+    orders, customers, out = f"shiftwise_orders_{tag}", f"default.shiftwise_customers_{tag}", scratch_path(spark, "joined")
+    try:
+        write_table(A.table(spark, d, "orders"), orders)
+        write_table(A.table(spark, d, "customer"), customers, source_system="crm")
+        o = read_source(spark, "table", orders, columns=["o_orderkey", "o_custkey", "o_totalprice"])
+        c = read_source(spark, "table", customers, columns=["c_custkey", "c_mktsegment", "source_system"])
+        joined = o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", "c_mktsegment", "o_totalprice",
+                                                                    "source_system")
+        write_table(joined, out)
+    finally:
+        _drop_tables(spark, [orders, customers])
+    return rounded(spark.read.parquet(out))
+
+
+def q_catalog_self_replace(spark, d):
+    # A catalog table that is read and replaced by its own job, then appended to.
+    name, out = f"shiftwise_orders_{uuid.uuid4().hex[:12]}", scratch_path(spark, "replaced")
+    try:
+        write_table(A.table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), name, source_system="first")
+        current = read_source(spark, "table", name)
+        write_table(current.filter("o_orderstatus <> 'P'").drop("source_system"), name, source_system="second",
+                    staged=True)
+        more = A.table(spark, d, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", "o_orderstatus")
+        write_table(more, name, mode="append", source_system="third")
+        write_table(read_source(spark, "table", name), out)
+    finally:
+        _drop_tables(spark, [name])
+    return spark.read.parquet(out)
 
 
 def q_outlook_job(spark, d):
@@ -469,10 +531,11 @@ def q_outlook_job(spark, d):
 # --- sinks ------------------------------------------------------------------------------
 
 def q_sink_overwrite(spark, d):
-    path = scratch_path(spark, "nation")
-    write_table(A.table(spark, d, "nation"), path, mode="overwrite", source_system="initial")
+    path = scratch_path(spark, "orders")
+    orders = A.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    write_table(orders, path, mode="overwrite", source_system="initial")
     current = spark.read.parquet(path)
-    refreshed = current.select("n_nationkey", F.lower("n_name").alias("n_name"), "n_regionkey")
+    refreshed = current.select("o_orderkey", F.lower("o_orderpriority").alias("o_orderpriority"), "o_custkey")
     # Reads and rewrites the same path: written beside it, then swapped in.
     write_table(refreshed, path, mode="overwrite", source_system="refresh", staged=True)
     return spark.read.parquet(path)
@@ -500,6 +563,8 @@ QUERIES: dict[str, Query] = {
     "staffing_outlook": q_staffing_outlook,
     "staffing_outlook_zero_fill": q_staffing_outlook_zero_fill,
     "reporting_week": q_reporting_week,
+    "run_week": q_run_week,
+    "load_stamp": q_load_stamp,
     "valid_domain_filter": q_valid_domain_filter,
     "code_label_map": q_code_label_map,
     "utilisation_base": q_utilisation_base,
@@ -531,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "payload_tables": q_payload_tables,
     "sync_dimension_repeats": q_sync_dimension_repeats,
     "catalog_tables": q_catalog_tables,
+    "catalog_self_replace": q_catalog_self_replace,
     "outlook_job": q_outlook_job,
     "sink_overwrite": q_sink_overwrite,
     "sink_clustered": q_sink_clustered,

@@ -279,6 +279,27 @@ SELECT run_date,
        CAST(run_date - CAST((dayofweek(run_date) + 1) % 7 AS INTEGER) AS DATE) AS end_date
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS run_date FROM orders) d"""
 
+RUN_WEEK = """
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS day FROM orders),
+r AS (SELECT CAST(max(day) + 1 AS DATE) AS run_date FROM o),
+w AS (SELECT run_date, CAST(run_date - CAST(dayofweek(run_date) AS INTEGER) - 7 AS DATE) AS start_date,
+             CAST(run_date - CAST((dayofweek(run_date) + 1) % 7 AS INTEGER) AS DATE) AS end_date FROM r)
+SELECT strftime(run_date, '%Y-%m-%d') AS run_date, start_date, end_date,
+       (SELECT count(*) FROM o WHERE day BETWEEN start_date AND end_date) AS orders
+FROM w"""
+
+# Rows a run stamps: inserted ones, and matched ones that changed or were not stamped as removed.
+LOAD_STAMP = with_("dtgt", "dstg", body="""
+, j AS (SELECT coalesce(t.CampaignID, s.CampaignID) AS CampaignID,
+    (t.CampaignID IS NULL AND s.CampaignID IS NOT NULL)
+    OR (t.CampaignID IS NOT NULL AND s.CampaignID IS NOT NULL AND coalesce(
+        t.ParentCampaignID <> s.ParentCampaignID OR t.CampaignName <> s.CampaignName
+        OR t.CampaignDescription <> s.CampaignDescription OR t.IsDistributed <> s.IsDistributed
+        OR t.RecordRemovedDateTime IS NULL, false)) AS stamped
+    FROM dtgt t FULL JOIN dstg s ON t.CampaignID = s.CampaignID)
+SELECT stamped, count(*) AS n, true AS while_it_ran, CAST(CASE WHEN stamped THEN 1 ELSE 0 END AS BIGINT) AS stamps
+FROM j GROUP BY stamped""")
+
 VALID_DOMAIN_FILTER = f"""
 SELECT p_partkey, p_type, p_brand FROM part
 WHERE {valid('p_type')} AND p_brand IN {GOV} AND p_size <> 50"""
@@ -551,8 +572,13 @@ FROM events"""
 
 # --- catalog tables and the whole outlook job -------------------------------------------
 
-CATALOG_TABLES = """
-SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey"""
+CATALOG_TABLES = f"""
+SELECT o_orderkey, c_mktsegment, {r6('o_totalprice')} AS o_totalprice, 'crm' AS source_system
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+CATALOG_SELF_REPLACE = """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 'third' ELSE 'second' END AS source_system
+FROM orders"""
 
 OUTLOOK_JOB = f"""
 SELECT * EXCLUDE (ViewName), ViewName AS VerintWfmStaffingMapViewName FROM ({STAFFING_OUTLOOK}) o"""
@@ -560,7 +586,7 @@ SELECT * EXCLUDE (ViewName), ViewName AS VerintWfmStaffingMapViewName FROM ({STA
 # --- sinks ------------------------------------------------------------------------------
 
 SINK_OVERWRITE = """
-SELECT n_nationkey, lower(n_name) AS n_name, n_regionkey, 'refresh' AS source_system FROM nation"""
+SELECT o_orderkey, lower(o_orderpriority) AS o_orderpriority, o_custkey, 'refresh' AS source_system FROM orders"""
 
 SINK_CLUSTERED = f"""
 SELECT user_id AS QueueID, time_bucket(INTERVAL 15 MINUTE, ts) AS DateTime, event_id,
@@ -582,6 +608,8 @@ ORACLE: dict[str, str] = {
     "staffing_outlook": STAFFING_OUTLOOK,
     "staffing_outlook_zero_fill": STAFFING_OUTLOOK_ZERO_FILL,
     "reporting_week": REPORTING_WEEK,
+    "run_week": RUN_WEEK,
+    "load_stamp": LOAD_STAMP,
     "valid_domain_filter": VALID_DOMAIN_FILTER,
     "code_label_map": CODE_LABEL_MAP,
     "utilisation_base": UTILISATION_BASE,
@@ -613,6 +641,7 @@ ORACLE: dict[str, str] = {
     "payload_tables": PAYLOAD_TABLES,
     "sync_dimension_repeats": SYNC_DIMENSION,
     "catalog_tables": CATALOG_TABLES,
+    "catalog_self_replace": CATALOG_SELF_REPLACE,
     "outlook_job": OUTLOOK_JOB,
     "sink_overwrite": SINK_OVERWRITE,
     "sink_clustered": SINK_CLUSTERED,

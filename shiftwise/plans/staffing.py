@@ -28,6 +28,7 @@ from shiftwise.functions.temporal import half_hour_floor
 from shiftwise.operators._checks import BROADCAST_MAX_BYTES, broadcast_if_small, input_bytes
 from shiftwise.operators.combine import full_outer_chain
 from shiftwise.operators.validity import validity_join
+from shiftwise.session import scratch_path
 from shiftwise.sources.sinks import write_clustered
 
 # Fixed values of the report contract.
@@ -43,14 +44,20 @@ START_COL = "RecordStartDateInclusive"
 END_COL = "RecordEndDateNonInclusive"
 
 
+def queue_versions(history: DataFrame, filter_names: Sequence[str]) -> DataFrame:
+    """Queue versions of the wanted filters."""
+    return history.filter(F.col("FilterName").isin(list(filter_names))).select(
+        "QueueID", "ViewName", START_COL, END_COL)
+
+
 def queue_filter_map(history: DataFrame, view_map: DataFrame,
                      filter_names: Sequence[str]) -> DataFrame:
     """Queue versions of the wanted filters, with the view's attributes.
 
     Inner join on ViewName: a view with several map rows yields several rows
     (the lookup replaces a table-valued split function)."""
-    h = history.filter(F.col("FilterName").isin(list(filter_names)))
-    return (h.join(view_map.select("ViewName", *MAP_ATTRS), "ViewName", "inner")
+    return (queue_versions(history, filter_names)
+            .join(view_map.select("ViewName", *MAP_ATTRS), "ViewName", "inner")
             .select("QueueID", "ViewName", *MAP_ATTRS, START_COL, END_COL))
 
 
@@ -62,20 +69,24 @@ def _choose_strategy(history: DataFrame, view_map: DataFrame, strategy: str,
 
 
 def fact_stage(facts: DataFrame, fmap: DataFrame, start, end, guard: str | None,
-               aggs: list, half_hour: bool = True, strategy: str = "broadcast", **options) -> DataFrame:
+               aggs: list, half_hour: bool = True, strategy: str = "broadcast",
+               lookup: DataFrame | None = None, **options) -> DataFrame:
     """Validity-join one quarter-hour fact source to the queue map and roll it up.
 
     Rows outside ``[start, end]`` (end inclusive, midnight) and - when
     ``guard`` is set - rows whose guard value is NULL or not positive are
     dropped before the join. Grouped by the half-hour key (or the raw stamp
-    when ``half_hour`` is False) and the view attributes. ``options`` go to
-    ``validity_join``.
+    when ``half_hour`` is False) and the view attributes. With
+    ``lookup`` (the view map) ``fmap`` holds the queue versions alone, and facts meet
+    the view's attributes in a second join. ``options`` go to ``validity_join``.
     """
     cond = in_range("DateTime", start, end)
     if guard:
         cond = cond & positive(guard)
     joined = validity_join(facts.filter(cond), fmap, ["QueueID"], "DateTime",
                            START_COL, END_COL, strategy=strategy, clip=(start, end), **options)
+    if lookup is not None:
+        joined = joined.join(lookup, "ViewName", "inner")
     ts = half_hour_floor(F.col("DateTime")) if half_hour else F.col("DateTime")
     return joined.groupBy(ts.alias("DateTime"), "ViewName", *MAP_ATTRS).agg(*aggs)
 
@@ -106,21 +117,29 @@ def staffing_outlook(history: DataFrame, view_map: DataFrame, fte: DataFrame, qu
     # Sizes come from the planner: building the report starts no job.
     strat = _choose_strategy(history, view_map, strategy, broadcast_max_bytes)
     view_map = broadcast_if_small(view_map.select("ViewName", *MAP_ATTRS), broadcast_max_bytes)
-    fmap = queue_map if queue_map is not None else \
-        queue_filter_map(history, view_map, filter_names)
+    lookup = None
+    if queue_map is not None:
+        fmap = queue_map
+    elif strat == "broadcast":
+        # What is shipped are the two tables whose bytes are known, not their join,
+        # which has a row for every map row of every version of a view.
+        fmap = queue_versions(history, filter_names)
+        lookup = F.broadcast(view_map)
+    else:
+        fmap = queue_filter_map(history, view_map, filter_names)
 
     fr = fact_stage(fte, fmap, start, end, "FTE",
-                    [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strat)
+                    [half_hour_mean_sum("FTE").alias("ForecastRequired")], strategy=strat, lookup=lookup)
     fq = fact_stage(queue, fmap, start, end, "AFTE",
-                    [half_hour_mean_sum("AFTE").alias("ForecastFTE")], strategy=strat)
+                    [half_hour_mean_sum("AFTE").alias("ForecastFTE")], strategy=strat, lookup=lookup)
     fv = fact_stage(volume, fmap, start, end, "CALLVOLUME",
                     [F.sum("CALLVOLUME").alias("ForecastVolume"),
                      weighted_average("AHT", "CALLVOLUME").alias("ForecastAHT")],
-                    strategy=strat)
+                    strategy=strat, lookup=lookup)
     cr = contract_stage(requirement, view_map, start, end, cutoff)
     er = fact_stage(model, fmap, start, end, None,
                     [F.sum("Required").alias("ErlangRequired")], half_hour=False,
-                    strategy=strat)
+                    strategy=strat, lookup=lookup)
 
     # fr, fq, fv, er are grouped by exactly the report keys (one row per key);
     # the contract stage is not, so it is joined, not merged.
@@ -145,15 +164,24 @@ def run_staffing_outlook(target: str, history: DataFrame, view_map: DataFrame, f
     ``cluster_by`` (truncate-and-insert plus the layout the unique index gave).
     ``names`` renames result columns (then ``cluster_by`` uses the new names).
 
-    The queue map feeds four stages; it is persisted (memory, spilling to
-    disk; lost blocks are recomputed from lineage) for the one write action
-    and released afterwards.
+    The queue map feeds four stages: it is persisted (memory, spilling to disk;
+    lost blocks are recomputed from lineage), counted, and released afterwards.
+    With ``strategy="auto"`` its measured size decides whether it is shipped to all
+    tasks. The report is stored once before it is clustered: the range partitioner
+    reads its input twice, to sample it and to deal it.
     """
+    strategy = options.pop("strategy", "auto")
+    limit = options.get("broadcast_max_bytes", BROADCAST_MAX_BYTES)
     fmap = queue_filter_map(history, view_map, filter_names).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        fmap.count()
+        if strategy == "auto":
+            strategy = "broadcast" if input_bytes(fmap.select("*")) <= limit else "binned"
         report = staffing_outlook(history, view_map, fte, queue, volume, requirement, model,
-                                  start, end, filter_names, queue_map=fmap, **options)
-        report = report.withColumnsRenamed(dict(names or {}))
-        write_clustered(report, target, list(cluster_by), mode=mode)
+                                  start, end, filter_names, queue_map=fmap, strategy=strategy, **options)
+        path = scratch_path(report.sparkSession, "outlook-report")
+        report.withColumnsRenamed(dict(names or {})).write.parquet(path)
+        stored = report.sparkSession.read.parquet(path)
+        write_clustered(stored, target, list(cluster_by), mode=mode)
     finally:
         fmap.unpersist()
