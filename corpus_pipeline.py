@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftwise.llm import decontamination, mixing, secrets, simhash, toxicity
-from shiftwise.llm._io import materialise, prepare, table
+from shiftwise.llm._io import fresh_names, materialise, prepare, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
     model = toxicity.train(docs, labels)
-    kept = docs.withColumn("__score", toxicity.score(docs, model))
-    return kept.filter(F.col("__score") < toxicity.threshold(model)).drop("__score")
+    (score,) = fresh_names(docs, "score")
+    kept = docs.withColumn(score, toxicity.score(docs, model))
+    return kept.filter(F.col(score) < toxicity.threshold(model)).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stable_input(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` in a form whose rows are numbered alike however often it is read:
+    itself when it is a projection or filter of stored files, else a stored copy
+    (a shuffle may deal rows otherwise when other columns are asked for)."""
+    def only_reads(node) -> bool:
+        if node.nodeName() not in ("Project", "Filter", "LogicalRelation", "SubqueryAlias"):
+            return False
+        return all(only_reads(node.children().apply(i)) for i in range(node.children().size()))
+
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    return docs if only_reads(plan) else materialise(docs, name)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so when
     the driver's JVM finds nothing refers to them any more."""
@@ -67,3 +80,29 @@ def free_shuffles(spark: SparkSession) -> None:
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     return F.translate(c, UPPER, UPPER.lower())
+
+
+def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that ``df`` does not have (names differ by
+    more than case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def sortable(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` in a form that has an order and a hash: maps as sorted
+    entries, variants as text."""
+    out = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind.startswith("map<"):
+            c = F.array_sort(F.map_entries(c))
+        elif "map<" in kind or "variant" in kind:
+            c = F.to_json(F.struct(c))
+        out.append(c)
+    return out

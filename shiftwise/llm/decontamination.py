@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.llm import _text
-from shiftwise.llm._io import ascii_lower, materialise, prepare
+from shiftwise.llm._io import ascii_lower, materialise, prepare, stable_input
 
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -136,6 +136,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int =
         raise ValueError("containment must be in (0, 1]")
     spark = docs.sparkSession
     prepare(spark)
+    docs = stable_input(docs.select(id_col, text), "bench-texts")
     windows = materialise(item_windows(items, window, item_id, item_text), "bench-windows")
     parts = materialise(window_shingles(windows, shingle), "bench-shingles")
     grams = parts.select("shingle").distinct()
@@ -219,13 +220,6 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
                     (F.col("n_hit") > 0).alias("contaminated")))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents in which a benchmark window occurs (all
-    rows of such an id go; rows without an id are judged as one)."""
-    bad = contamination(docs, items, **options).filter("contaminated").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
-
-
 def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows in which a benchmark window occurs, whatever
     their ids: the verdict depends on the text alone and is carried by its hash

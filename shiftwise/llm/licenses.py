@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftwise.llm._io import ascii_lower, prepare
+from shiftwise.llm._io import ascii_lower, materialise, prepare, stable_input
 
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -109,11 +109,14 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = 3, max_shif
     prepare(docs.sparkSession)
     templates = [(t, label, True) for t, label in phrases] + [(t, label, False) for t, label in notices]
     grams = template_grams(docs.sparkSession, templates, k, max_grams)
-    rows, hit = votes(docs, grams, k, id_col, text)
-    # Votes per diagonal; which template positions it holds, as a set.
+    rows, hit = votes(stable_input(docs.select(id_col, text), "license-texts"), grams, k, id_col, text)
+    # Votes per diagonal; which template positions it holds, as a set. Only texts
+    # that share words with a template have any: stored, so that texts are cut and
+    # joined once for exact phrases and merged diagonals alike.
     diagonal = (hit.groupBy("row", "template", "grams", (F.col("pos") - F.col("at")).alias("diagonal"))
                 .agg(F.min("pos").alias("low"), (F.max("pos") + k).alias("high"),
                      F.collect_set("at").alias("held")))
+    diagonal = materialise(diagonal, "license-votes")
     n_phrases = len(phrases)
     exact = (diagonal.filter((F.col("template") < n_phrases) & (F.size("held") == F.col("grams")))
              .select("row", "template", F.col("diagonal").alias("begin"),

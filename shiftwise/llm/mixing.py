@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.llm import _text
-from shiftwise.llm._io import materialise, prepare
+from shiftwise.llm._io import fresh_names, materialise, prepare
 
 
 def word_count(text: str) -> Column:
@@ -193,17 +193,17 @@ def _whole(batches: Iterator[pd.DataFrame], fn, columns: list[str]) -> Iterator[
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with size, source_size, target and taken; documents of which the
-    mix takes no word are left out. Clashing column names are replaced."""
+    mix takes no word are left out. Those four columns are replaced; all others may
+    have any names and types."""
     got = mix(docs, **options)
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    key = F.xxhash64("doc_id", "source", "__size")
+    size, key, at = fresh_names(docs, "words", "key", "at")
+    digest = F.xxhash64("doc_id", "source", size)
     # Both sides hold the same rows (doc_id, source, size): equal places in equal order meet.
-    place = Window.partitionBy("__key").orderBy("doc_id", "source", "__size")
-    left = (docs.select(*own).withColumn("__size", word_count("text")).withColumn("__key", key)
-            .withColumn("__at", F.row_number().over(place.orderBy("doc_id", "source", "__size", "text"))))
-    right = (got.withColumnRenamed("size", "__size").withColumn("__key", key)
-             .withColumn("__at", F.row_number().over(place.orderBy("doc_id", "source", "__size", "copy")))
-             .filter("taken > 0")
-             .select("__key", "__at", "source_size", "target", "taken"))
-    return (left.join(right, ["__key", "__at"])
-            .select(*own, F.col("__size").alias("size"), "source_size", "target", "taken"))
+    place = lambda last: Window.partitionBy(key).orderBy("doc_id", "source", size, last)
+    left = (docs.select(*own).withColumn(size, word_count("text")).withColumn(key, digest)
+            .withColumn(at, F.row_number().over(place("text"))))
+    right = (got.withColumnRenamed("size", size).withColumn(key, digest)
+             .withColumn(at, F.row_number().over(place("copy")))
+             .filter("taken > 0").select(key, at, "source_size", "target", "taken"))
+    return left.join(right, [key, at]).select(*own, F.col(size).alias("size"), "source_size", "target", "taken")

@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftwise.llm._io import prepare
+from shiftwise.llm._io import fresh_names, prepare, stable_input
 
 #: Kind -> (pattern, group whose length counts, least length).
 BASE = {
@@ -49,13 +49,12 @@ _LOW, _N = 32, 95  # printable ASCII
 def bigram_counts(samples: DataFrame, text: str = "sample", label: str = "label") -> DataFrame:
     """(label, a, b, n): transitions between ASCII codes in labelled samples (a
     column ``n`` of ``samples`` says how often each stands for)."""
-    s = F.col("s")
     times = F.col("n") if "n" in samples.columns else F.lit(1)
-    pairs = F.expr("explode(sequence(1, length(s) - 1))")
-    return (samples.select(F.col(label).cast("int").alias("label"), F.col(text).alias("s"), times.alias("n"))
-            .filter(F.length(s) > 1).select("label", "s", "n", pairs.alias("i"))
-            .select("label", "n", F.ascii(F.substring(s, F.col("i"), F.lit(1))).alias("a"),
-                    F.ascii(F.substring(s, F.col("i") + 1, F.lit(1))).alias("b"))
+    codes = F.transform(F.split(F.col(text), ""), lambda c: F.ascii(c))
+    # Neighbours side by side: one pass over a sample of any length.
+    pairs = F.arrays_zip(codes.alias("a"), F.slice(codes, F.lit(2), F.length(text)).alias("b"))
+    return (samples.filter(F.length(text) > 1)
+            .select(F.col(label).cast("int").alias("label"), times.alias("n"), F.inline(pairs).alias("a", "b"))
             .filter(f"a between {_LOW} and {_LOW + _N - 1} and b between {_LOW} and {_LOW + _N - 1}")
             .groupBy("label", "a", "b").agg(F.sum("n").alias("n")))
 
@@ -85,7 +84,10 @@ def sample_strings(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     the characters that meet, so equal samples are many and are counted before
     they are taken apart. Random: digests of the ids in hex, base64 (also
     url-safe) and upper-case letters."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
+    # Few bytes, much work: the ids are dealt to as many tasks as there are partitions.
+    ids = ids.repartition(parts)
     digest = F.sha2(F.col("id").cast("string"), 256)
     b64 = F.regexp_replace(F.base64(F.unhex(digest)), "=+$", "")
     random = ids.select(F.explode(F.array(
@@ -235,31 +237,32 @@ def redact(docs: DataFrame, model: list[float] | None = None, mask: str = "[SECR
     """``docs`` with every span replaced by ``mask`` and ``n_chars`` (if there)
     brought up to date; rows without spans are unchanged.
 
-    Spans are joined back by ``row_id``, a number of the input row: the input
-    has to be a stored table, so that both reads number rows alike."""
+    Spans are joined back by ``row_id``, a number of the input row: an input that
+    is no stored table is stored first, so that both reads number rows alike."""
+    docs = stable_input(docs, "secret-texts")
     model = train(sample_strings(docs)) if model is None else model
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    row, found_at, merged_at, new = fresh_names(docs, "row", "spans", "merged", "text")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     found = spans(docs, model).filter(F.size("spans") > 0).select(
-        F.col("row_id").alias("__row"), F.col("spans").alias("__spans"))
-    joined = numbered.join(found, "__row", "left")
+        F.col("row_id").alias(row), F.col("spans").alias(found_at))
+    joined = numbered.join(found, row, "left")
     text = F.col("text")
     # Overlapping spans (of different kinds) become one: cut where a new run begins.
     merged = F.aggregate(
-        "__spans", F.array().cast("array<struct<start:bigint,end:bigint>>"),
+        found_at, F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda acc, x: F.when(
             (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
                 F.element_at(acc, -1)["start"].alias("start"),
                 F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))))
         .otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))))
-    parts = F.transform("__merged", lambda x, i: F.concat(
-        F.substring(text, F.when(i > 0, F.get("__merged", i - 1)["end"]).otherwise(F.lit(0)).cast("int") + 1,
-                    (x["start"] - F.when(i > 0, F.get("__merged", i - 1)["end"]).otherwise(F.lit(0))).cast("int")),
-        F.lit(mask)))
-    tail = F.substring(text, F.element_at("__merged", -1)["end"].cast("int") + 1, F.length(text))
-    new_text = F.when(F.col("__spans").isNull(), text).otherwise(F.concat(F.concat_ws("", parts), tail))
-    out = joined.withColumn("__merged", merged).withColumn("__text", new_text)
-    columns = [F.col("__text").alias("text") if c == "text"
-               else F.when(F.col("__spans").isNull(), F.col(c)).otherwise(F.length("__text").cast("long")).alias(c)
+    before = lambda i: F.when(i > 0, F.get(merged_at, i - 1)["end"]).otherwise(F.lit(0))
+    parts = F.transform(merged_at, lambda x, i: F.concat(
+        F.substring(text, before(i).cast("int") + 1, (x["start"] - before(i)).cast("int")), F.lit(mask)))
+    tail = F.substring(text, F.element_at(merged_at, -1)["end"].cast("int") + 1, F.length(text))
+    new_text = F.when(F.col(found_at).isNull(), text).otherwise(F.concat(F.concat_ws("", parts), tail))
+    out = joined.withColumn(merged_at, merged).withColumn(new, new_text)
+    columns = [F.col(new).alias("text") if c == "text"
+               else F.when(F.col(found_at).isNull(), F.col(c)).otherwise(F.length(new).cast("long")).alias(c)
                if c == "n_chars" else F.col(c) for c in docs.columns]
     return out.select(*columns)

@@ -35,11 +35,11 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.llm import _text
-from shiftwise.llm._io import materialise, prepare
+from shiftwise.llm._io import fresh_names, materialise, prepare, sortable
 
 BITS = 64
 CLOSED_BITS = 8  # a bucket with this many open bits has at most 256 members
@@ -274,29 +274,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
                     "group_print", "group_rows"))
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the smallest doc_id
-    (of rows with that id, or of a group without ids, the least row)."""
-    found = near_duplicates(docs, shingle, radius)
-    alone = found.filter("doc_id = component_id").select("doc_id").distinct()
-    unnamed = found.filter("component_id is null").select("fingerprint", "group_print").distinct()
-    first = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("first")
-    named = (docs.filter("doc_id is not null").join(alone, "doc_id", "left_semi")
-             .groupBy("doc_id").agg(first))
-    spare = (docs.filter("doc_id is null").withColumn("__print", as_hex(fingerprint("text", shingle)))
-             .join(unnamed, F.col("__print") == unnamed["fingerprint"])
-             .groupBy("group_print").agg(first))
-    return (named.select("first.*").unionByName(spare.select("first.*")))
-
-
 def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, also where groups share
     an id: the least of the group's rows with its smallest doc_id (of all its
-    rows, if none has an id)."""
+    rows, if none has an id), by text hash, then all columns. The columns of
+    ``docs`` may have any names and types."""
     found = near_duplicates(docs, shingle, radius)
+    own, key, print_, group, place = fresh_names(docs, "print", "key", "first_print", "group", "place")
     first = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__print"), "group_print").distinct())
-    printed = docs.withColumn("__own", as_hex(fingerprint("text", shingle)))
-    return (printed.join(first, (F.col("__own") == F.col("__print")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-            .groupBy("group_print").agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("first"))
-            .select("first.*"))
+             .select(F.col("doc_id").alias(key), F.col("fingerprint").alias(print_),
+                     F.col("group_print").alias(group)).distinct())
+    printed = docs.withColumn(own, as_hex(fingerprint("text", shingle)))
+    met = printed.join(first, (F.col(own) == F.col(print_)) & F.col("doc_id").eqNullSafe(F.col(key)))
+    # row_number = 1 is limited in every task before the shuffle: copies do not meet.
+    order = Window.partitionBy(group).orderBy(F.sha2(F.coalesce("text", F.lit("")), 256), *sortable(docs))
+    return (met.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1)
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

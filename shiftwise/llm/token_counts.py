@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftwise.llm._io import materialise, prepare
+from shiftwise.llm._io import materialise, prepare, stable_input
 
 BOUNDARY = r"(?<=[\p{L}!-~])(?=[ \t\r\n])"
 HEAD_BYTES = 64
@@ -68,6 +68,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, head: i
                  id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit."""
     prepare(docs.sparkSession)
+    docs = stable_input(docs.select(id_col, text), "token-texts")
     vocab = materialise(vocabulary(docs, tokenizer_path, text), "token-vocabulary")
     total = vocab.agg(F.sum("seen")).first()[0] or 0
     common = (F.col("seen") * head >= total) & (F.octet_length("piece") <= HEAD_BYTES)

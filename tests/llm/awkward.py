@@ -5,7 +5,10 @@ import random
 import pytest
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, row string, size string, "
-          "words int, w int, start int, fp string, slot int, score string, piece string, host string, taken string")
+          "words int, w int, start int, fp string, slot int, score string, piece string, host string, taken string, "
+          "`__row` int, `__spans` string, `__merged` int, `__print` int, `__id` int, `__key` int, `__at` int, "
+          "`__score` int, `__size` int, row_ int, spans string, merged int, key int, at int, place int, "
+          "group_print string, tags map<string,int>")
 
 
 def messy_rows():
@@ -30,7 +33,8 @@ def messy_rows():
     ]
     rows += [(20 + i, text(rng.randint(1, 60)), "en", rng.choice("abc")) for i in range(12)]
     rows += [rows[4]]  # an exact copy of a row
-    return [(i, t, lang, s, None if t is None else len(t), "x", "y", 1, 2, 3, "f", 4, "s", "p", "h", "t")
+    return [(i, t, lang, s, None if t is None else len(t), "x", "y", 1, 2, 3, "f", 4, "s", "p", "h", "t",
+             1, "s", 2, 3, 4, 5, 6, 7, 8, 9, "s", 1, 2, 3, 4, "g", {"a": 1, "b": len(t or "")})
             for i, t, lang, s in rows]
 
 

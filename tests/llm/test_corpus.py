@@ -166,10 +166,15 @@ def test_links_between_close_fingerprints_are_exact(spark):
 
 
 def test_one_document_of_each_group_stays(messy, no_rows):
-    out = simhash.keep_one(messy)
+    out = simhash.keep_one_per_group(messy)
     rows = [(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()]
-    comp = brute.components([i for i, _ in rows], [brute.fingerprint(x) for _, x in rows])
-    assert out.columns == messy.columns
-    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(comp))
-    assert simhash.keep_one(no_rows).collect() == []
+    prints = [brute.fingerprint(x) for _, x in rows]
+    groups = brute.components(list(range(len(rows))), prints)  # by row, whatever the ids
+    low = {g: min((i for (i, _), h in zip(rows, groups) if h == g and i is not None), default=None) for g in groups}
+    assert out.columns == messy.columns and out.dtypes == messy.dtypes
+    kept = out.collect()
+    assert sorted((r["doc_id"] for r in kept), key=str) == sorted(low.values(), key=str)
+    every = [r.asDict() for r in messy.collect()]
+    assert all(r.asDict() in every for r in kept)
+    assert simhash.keep_one_per_group(no_rows).collect() == []
     assert simhash.near_duplicates(no_rows).collect() == []

@@ -1,6 +1,10 @@
 """Operators on single texts and set joins: licenses, decontamination,
 secrets, fingerprints, token counts."""
 
+import math
+import re
+import time
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -50,11 +54,11 @@ def test_contamination_matches_brute_force(spark, messy, filter_rows):
     want = sorted(((i, *c) for (i, _), c in zip(rows, brute.contamination([t for _, t in rows], items))), key=KEY)
     out = decontamination.contamination(messy, bench, filter_rows=filter_rows)
     assert got(out, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
-    kept = decontamination.drop_contaminated(messy, bench)
-    bad = {w[0] for w in want if w[-1]}
+    kept = decontamination.drop_contaminated_rows(messy, bench)
+    flags = [c[-1] for c in brute.contamination([t for _, t in rows], items)]
     assert kept.columns == messy.columns
-    assert sorted(map(str, [r["doc_id"] for r in kept.collect()])) == \
-        sorted(str(i) for i, _ in rows if i not in bad)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == \
+        sorted((row for row, bad in zip(rows, flags) if not bad), key=str)
 
 
 def test_containment_below_one_finds_changed_windows(spark):
@@ -116,6 +120,62 @@ def test_rules_paths_and_numbers_are_no_secrets(spark):
     assert all(mean[x] < 1 for x in clean) and all(mean[x] >= 1 for x in random), mean
 
 
+def test_method_spans_match_brute_force(spark, messy):
+    """Random tokens: a plain model of the samples, run over every token."""
+    rows = texts(messy) + [(900, "x " + "aB3/" * 9 + " zQ8kX1pV7mN4rT6wY2sL5 password=zQ8kX1pV7mN4rT6wY2sL5"),
+                           (901, "the_quick_brown_fox_jumps_over " + "-" * 25 + " Zk9Qw2Xv7Pl4Mn8Rt1Yb6=")]
+    rows += [(1000 + i, "plain words that stand in ordinary documents") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    samples = [(r["label"], r["sample"], r["n"]) for r in secrets.sample_strings(docs).collect()]
+    count = {0: {}, 1: {}}
+    for label, x, n in samples:
+        for a, b in zip(x, x[1:]):
+            if " " <= a <= "~" and " " <= b <= "~":
+                count[label][a, b] = count[label].get((a, b), 0) + n
+    total = {c: {} for c in count}
+    for c, pairs in count.items():
+        for (a, _), n in pairs.items():
+            total[c][a] = total[c].get(a, 0) + n
+
+    def ratio(a, b):
+        p = [(count[c].get((a, b), 0) + 0.5) / (total[c].get(a, 0) + 0.5 * 95) for c in (0, 1)]
+        return round(math.log(p[1]) - math.log(p[0]), 6)
+
+    def found(x):
+        base = [m.span() for _, rx, ok in brute.SECRETS for m in rx.finditer(x or "") if ok(m)]
+        out = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", x or ""):
+            token, (a, b) = m.group(0), m.span()
+            mean = sum(map(ratio, token, token[1:])) / (len(token) - 1)
+            if mean >= 1.0 and all(e <= a or s >= b for s, e in base):
+                out.append(f"random:{a}:{b}")
+        return ",".join(out)
+
+    out = secrets.secret_report(docs).collect()
+    got_random = sorted((str(r["doc_id"]), ",".join(s for s in r["spans"].split(",") if s.startswith("random")))
+                        for r in out)
+    assert got_random == sorted((str(i), found(x)) for i, x in rows)
+    assert sum(r["n_random"] for r in out) >= 2
+
+
+def test_one_word_of_a_million_letters(spark):
+    docs = spark.createDataFrame([(1, "a" + "bcdefgh" * 143_000), (2, "Zk9Qw2Xv7Pl4Mn8Rt1Yb6" * 50_000)],
+                                 "doc_id long, text string")
+    began = time.time()
+    out = {r["doc_id"]: r for r in secrets.secret_report(docs).collect()}
+    assert time.time() - began < 60
+    assert out[1]["n_random"] == 0
+
+
+def test_redaction_leaves_columns_of_any_name_alone(spark, messy, tmp_path):
+    messy.write.parquet(str(tmp_path / "m"))
+    docs = spark.read.parquet(str(tmp_path / "m"))
+    out = secrets.redact(docs)
+    assert out.dtypes == docs.dtypes
+    others = [c for c in docs.columns if c not in ("text", "n_chars", "tags")]
+    assert sorted(map(str, out.select(*others).collect())) == sorted(map(str, docs.select(*others).collect()))
+
+
 def test_secret_models_without_samples_are_uniform(spark, no_rows):
     assert set(secrets.train(secrets.sample_strings(no_rows))) == {0.0}
     assert secrets.secret_report(no_rows).collect() == []
