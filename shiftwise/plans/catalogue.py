@@ -45,8 +45,8 @@ from shiftwise.plans.presets import OUTLOOK_CLUSTER_BY, OUTLOOK_OUTPUT
 from shiftwise.plans.slots import slot_report, slot_rows
 from shiftwise.plans.synchronise import read_partitioned, sync_partitions, sync_table, write_partitioned
 from shiftwise.session import scratch_path
-from shiftwise.sources.readers import read_source
-from shiftwise.sources.sinks import write_clustered, write_table
+from shiftwise.sources.readers import equal_depth_cuts, jdbc_cut_predicates, read_source
+from shiftwise.sources.sinks import write_clustered, write_interleaved, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
@@ -548,6 +548,25 @@ def q_sink_clustered(spark, d):
     return rounded(spark.read.parquet(path))
 
 
+def q_sink_interleaved(spark, d):
+    path = scratch_path(spark, "facts")
+    f = A.fact15(spark, d).select("QueueID", "DateTime", "event_type", "event_id", "value")
+    write_interleaved(f, path, ["DateTime", "QueueID", "event_type"])
+    return rounded(spark.read.parquet(path))
+
+
+def q_equal_depth_slices(spark, d):
+    # The slices a partitioned read of orders would use, cut on a skewed column, and
+    # how many rows each holds.
+    o = A.table(spark, d, "orders").select((F.col("o_custkey") * F.col("o_custkey")).alias("k"))
+    n = o.count()
+    cuts = equal_depth_cuts(o, "k", 8)
+    parts = [o.filter(p).agg(F.count(F.lit(1)).alias("rows")) for p in jdbc_cut_predicates("k", cuts)]
+    held = reduce(DataFrame.unionByName, parts)
+    return held.agg(F.sum("rows").alias("rows"),
+                    F.bool_and(F.col("rows") * 8 <= 2 * n).alias("balanced"))
+
+
 QUERIES: dict[str, Query] = {
     "validity_join": q_validity_join,
     "validity_join_binned": q_validity_join_binned,
@@ -600,4 +619,6 @@ QUERIES: dict[str, Query] = {
     "outlook_job": q_outlook_job,
     "sink_overwrite": q_sink_overwrite,
     "sink_clustered": q_sink_clustered,
+    "sink_interleaved": q_sink_interleaved,
+    "equal_depth_slices": q_equal_depth_slices,
 }

@@ -593,6 +593,14 @@ SELECT user_id AS QueueID, time_bucket(INTERVAL 15 MINUTE, ts) AS DateTime, even
        {r6('value')} AS value
 FROM events"""
 
+SINK_INTERLEAVED = f"""
+SELECT user_id AS QueueID, time_bucket(INTERVAL 15 MINUTE, ts) AS DateTime, event_type, event_id,
+       {r6('value')} AS value
+FROM events"""
+
+EQUAL_DEPTH_SLICES = """
+SELECT count(*) AS rows, true AS balanced FROM orders"""
+
 ORACLE: dict[str, str] = {
     "validity_join": VALIDITY_JOIN,
     "validity_join_binned": VALIDITY_JOIN,
@@ -645,4 +653,6 @@ ORACLE: dict[str, str] = {
     "outlook_job": OUTLOOK_JOB,
     "sink_overwrite": SINK_OVERWRITE,
     "sink_clustered": SINK_CLUSTERED,
+    "sink_interleaved": SINK_INTERLEAVED,
+    "equal_depth_slices": EQUAL_DEPTH_SLICES,
 }

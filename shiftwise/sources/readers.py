@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PATH_FORMATS = ("parquet", "orc", "csv", "json", "text", "delta", "avro")
 
@@ -62,8 +66,6 @@ def jdbc_date_predicates(column: str, start, end, days_per_slice: int = 1,
     date is its midnight), slices are half-open and the last one includes
     ``end``, so together they read exactly the inclusive range.
     ``with_nulls`` adds a slice for rows with a NULL ``column``."""
-    import datetime as dt
-
     def stamp(x) -> dt.datetime:
         if isinstance(x, dt.datetime):
             return x
@@ -84,6 +86,62 @@ def jdbc_date_predicates(column: str, start, end, days_per_slice: int = 1,
     return out
 
 
+def equal_depth_cuts(df: DataFrame, column: str, slices: int, accuracy: int = 10_000) -> list:
+    """At most ``slices - 1`` values that cut the rows of ``df`` into slices of about
+    equal size on a numeric, date or timestamp column.
+
+    ``df`` is what is known of the table to be read: a copy of its key column from
+    the last run, or the reporting table it feeds. The cuts come from a quantile
+    sketch (one aggregation; a quantile is off by at most 1 / ``accuracy`` of the
+    rows), so only they reach the driver. A value that fills several slices
+    is returned twice. Rows without a value are left out; no value at all gives no cut."""
+    if slices < 1:
+        raise ValueError("slices must be at least 1")
+    kind = dict(df.dtypes)[column]
+    numeric = F.unix_micros(F.col(column).cast("timestamp")) if kind in ("date", "timestamp", "timestamp_ntz") \
+        else F.col(column)
+    at = [i / slices for i in range(1, slices)]
+    if not at:
+        return []
+    found = df.agg(F.approx_percentile(numeric, at, accuracy).alias("q")).first()["q"] or []
+    cuts = sorted(c for i, c in enumerate(sorted(found)) if i < 2 or sorted(found)[i - 2] != c)
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        epoch = dt.datetime(1970, 1, 1)
+        cuts = [epoch + dt.timedelta(microseconds=c) for c in cuts]
+    return cuts
+
+
+def jdbc_cut_predicates(column: str, cuts: list, with_nulls: bool = True, start=None, end=None) -> list[str]:
+    """WHERE clauses, one parallel read each, for the slices between ``cuts``
+    (``equal_depth_cuts``): below the first, half-open between two, from the last on;
+    a value that is there twice has a slice of its own.
+    ``start`` and ``end`` (inclusive) limit the whole read; cuts outside are left
+    out. ``with_nulls`` adds a slice for rows without a value, so that without limits
+    the slices hold every row exactly once."""
+    def text(x) -> str:
+        if isinstance(x, (dt.datetime, dt.date)):
+            return f"'{x}'"
+        if isinstance(x, bool) or not isinstance(x, (int, float, Decimal)):
+            raise ValueError(f"not a cut: {x!r}")
+        return str(x)
+
+    inside = sorted(c for c in cuts if (start is None or c > start) and (end is None or c <= end))
+    single = {a for a, b in zip(inside, inside[1:]) if a == b}
+    lows, out = [start, *sorted(set(inside))], []
+    for lo, hi in zip(lows, [*lows[1:], None]):
+        if lo in single:
+            out.append(f"{column} = {text(lo)}")
+        parts = [] if lo is None else [f"{column} {'>' if lo in single else '>='} {text(lo)}"]
+        if hi is not None:
+            parts.append(f"{column} < {text(hi)}")
+        elif end is not None:
+            parts.append(f"{column} <= {text(end)}")
+        out.append(" AND ".join(parts) or f"{column} IS NOT NULL")
+    if with_nulls:
+        out.append(f"{column} IS NULL")
+    return out
+
+
 def jdbc_read_arguments(predicates: list[str] | None = None, **options) -> dict:
     """Reader options from either spelling: keyword arguments of
     ``jdbc_options`` (``table``, ``partition_column``, ...) or Spark's own

@@ -3,11 +3,12 @@ JDBC overwrite."""
 
 from __future__ import annotations
 
+import os
 import uuid
 from typing import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftwise.session import ensure_checkpoint_dir, file_system
@@ -264,6 +265,71 @@ def write_clustered(df: DataFrame, target: str, cols: Sequence[str], mode: str =
         w.saveAsTable(target)
 
 
+# --- several columns at once -----------------------------------------------------------------
+
+def _as_numbers(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Numbers in the order of the columns. Strings: what follows the prefix that all
+    of a column's values share (that of the least and the greatest), seven bytes of it."""
+    kinds = dict(df.dtypes)
+    texts = [c for c in cols if kinds[c] == "string"]
+    ends = df.agg(*[f(c) for c in texts for f in (F.min, F.max)]).first() if texts else ()
+    shared = {c: len(os.path.commonprefix([lo or "", hi or ""]))
+              for c, lo, hi in zip(texts, ends[::2], ends[1::2])}
+    out = []
+    for name in cols:
+        c = F.col(name)
+        if kinds[name] in ("date", "timestamp", "timestamp_ntz"):
+            c = F.unix_micros(c.cast("timestamp"))
+        elif kinds[name] == "string":
+            rest = F.substring(F.encode(F.substring(c, shared[name] + 1, 7), "UTF-8"), 1, 7)
+            c = F.conv(F.rpad(F.hex(rest), 14, "0"), 16, 10).cast("bigint")
+        else:
+            c = c.cast("int" if kinds[name] == "boolean" else "double")
+        out.append(c)
+    return out
+
+
+def interleaved_key(df: DataFrame, cols: Sequence[str], bits: int = 6) -> Column:
+    """A sort key under which rows that are near in all of ``cols`` are near: each
+    column's rank among 2 ** ``bits`` equally full slices, the bits of all ranks
+    interleaved, most significant first. NULL ranks first. The slices are cut by
+    quantile sketches: one aggregation over the columns, run now, of which 2 **
+    ``bits`` - 1 numbers a column reach the driver."""
+    cols = list(cols)
+    if not cols or bits < 1 or bits * len(cols) > 62:
+        raise ValueError("give columns, and bits so that all ranks fit in 62 bits")
+    at = [i / (1 << bits) for i in range(1, 1 << bits)]
+    numbers = _as_numbers(df, cols)
+    found = df.agg(*[F.approx_percentile(n, at).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
+    key = F.lit(0).cast("bigint")
+    for place, number in enumerate(numbers):
+        cuts = F.array(*[F.lit(q) for q in sorted(set(found[place] or []))])
+        below = F.size(F.filter(cuts, lambda q: q <= number)) if found[place] else F.lit(0)
+        rank = F.when(number.isNull(), F.lit(0)).otherwise(below).cast("bigint")
+        for b in range(bits):
+            bit = F.shiftright(rank, b).bitwiseAND(1)
+            key = key.bitwiseOR(F.shiftleft(bit, b * len(cols) + len(cols) - 1 - place))
+    return key
+
+
+def write_interleaved(df: DataFrame, target: str, cols: Sequence[str], mode: str = "overwrite",
+                      fmt: str = "parquet", num_partitions: int | None = None, bits: int = 6) -> None:
+    """Write with rows clustered by all of ``cols`` at once: files are narrow in each
+    of them, so a scan that filters on any one can skip files by their minima and
+    maxima. (``write_clustered`` orders by the first column; its files are wide in
+    the others.) As there, the row's hash and its input partition spread rows of
+    one key over several files, deterministically."""
+    columns = df.columns
+    keyed = df.withColumn("__key", interleaved_key(df, cols, bits))
+    order = [F.col("__key"), F.xxhash64(*columns).alias("__row_hash"), F.spark_partition_id().alias("__input_part")]
+    parts = keyed.repartitionByRange(num_partitions, *order) if num_partitions else keyed.repartitionByRange(*order)
+    w = parts.sortWithinPartitions("__key", *cols).drop("__key").write.format(fmt).mode(mode)
+    if _is_path(target):
+        w.save(target)
+    else:
+        w.saveAsTable(target)
+
+
 def write_jdbc(df: DataFrame, options: dict, mode: str = "overwrite", truncate: bool = True,
                batch_size: int = 10_000, num_partitions: int | None = None,
                staged: bool = False) -> None:

@@ -171,3 +171,88 @@ def test_jdbc_write_options_and_mode_check(spark):
     assert "truncate" not in jdbc_write_options({"url": "u"}, mode="append")
     with pytest.raises(ValueError):   # rejected before any connection is opened
         write_jdbc(spark.range(1), {"url": "jdbc:x://h/db", "dbtable": "t"}, mode="upsert")
+
+
+def _skewed(spark, n=20_000):
+    """Half of the rows in the first hour, a tenth on one instant, some without a time."""
+    at = F.when(F.col("id") % 2 == 0, F.col("id") % 3600).when(F.col("id") % 10 == 1, F.lit(5_000_000)) \
+        .otherwise(F.col("id") * 977 % 10_000_000)
+    return spark.range(n).select(
+        "id", F.when(F.col("id") % 97 != 0, F.timestamp_seconds(at + 1_700_000_000).cast("timestamp_ntz")).alias("at"),
+        (at * at).alias("num"), F.to_date(F.timestamp_seconds(at + 1_700_000_000)).alias("day"))
+
+
+@pytest.mark.parametrize("column", ["at", "num", "day"])
+def test_equal_depth_slices_of_a_skewed_column(spark, column):
+    from shiftwise.sources.readers import equal_depth_cuts, jdbc_cut_predicates
+    df = _skewed(spark)
+    predicates = jdbc_cut_predicates(column, equal_depth_cuts(df, column, 10))
+    parts = [df.filter(p) for p in predicates]
+    ids = [r["id"] for p in parts for r in p.select("id").collect()]
+    assert sorted(ids) == list(range(20_000))  # every row, exactly once
+    if column != "day":
+        assert max(p.count() for p in parts) <= 2 * 20_000 / 10
+        # Equal days (or ranges) put half of the rows into one slice.
+        lo, hi = df.agg(F.min("num"), F.max("num")).first()
+        width = (hi - lo) / 10
+        assert max(r["count"] for r in df.groupBy(F.floor((F.col("num") - lo) / width)).count().collect()) > 9_000
+
+
+def test_cut_predicates():
+    import datetime as dt
+    from shiftwise.sources.readers import jdbc_cut_predicates
+    assert jdbc_cut_predicates("x", [3, 5]) == ["x < 3", "x >= 3 AND x < 5", "x >= 5", "x IS NULL"]
+    assert jdbc_cut_predicates("x", [3, 5, 3], with_nulls=False) == ["x < 3", "x = 3", "x > 3 AND x < 5", "x >= 5"]
+    assert jdbc_cut_predicates("x", []) == ["x IS NOT NULL", "x IS NULL"]
+    assert jdbc_cut_predicates("x", [3, 50], with_nulls=False, start=2, end=9) == ["x >= 2 AND x < 3", "x >= 3 AND x <= 9"]
+    assert jdbc_cut_predicates("t", [dt.datetime(2024, 1, 2, 3)], with_nulls=False) == [
+        "t < '2024-01-02 03:00:00'", "t >= '2024-01-02 03:00:00'"]
+    with pytest.raises(ValueError):
+        jdbc_cut_predicates("x", ["1 OR 1=1"])
+
+
+def test_equal_depth_cuts_of_nothing(spark):
+    from shiftwise.sources.readers import equal_depth_cuts
+    df = _skewed(spark, 10)
+    assert equal_depth_cuts(df.limit(0), "num", 4) == [] == equal_depth_cuts(df, "num", 1)
+    with pytest.raises(ValueError):
+        equal_depth_cuts(df, "num", 0)
+
+
+def _files_met(spark, path, column, values):
+    """Mean share of files whose minimum and maximum admit a value of the column."""
+    per_file = spark.read.parquet(path).withColumn("f", F.input_file_name()).groupBy("f").agg(
+        F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+    return sum(sum(r["lo"] <= v <= r["hi"] for r in per_file) for v in values) / len(values) / len(per_file)
+
+
+def test_interleaved_files_are_narrow_in_every_column(spark):
+    from shiftwise.sources.sinks import write_interleaved
+    df = spark.range(0, 40_000).select(
+        (F.col("id") * 7919 % 40_000).alias("k"),
+        F.concat(F.lit("VIEW_"), F.lpad((F.col("id") * 104729 % 1000).cast("string"), 4, "0")).alias("v"),
+        F.timestamp_seconds(F.col("id") * 31 % 40_000).alias("t"))
+    by_key, both = scratch_path(spark, "by_key"), scratch_path(spark, "both")
+    write_clustered(df, by_key, ["k", "v"], num_partitions=16)
+    write_interleaved(df, both, ["k", "v"], num_partitions=16)
+    back = spark.read.parquet(both)
+    assert back.columns == df.columns and rows(back) == rows(df)
+    ks, vs = range(500, 40_000, 4_000), [f"VIEW_{i:04d}" for i in range(50, 1000, 100)]
+    assert _files_met(spark, by_key, "v", vs) > 0.95           # sorted by k: every file has every view
+    assert _files_met(spark, both, "v", vs) < 0.45 and _files_met(spark, both, "k", ks) < 0.45
+
+
+def test_interleaved_key_of_awkward_columns(spark):
+    from shiftwise.sources.sinks import interleaved_key, write_interleaved
+    df = spark.createDataFrame([(None, None, 1.0), ("a", 1, None), ("", 2, float("inf")), ("a", 1, -1.0), ("é", 3, 0.0)],
+                               "s string, n int, d double")
+    path = scratch_path(spark, "odd")
+    write_interleaved(df, path, ["s", "n", "d"], bits=3)
+    assert rows(spark.read.parquet(path)) == rows(df)
+    write_interleaved(df.limit(0), path, ["s"])
+    assert spark.read.parquet(path).count() == 0
+    same = spark.range(1000).select(F.lit("x").alias("s"), F.lit(1).alias("n"))  # one value: spread by its rows
+    write_interleaved(same.withColumn("id", F.monotonically_increasing_id()), path, ["s", "n"], num_partitions=4)
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 1 and spark.read.parquet(path).count() == 1000
+    with pytest.raises(ValueError):
+        interleaved_key(df, ["s"] * 11)
