@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.functions.aggregates import count_unless, count_where
@@ -147,12 +147,7 @@ def link_activity(articles, links, p: UtilisationParams, start, end) -> DataFram
     """
     per_day = (link_days(links, p).filter(F.col("link_day").between(start, end))
                .select("article_id", F.col("link_day").alias("link_date"), "__use", "__ref"))
-    # As written: NOT NULL (not length > 0), so an empty domain passes here.
-    d = F.col("domain")
-    cond = d.isNotNull() & ~d.contains(p.separator)
-    if p.banned_domain:
-        cond = cond & (d != F.lit(p.banned_domain))
-    arts = articles.filter(cond)
+    arts = articles.filter(_link_domain(p))
     joined = per_day.join(_small(arts, p), per_day["article_id"] == arts["id"], "inner")
     return (joined
             .groupBy("link_date", "domain",
@@ -160,14 +155,53 @@ def link_activity(articles, links, p: UtilisationParams, start, end) -> DataFram
                      F.col("title").alias("document_title"),
                      label_map("record_type_id", p.record_types).alias("record_type_description"),
                      "governance")
-            .agg(F.max(F.to_date("created_date")).alias("article_created_date"),
-                 F.sum("__use").cast("bigint").alias("Use_Counts"),
-                 F.sum("__ref").cast("bigint").alias("Reference_Counts"),
-                 F.max("product_line").alias("product_line"),
-                 F.max("shared_with").alias("shared_with"),
-                 F.max("validation_status").alias("validation_status"),
-                 F.max(F.to_date("last_modified_date")).alias("last_modified_date"),
-                 F.lit(0).alias("quality_score")))
+            .agg(*_link_aggregates(), F.lit(0).alias("quality_score")))
+
+
+def link_rollups(articles, links, p: UtilisationParams, start, end) -> DataFrame:
+    """``link_activity`` with, as the struct ``latest``, the attributes that
+    ``latest_article_attrs`` gives its article number: both from one scan of the links.
+
+    One aggregation per article holds a buffer for each: the newest link of all
+    times, and the counts of each day of the window (a list of at most as many
+    entries as the window has days). Joined to its article, it is ranked among the
+    articles of its number, and only then are the days listed out. A row whose
+    article number has no article with a valid domain has no ``latest``."""
+    inside = F.col("link_day").between(start, end)
+    day = F.struct(F.col("link_day").alias("link_date"), F.col("__use"), F.col("__ref"))
+    per_article = link_days(links, p).groupBy("article_id").agg(
+        F.max("__newest").alias("__newest"), F.collect_list(F.when(inside, day)).alias("__days"))
+    joined = articles.join(per_article, articles["id"] == per_article["article_id"], "left")
+    attrs = F.struct(F.to_date("created_date").alias("article_created_date"), "product_line", "shared_with",
+                     "validation_status", F.to_date("last_modified_date").alias("last_modified_date"))
+    # NULL is the least of a struct's fields: the latest link day first, as when ranked.
+    order = F.struct(F.to_date("__newest"), F.col("__newest"), F.col("id"))
+    rank = F.when(valid_label("domain", p.banned_domain, p.separator), order)
+    number = F.col("article_number").cast("string")
+    latest = F.max_by(attrs, rank).over(Window.partitionBy(number))
+    rows = (joined.withColumn("latest", latest).filter(_link_domain(p))
+            .select("*", F.inline("__days")))
+    return (rows.groupBy("link_date", "domain", number.alias("article_number"),
+                         F.col("title").alias("document_title"),
+                         label_map("record_type_id", p.record_types).alias("record_type_description"), "governance")
+            .agg(*_link_aggregates(), F.any_value("latest").alias("latest")))
+
+
+def _link_domain(p: UtilisationParams) -> F.Column:
+    """As written: NOT NULL (not length > 0), so an empty domain passes here."""
+    d = F.col("domain")
+    cond = d.isNotNull() & ~d.contains(p.separator)
+    return cond & (d != F.lit(p.banned_domain)) if p.banned_domain else cond
+
+
+def _link_aggregates() -> list:
+    return [F.max(F.to_date("created_date")).alias("article_created_date"),
+            F.sum("__use").cast("bigint").alias("Use_Counts"),
+            F.sum("__ref").cast("bigint").alias("Reference_Counts"),
+            F.max("product_line").alias("product_line"),
+            F.max("shared_with").alias("shared_with"),
+            F.max("validation_status").alias("validation_status"),
+            F.max(F.to_date("last_modified_date")).alias("last_modified_date")]
 
 
 def flag_activity(flags, p: UtilisationParams, start, end) -> DataFrame:
@@ -225,7 +259,9 @@ def utilisation_summary(clicks: DataFrame, clicks_alt: DataFrame, articles: Data
 
     With inner joins the base adds nothing: a result key has flags, and the
     flags of the window are one of the base's four sources under the same
-    filters, so the base is neither built nor joined."""
+    filters, so the base is neither built nor joined. Every result key has link
+    activity too, so the latest attributes travel with it (``link_rollups``) and the
+    links are scanned once."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     # The articles' size decides the join strategy for every article-sized side:
@@ -233,20 +269,25 @@ def utilisation_summary(clicks: DataFrame, clicks_alt: DataFrame, articles: Data
     p = replace(params, articles_small=input_bytes(articles) <= BROADCAST_MAX_BYTES)
     start, end = _window(run_date, window)
     views = view_counts(clicks, clicks_alt, p, start, end)
+    flagged = flag_activity(flags, p, start, end)
+    links_of = dict(columns=["Use_Counts", "Reference_Counts", "article_created_date", "product_line",
+                             "shared_with", "validation_status", "link_date", "last_modified_date"],
+                    fact_keys=["link_date"] + KEYS[1:])
+    flags_of = dict(columns=["created_flag_count"], fact_keys=["submitted_date"] + KEYS[1:])
     if how == "inner":
-        step1 = views
+        links_of["columns"].append("latest")
+        step3 = enrich(enrich(views, link_rollups(articles, links, p, start, end), KEYS, **links_of),
+                       flagged, KEYS, **flags_of)
+        filled = step3.filter("latest is not null").select(
+            *[F.coalesce(F.col(c), F.col(f"latest.{c}")).alias(c) if c in ATTRS else F.col(c)
+              for c in step3.columns if c != "latest"])
     else:
         base = activity_base(clicks, clicks_alt, articles, links, flags, p, start, end)
         step1 = enrich(base, views, KEYS, how)
-    step2 = enrich(step1, link_activity(articles, links, p, start, end), KEYS, how,
-                   columns=["Use_Counts", "Reference_Counts", "article_created_date",
-                            "product_line", "shared_with", "validation_status", "link_date",
-                            "last_modified_date"],
-                   fact_keys=["link_date"] + KEYS[1:])
-    step3 = enrich(step2, flag_activity(flags, p, start, end), KEYS, how,
-                   columns=["created_flag_count"], fact_keys=["submitted_date"] + KEYS[1:])
-    filled = backfill(step3, _small(latest_article_attrs(articles, links, p), p),
-                      ["article_number"], ATTRS)
+        step2 = enrich(step1, link_activity(articles, links, p, start, end), KEYS, how, **links_of)
+        step3 = enrich(step2, flagged, KEYS, how, **flags_of)
+        filled = backfill(step3, _small(latest_article_attrs(articles, links, p), p),
+                          ["article_number"], ATTRS)
     scored = enrich(filled, latest_daily_score(scores), ["article_number", "date"], "left",
                     columns=["quality_score"], fact_keys=["article_number", "score_date"])
     return scored.filter(F.col("governance").isin(list(p.governance))).select(*OUTPUT)
