@@ -33,14 +33,14 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftwise.llm import _text
 from shiftwise.llm._io import materialise, prepare
 
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 64
+MAX_LANGUAGES = 256
 
 
 def visible_text(html: Column) -> Column:
@@ -73,33 +73,52 @@ def _features(w: _text.Words) -> np.ndarray:
                      for h, s in zip((whole, head, tail), salt)], axis=1)
 
 
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, feature, n) of the texts of a batch."""
+    for batch in batches:
+        langs, owner = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
+        texts = batch.column("text").fill_null("").cast(pa.large_string())
+        total: dict[int, np.ndarray] = {}
+        for i, j in _text.slices(texts, 1 << 18):
+            w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
+            cell = owner[i + w.text_of_word()][:, None] * BUCKETS + _features(w)
+            for at, n in zip(*np.unique(cell, return_counts=True)):
+                total[at] = total.get(at, 0) + n
+        cells = np.fromiter(total, np.int64, len(total))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(langs[cells // BUCKETS].astype(object), pa.string()), pa.array(cells % BUCKETS, pa.int32()),
+             pa.array(np.fromiter(total.values(), np.int64, len(total)))], names=["lang", "feature", "n"])
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-          per_lang: int = 400) -> tuple[list[str], np.ndarray]:
+          per_lang: int = 400, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """(languages, log P(feature | language)) from at most ``per_lang`` labelled
-    documents of each of at most MAX_LANGUAGES languages."""
+    documents of each language (one row of each: of rows that share an id and a
+    language the least text). Features are counted in the executors: what reaches
+    the driver is one number per language and feature, however long texts are.
+
+    All languages are modelled. The table has ``BUCKETS`` numbers for each and goes to
+    every task, so more than ``max_languages`` of them are an error, not a cut."""
     prepare(docs.sparkSession)
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(lang).cast("string").alias("lang")).filter(
-        "id is not null and lang is not null")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in counts)
+    source = docs.select(F.col(id_col).alias("id"), F.col(lang).cast("string").alias("lang"),
+                         F.col(text).alias("text")).filter("id is not null and lang is not null")
+    known = source.select("lang").distinct().limit(max_languages + 1).collect()
+    if len(known) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: raise max_languages and the executors' memory")
+    langs = sorted(r["lang"] for r in known)
     if not langs:
         return [], np.zeros((0, BUCKETS), np.float32)
-    picked = None
-    for name in langs:
-        own = (labelled.filter(F.col("lang") == name).distinct()
-               .orderBy(F.xxhash64("id"), "id").limit(per_lang))
-        picked = own if picked is None else picked.unionByName(own)
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-            .join(F.broadcast(picked), "id").select("lang", "text"))  # at most per_lang each
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    picked = (source.select("id", "lang").distinct().withColumn("k", F.row_number().over(first))
+              .filter(F.col("k") <= per_lang).drop("k"))
+    rows = (source.join(F.broadcast(picked), ["id", "lang"])  # at most per_lang ids each
+            .groupBy("id", "lang").agg(F.min(F.struct("text")).alias("t")).select("lang", "t.text"))
+    counts = (rows.mapInArrow(_feature_counts, "lang string, feature int, n long")
+              .groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow())
     total = np.zeros((len(langs), BUCKETS))
-    for batch in rows.toArrow().to_batches():
-        texts = batch.column("text").fill_null("").cast(pa.large_string())
-        which = np.array([langs.index(x) for x in batch.column("lang").to_pylist()], dtype=np.int64)
-        for i, j in _text.slices(texts, 1 << 18):
-            w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
-            f, owner = _features(w), which[i + w.text_of_word()]
-            for k in range(3):
-                np.add.at(total, (owner, f[:, k]), 1)
+    at = {name: i for i, name in enumerate(langs)}
+    which = np.array([at[x] for x in counts.column("lang").to_pylist()], np.int64)
+    total[which, counts.column("feature").to_numpy()] = counts.column("n").to_numpy()
     total += 0.2
     return langs, np.log(total / total.sum(axis=1, keepdims=True)).astype(np.float32)
 

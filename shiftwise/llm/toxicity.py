@@ -241,19 +241,20 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
         picked = [pool.filter(F.col("y") == c).orderBy(order, "id").limit(n)
                   for c, n in ((1, config.max_pos), (0, config.max_neg))]
         sample = materialise(picked[0].unionByName(picked[1]), "toxic-sample")  # max_pos + max_neg rows at most
-        rows = source.drop("lang").join(F.broadcast(sample), "id").orderBy("id", "text").toPandas()
-        rows = rows.drop_duplicates("id")
-        if rows["y"].nunique() == 2:
+        # One row of each id (the least text), hashed in the executors: what comes
+        # here are the word numbers of at most max_pos + max_neg texts.
+        rows = (source.drop("lang").join(F.broadcast(sample), "id").groupBy("id", "y")
+                .agg(F.min(F.struct("text")).alias("t"))
+                .select("id", "y", _hashed(config.buckets)(F.col("t.text")).alias("words")).orderBy("id").toArrow())
+        classes = np.asarray(rows.column("y").to_pylist(), np.int64)
+        if len(set(classes)) == 2:
             break
     else:
         return Model(config, np.zeros((1, 1)), [], np.zeros(0), np.zeros(0), 0.0, {}, 0.5, 0.0)
-    texts, parts = pa.array(rows.pop("text"), pa.large_string()).fill_null(""), []
-    for i, j in _text.slices(texts, 1 << 18):  # on the driver: hashing needs 60 times a slice's bytes
-        w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
-        ids = word_ids(w, config.buckets).astype(np.int32)
-        parts += [ids[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
-    model = _fit(config, parts, rows["y"].to_numpy())
-    del rows, texts, parts
+    parts = [np.asarray(x.values.to_numpy(zero_copy_only=False), np.int32).reshape(-1, 3) for x in rows.column("words")]
+    del rows
+    model = _fit(config, parts, classes)
+    del parts
     fitted = F.broadcast(sample.select("id", F.lit(1).alias("fit")))
     # Scored before the join, so that bins are shuffled and texts are not.
     binned = (source.filter("id is not null").withColumn("s", score(source, model))
@@ -272,6 +273,21 @@ def train(docs: DataFrame, labels: DataFrame, config: Config = Config(),
     return model
 
 
+def _hashed(buckets: int):
+    """A function that gives a text's words as numbers below ``buckets``, three each."""
+    @F.arrow_udf("array<int>")
+    def words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            texts = texts.fill_null("").cast(pa.large_string())
+            parts = []
+            for i, j in _text.slices(texts, 1 << 18):  # hashing needs 60 times a slice's bytes
+                w = _text.split_words(texts.slice(i, j - i), _text.ALNUM)
+                ids = word_ids(w, buckets).astype(np.int32)
+                parts += [ids[a:b].ravel() for a, b in zip(w.first[:-1], w.first[1:])]
+            yield pa.array(parts, pa.list_(pa.int32()))
+    return words
+
+
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """A column with the score (0 to 1) of every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)

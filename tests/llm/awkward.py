@@ -38,8 +38,16 @@ def messy_rows():
             for i, t, lang, s in rows]
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def messy(spark):
+    df = spark.createDataFrame(messy_rows(), SCHEMA).repartition(3).cache()
+    yield df
+    df.unpersist()
+
+
+@pytest.fixture
+def unstable(spark):
+    """The same rows, dealt anew (and otherwise, by the columns read) at each use."""
     return spark.createDataFrame(messy_rows(), SCHEMA).repartition(3)
 
 

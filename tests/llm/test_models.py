@@ -179,3 +179,35 @@ def test_operators_used_by_the_pipeline_are_the_library_ones():
         ["toxicity", "simhash", "decontamination", "secrets", "mixing"]
     for module in (toxicity, simhash, decontamination, secrets, mixing):
         assert module.__name__.startswith("shiftwise.llm.")
+
+
+def test_seventy_languages_are_all_modelled(spark):
+    def words(lang, n):
+        return " ".join(f"{lang}{'abcdefgh'[(i * 7) % 8]}{'klmnop'[i % 6]}" for i in range(n))
+    names = [f"{a}{b}" for a in "qwertyz" for b in "abcdefghij"]  # 70 codes
+    docs = spark.createDataFrame([(i * 10 + j, words(n, 30 + j), n) for i, n in enumerate(names) for j in range(3)],
+                                 "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(i, None, f"<p>{words(n, 25)}</p>") for i, n in enumerate(names)],
+                                  "page_id long, url string, html string")
+    langs, table = language.train(docs)
+    assert langs == sorted(names) and table.shape[0] == 70
+    out = {r["page_id"]: r["text_lang"] for r in language.identify(pages, docs).collect()}
+    assert out == dict(enumerate(names))
+    with pytest.raises(ValueError, match="more than 5 languages"):
+        language.train(docs, max_languages=5)
+
+
+def test_language_model_is_counts_of_one_row_per_id(spark):
+    rows = [(1, "aa bb aa", "x"), (1, "zz", "x"), (2, None, "x"), (3, "cc " * 5000, "y"), (None, "dd", "y"), (4, "ee", None)]
+    once = spark.createDataFrame([r for r in rows if r[1] != "zz"], "doc_id long, text string, lang string")
+    many = spark.createDataFrame(rows + rows[:1] * 50, "doc_id long, text string, lang string").repartition(3)
+    (langs, a), (_, b) = language.train(once), language.train(many)
+    assert langs == ["x", "y"] and (a == b).all()
+
+
+def test_repeated_ids_do_not_weigh_in_the_toxicity_fit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    copies = docs.unionByName(docs.filter("doc_id % 3 = 0").crossJoin(spark.range(5)).drop("id"))
+    first, second = (toxicity.train(d, labels) for d in (docs, copies))
+    assert all((x == y).all() for x, y in zip(first.kernels, second.kernels)) and (first.embed == second.embed).all()

@@ -9,7 +9,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from awkward import messy, no_rows  # noqa: F401
+from awkward import messy, no_rows, unstable  # noqa: F401
 from shiftwise.llm import decontamination, fingerprints, licenses, secrets, token_counts
 
 
@@ -44,6 +44,17 @@ def test_license_diagonals_survive_an_inserted_word(spark):
         licenses.license_report(df, phrases=[("two words", "x")])
 
 
+def test_inputs_that_are_no_tables(unstable):
+    rows = texts(unstable)
+    want = sorted(((i, *brute.licenses(x, licenses.PHRASES)) for i, x in rows), key=KEY)
+    assert got(licenses.license_report(unstable), "doc_id", "n_words", "n_base", "first_word", "last_word",
+               "base_labels") == want
+    masked = secrets.redact(unstable, [0.0] * 95 * 95).collect()
+    assert not any(sum(brute.secrets(r["text"])[:3]) for r in masked) and len(masked) == len(rows)
+    assert sorted(len(r["text"] or "") for r in masked if "[SECRET]" not in (r["text"] or "")) == \
+        sorted(len(x or "") for _, x in rows if not sum(brute.secrets(x)[:3]))
+
+
 @pytest.mark.parametrize("filter_rows", [2_000_000, 0])
 def test_contamination_matches_brute_force(spark, messy, filter_rows):
     x = dict(texts(messy))
