@@ -11,8 +11,10 @@ the same one. Matches never cross documents; strings are judged on the input.
    one row per 30 bytes at 100 / 40). Equal runs inside a batch of documents
    are reduced to the first before anything is shuffled.
 2. Rows sorted by (bucket, hash of the run's bytes, place) are streamed: a run
-   whose bytes stood before is a repeat as a whole. Buckets with one kind of
-   run are done; from others, the first of each kind goes on.
+   that agrees with an earlier one in the 64-bit hash of its core and in that of
+   its whole bytes is a repeat as a whole (its bytes are not compared again; most
+   repeats of copied texts are found here, see the README). Buckets with one kind
+   of run are done; from others, the first of each kind goes on.
 3. The bytes of those runs are fetched (a join on the document's key) and
    grouped by bucket. Many buckets form a block: its runs, the shared core as
    one symbol, are concatenated and their suffixes sorted (``_suffixes``:
