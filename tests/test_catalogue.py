@@ -63,9 +63,11 @@ def test_outlook_computes_each_fact_stage_once(spark):
 
 
 def test_building_queries_starts_no_job(spark):
-    """Building a query is lazy, apart from entries whose feature is a write."""
+    """Building a query is lazy, apart from entries whose feature is a write or a count
+    that is stored first."""
     writes = {"sync_write_back", "sink_overwrite", "sink_clustered", "payload_tables", "catalog_tables",
-              "outlook_job"}
+              "outlook_job", "catalog_self_replace", "sync_partitions", "sync_partitions_of_stage", "load_stamp",
+              "sink_interleaved", "equal_depth_slices", "validity_join_adaptive", "validity_join_merge"}
     tracker = spark.sparkContext.statusTracker()
     for name in NAMES:
         if name in writes:
