@@ -108,9 +108,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     langs = sorted(r["lang"] for r in known)
     if not langs:
         return [], np.zeros((0, BUCKETS), np.float32)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = (source.select("id", "lang").distinct().withColumn("k", F.row_number().over(first))
-              .filter(F.col("k") <= per_lang).drop("k"))
+    # The first of each part of a language, then of those the first: what meets in one
+    # task is bounded, whatever the language and the number of tasks.
+    order = [F.xxhash64("id"), F.col("id")]
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)).alias("part")
+    some = (source.select("id", "lang", part).distinct()
+            .withColumn("k", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+            .filter(F.col("k") <= per_lang))
+    picked = (some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+              .filter(F.col("k") <= per_lang).select("id", "lang"))
     rows = (source.join(F.broadcast(picked), ["id", "lang"])  # at most per_lang ids each
             .groupBy("id", "lang").agg(F.min(F.struct("text")).alias("t")).select("lang", "t.text"))
     counts = (rows.mapInArrow(_feature_counts, "lang string, feature int, n long")
