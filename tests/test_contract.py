@@ -31,7 +31,7 @@ def test_queries_and_oracle_names_match():
     assert set(QUERIES) <= set(E.queries())
     assert set(QUERIES) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(QUERIES) == 43
+    assert len(QUERIES) == 53
     for sql in E.oracle_sql().values():
         assert sql.strip()
 
